@@ -58,3 +58,84 @@ MODEL_KEYS = [
 ]
 for _key in MODEL_KEYS:
     QUERIES[_key] = (lambda k: lambda spark, sf: getattr(models(spark, sf), k))(_key)
+
+
+# ---- analyses -----------------------------------------------------------------
+from funnelworks.plans import analyses as _an  # noqa: E402
+from funnelworks.plans import semantic as _sem  # noqa: E402
+
+
+@register("analysis_speed_buckets")
+def _q_speed(spark, sf):
+    return _an.speed_buckets(models(spark, sf).int_leads_enriched)
+
+
+@register("analysis_recency_buckets")
+def _q_recency(spark, sf):
+    return _an.recency_buckets(models(spark, sf).int_leads_enriched)
+
+
+@register("analysis_month_completeness")
+def _q_completeness(spark, sf):
+    return _an.month_completeness(models(spark, sf).int_leads_enriched)
+
+
+@register("analysis_won_detail")
+def _q_won_detail(spark, sf):
+    return _an.won_detail(models(spark, sf).int_leads_enriched)
+
+
+@register("analysis_funnel_stage_rates")
+def _q_stage_rates(spark, sf):
+    return _an.funnel_stage_rates(models(spark, sf).mart_gtm_funnel)
+
+
+@register("analysis_headcount_trend")
+def _q_headcount(spark, sf):
+    m = models(spark, sf)
+    return _an.headcount_trend(m.int_expenses_channel_month, m.mart_cac_ltv)
+
+
+# ---- verified queries -------------------------------------------------------------
+for _key, _fn, _mart in [
+    ("vq_outbound_cac", _sem.vq_outbound_cac, "mart_cac_ltv"),
+    ("vq_funnel_rates", _sem.vq_funnel_rates, "mart_gtm_funnel"),
+    ("vq_lead_tier_counts", _sem.vq_lead_tier_counts, "mart_leading_indicators"),
+    ("vq_cac_ltv_trend", _sem.vq_cac_ltv_trend, "mart_cac_ltv"),
+    ("vq_hot_pipeline", _sem.vq_hot_pipeline, "mart_leading_indicators"),
+    ("vq_speed_impact", _sem.vq_speed_impact, "mart_gtm_funnel"),
+]:
+    QUERIES[_key] = (lambda f, mart: lambda spark, sf: f(getattr(models(spark, sf), mart)))(_fn, _mart)
+
+
+# ---- governed metrics ---------------------------------------------------------------
+def mart_tables(m: GtmModels) -> dict[str, DataFrame]:
+    return {
+        "mart_cac_ltv": m.mart_cac_ltv,
+        "mart_gtm_funnel": m.mart_gtm_funnel,
+        "mart_leading_indicators": m.mart_leading_indicators,
+    }
+
+
+def run_metrics(spark, sf, metrics, group_by, where=None):
+    return _sem.metric_query(mart_tables(models(spark, sf)), metrics, group_by, where)
+
+
+for _metric in _sem.METRICS:
+    QUERIES[f"metric_{_metric.name}"] = (
+        lambda name: lambda spark, sf: run_metrics(spark, sf, [name], _sem.default_group_by(name))
+    )(_metric.name)
+
+QUERIES["metric_query_cac_ltv_vs_demo_rate"] = lambda spark, sf: run_metrics(
+    spark, sf, ["cac_ltv_ratio", "lead_to_demo_set_rate"], ["month_date__month"]
+)
+QUERIES["metric_query_tier_counts"] = lambda spark, sf: run_metrics(
+    spark, sf, ["hot_lead_count", "warm_lead_count"], ["channel"]
+)
+QUERIES["metric_query_outbound_2024"] = lambda spark, sf: run_metrics(
+    spark,
+    sf,
+    ["cac_usd", "leads_created", "inbound_conversion_rate"],
+    ["month_date__month"],
+    where="channel = 'outbound' and month_date between '2024-01-01' and '2024-06-01'",
+)

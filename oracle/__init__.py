@@ -31,3 +31,7 @@ for _key in [
     "mart_data_quality_monitor",
 ]:
     ORACLE[_key] = sql(f"SELECT * FROM {_key}", _key)
+
+from oracle.reports import REPORTS  # noqa: E402
+
+ORACLE.update(REPORTS)
