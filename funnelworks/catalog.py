@@ -139,3 +139,95 @@ QUERIES["metric_query_outbound_2024"] = lambda spark, sf: run_metrics(
     ["month_date__month"],
     where="channel = 'outbound' and month_date between '2024-01-01' and '2024-06-01'",
 )
+
+
+# ---- data tests -------------------------------------------------------------------
+from funnelworks.operators import quality as _dq  # noqa: E402
+from funnelworks.plans import quality_suite as _suite  # noqa: E402
+from funnelworks.sources.driver_tables import read_table  # noqa: E402
+
+
+def model_tables(m: GtmModels) -> dict[str, DataFrame]:
+    return {name: getattr(m, name) for name in MODEL_KEYS}
+
+
+for _kind, _key in [
+    ("not_null", "dq_not_null"),
+    ("unique", "dq_unique"),
+    ("accepted_values", "dq_accepted_values"),
+    ("expression_is_true", "dq_expression"),
+    ("accepted_range", "dq_range"),
+    ("not_null_proportion", "dq_not_null_proportion"),
+]:
+    QUERIES[_key] = (
+        lambda kind: lambda spark, sf: _dq.run_tests(model_tables(models(spark, sf)), _suite.specs(kind))
+    )(_kind)
+
+QUERIES["dq_suite"] = lambda spark, sf: _dq.run_tests(model_tables(models(spark, sf)), _suite.specs())
+
+
+@register("dq_relationships")
+def _q_relationships(spark, sf):
+    """Orders whose customer key has no customer row, plus the declared
+    lead-id foreign key of the lead mart (both as violating rows)."""
+    orders = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey"])
+    customers = read_table(spark, sf, "customer", ["c_custkey"])
+    return _dq.relationships(orders, "o_custkey", customers, "c_custkey")
+
+
+@register("dq_lead_fk")
+def _q_lead_fk(spark, sf):
+    m = models(spark, sf)
+    return _dq.relationships(m.mart_leading_indicators.select("lead_id"), "lead_id", m.stg_leads, "lead_id")
+
+
+@register("dq_raw_duplicate_ids")
+def _q_raw_dups(spark, sf):
+    """unique() on the raw export's opportunity id: the export duplicates."""
+    return _dq.unique(load_raw_sources(spark, sf).opportunities, "opportunity_id")
+
+
+@register("dq_raw_status_values")
+def _q_raw_status(spark, sf):
+    """accepted_values() on the raw lead status: the dirty spelling."""
+    return _dq.accepted_values(
+        load_raw_sources(spark, sf).leads,
+        "status",
+        [
+            "New", "Working", "Demo Set", "Sales Nurture", "Marketing Nurture", "Converted", "Disqualified",
+            "Not Interested", "Incorrect Contact Data", "No Longer With Company", "No Show", "Postpone",
+            "Restaurant Confirmed", "Nurturing",
+        ],
+    )
+
+
+@register("dq_two_channels")
+def _q_two_channels(spark, sf):
+    return _suite.two_channels_per_month(models(spark, sf).mart_cac_ltv)
+
+
+@register("dq_cac_gap")
+def _q_cac_gap(spark, sf):
+    return _suite.outbound_cac_not_extreme(models(spark, sf).mart_cac_ltv)
+
+
+@register("dq_cac_gap_2x")
+def _q_cac_gap_2x(spark, sf):
+    """The same invariant with a tighter bound, so the check returns rows."""
+    return _suite.outbound_cac_not_extreme(models(spark, sf).mart_cac_ltv, max_ratio=1)
+
+
+@register("dq_converted_tier")
+def _q_converted_tier(spark, sf):
+    return _suite.converted_not_cold(models(spark, sf).mart_leading_indicators)
+
+
+@register("dq_disqualified_tier")
+def _q_disq_tier(spark, sf):
+    return _suite.disqualified_tier_null(models(spark, sf).mart_leading_indicators)
+
+
+@register("dq_lead_count")
+def _q_lead_count(spark, sf):
+    m = models(spark, sf)
+    return _suite.lead_count_matches(m.stg_leads, m.mart_leading_indicators)

@@ -35,3 +35,7 @@ for _key in [
 from oracle.reports import REPORTS  # noqa: E402
 
 ORACLE.update(REPORTS)
+
+from oracle.quality import QUALITY  # noqa: E402
+
+ORACLE.update(QUALITY)
