@@ -231,3 +231,93 @@ def _q_disq_tier(spark, sf):
 def _q_lead_count(spark, sf):
     m = models(spark, sf)
     return _suite.lead_count_matches(m.stg_leads, m.mart_leading_indicators)
+
+
+# ---- scalar functions over whole tables -----------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from funnelworks import functions as fx  # noqa: E402
+
+
+def _raw_leads(spark, sf):
+    return load_raw_sources(spark, sf).leads
+
+
+FUNCTION_QUERIES = {
+    "fn_fix_millennium_date": lambda s, sf: _raw_leads(s, sf).select(
+        "lead_id", "form_submission_date", fx.fix_millennium_date("form_submission_date").alias("fixed_date")
+    ),
+    "fn_clean_timestamp": lambda s, sf: _raw_leads(s, sf).select(
+        "lead_id", "first_sales_call_date", fx.clean_timestamp("first_sales_call_date").alias("cleaned_at")
+    ),
+    "fn_clean_category_list": lambda s, sf: _raw_leads(s, sf).select(
+        "lead_id",
+        fx.clean_category_list("marketplaces_used").alias("marketplaces"),
+        fx.clean_category_list("online_ordering_used").alias("olo_tools"),
+        fx.clean_category_list("cuisine_types").alias("cuisines"),
+    ),
+    "fn_parse_european_numeric": lambda s, sf: _raw_leads(s, sf).select(
+        "lead_id", "predicted_sales", fx.parse_european_numeric("predicted_sales").alias("amount")
+    ),
+    "fn_blank_to_null": lambda s, sf: _raw_leads(s, sf).select(
+        "lead_id", fx.blank_to_null("converted_opportunity_id").alias("opportunity_id")
+    ),
+    "fn_normalize_status": lambda s, sf: _raw_leads(s, sf).select(
+        "lead_id",
+        "status",
+        fx.normalize_value("status", {"Incorrect_Contact_Data": "Incorrect Contact Data"}).alias("status_clean"),
+    ),
+    "fn_total_activity": lambda s, sf: models(s, sf).stg_leads.select(
+        "lead_id",
+        fx.null_safe_sum("sales_call_count", "sales_text_count", "sales_email_count").alias("total_activity"),
+    ),
+    "fn_derive_channel": lambda s, sf: models(s, sf).stg_leads.select(
+        "lead_id", fx.derive_channel("form_submission_date").alias("channel")
+    ),
+    "fn_hours_between": lambda s, sf: models(s, sf).stg_leads.select(
+        "lead_id",
+        fx.hours_between("first_sales_call_at", "last_sales_activity_at").cast("decimal(20,6)").alias("hours"),
+        fx.days_between("first_sales_call_at", "last_sales_email_at").cast("decimal(20,6)").alias("days"),
+    ),
+    "fn_month_trunc": lambda s, sf: read_table(s, sf, "events", ["event_id", "ts"]).select(
+        "event_id", fx.month_trunc("ts").alias("month_date")
+    ),
+    "fn_cohort_month": lambda s, sf: models(s, sf).int_leads_enriched.select(
+        "lead_id",
+        fx.has_cohort_anchor("channel", "form_submission_date", "first_sales_call_at").alias("has_anchor"),
+        fx.cohort_month("channel", "form_submission_date", "first_sales_call_at").alias("cohort_month"),
+    ),
+    "fn_list_count": lambda s, sf: models(s, sf).stg_leads.select(
+        "lead_id", fx.list_count("marketplaces_used_cleaned").alias("marketplace_count")
+    ),
+    "fn_ltv_estimate": lambda s, sf: models(s, sf).stg_leads.select(
+        "lead_id", fx.ltv_estimate("predicted_monthly_gmv_usd").alias("ltv")
+    ),
+    "fn_activity_density": lambda s, sf: models(s, sf).int_leads_enriched.select(
+        "lead_id",
+        fx.activity_density("total_activity_count", "days_in_funnel").cast("decimal(8,4)").alias("density"),
+    ),
+    "fn_surrogate_key": lambda s, sf: models(s, sf).stg_leads.select(
+        "lead_id", fx.surrogate_key("lead_id", "converted_opportunity_id", "form_submission_date").alias("sk")
+    ),
+    "fn_safe_divide": lambda s, sf: read_table(
+        s, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_extendedprice", "l_discount"]
+    ).select(
+        "l_orderkey",
+        "l_linenumber",
+        fx.safe_divide(
+            F.col("l_extendedprice").cast("decimal(12,2)"), F.col("l_discount").cast("decimal(4,2)")
+        ).cast("decimal(20,6)").alias("price_per_discount"),
+    ),
+    "fn_month_label": lambda s, sf: load_raw_sources(s, sf).expenses_salary.select(
+        "month", fx.month_label_to_date("month").alias("month_date")
+    ),
+    "score_tier": lambda s, sf: models(s, sf).mart_leading_indicators.select("lead_id", "conversion_probability_tier"),
+    "bucket_speed": lambda s, sf: models(s, sf).int_leads_enriched.select(
+        "lead_id", fx.speed_bucket("speed_to_first_contact_hours").alias("speed_bucket")
+    ),
+    "bucket_recency": lambda s, sf: models(s, sf).int_leads_enriched.select(
+        "lead_id", fx.recency_bucket("speed_to_first_contact_hours").alias("recency_bucket")
+    ),
+}
+QUERIES.update(FUNCTION_QUERIES)

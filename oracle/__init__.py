@@ -39,3 +39,7 @@ ORACLE.update(REPORTS)
 from oracle.quality import QUALITY  # noqa: E402
 
 ORACLE.update(QUALITY)
+
+from oracle.functions import FUNCS  # noqa: E402
+
+ORACLE.update(FUNCS)
