@@ -321,3 +321,158 @@ FUNCTION_QUERIES = {
     ),
 }
 QUERIES.update(FUNCTION_QUERIES)
+
+
+# ---- generic operators on whole tables ------------------------------------------------
+from pyspark.sql import Window  # noqa: E402
+
+from funnelworks.operators import reshape as _rs  # noqa: E402
+from funnelworks.operators.joins import left_join_spread_nulls  # noqa: E402
+from funnelworks.plans import marts as _marts  # noqa: E402
+
+
+@register("dedup_exact")
+def _q_dedup(spark, sf):
+    return _rs.dedup_exact(load_raw_sources(spark, sf).opportunities)
+
+
+@register("dedup_events")
+def _q_dedup_events(spark, sf):
+    ev = read_table(spark, sf, "events", ["user_id", "event_type", "ts"])
+    return _rs.dedup_exact(ev.select("user_id", "event_type", F.to_date("ts").alias("event_date")))
+
+
+@register("unpivot_channel_cost")
+def _q_unpivot(spark, sf):
+    return models(spark, sf).stg_expenses_salary
+
+
+@register("unpivot_lineitem_measures")
+def _q_unpivot_li(spark, sf):
+    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax"])
+    return _rs.unpivot(li, ["l_orderkey", "l_linenumber"], ["l_extendedprice", "l_discount", "l_tax"], "measure", "value")
+
+
+@register("join_left_enrich")
+def _q_join_left(spark, sf):
+    m = models(spark, sf)
+    opp = m.stg_opportunities.select(F.col("opportunity_id").alias("o_id"), "stage_name", "is_won")
+    leads = m.stg_leads.select("lead_id", "converted_opportunity_id")
+    return left_join_spread_nulls(leads, opp, "converted_opportunity_id", "o_id").select(
+        "lead_id", "converted_opportunity_id", "stage_name", "is_won"
+    )
+
+
+@register("join_inner_month")
+def _q_join_inner(spark, sf):
+    m = models(spark, sf)
+    cost = F.broadcast(m.int_expenses_channel_month.select("month_date", "channel", "total_cost_usd"))
+    return m.int_funnel.select("month_date", "channel", "leads_created", "closed_won").join(
+        cost, ["month_date", "channel"], "inner"
+    )
+
+
+@register("join_anti_fk")
+def _q_join_anti(spark, sf):
+    """Orders without any line item (anti join)."""
+    orders = read_table(spark, sf, "orders", ["o_orderkey", "o_orderdate"])
+    lines = read_table(spark, sf, "lineitem", ["l_orderkey"])
+    return _dq.relationships(orders, "o_orderkey", lines, "l_orderkey")
+
+
+@register("join_cross_scalar")
+def _q_join_cross(spark, sf):
+    m = models(spark, sf)
+    s = m.stg_leads.agg(F.count(F.lit(1)).alias("staging_leads"))
+    t = m.mart_leading_indicators.agg(F.count(F.lit(1)).alias("mart_leads"))
+    return s.crossJoin(t).select("*", (F.col("mart_leads") - F.col("staging_leads")).alias("delta"))
+
+
+@register("agg_monthly_volume")
+def _q_monthly_volume(spark, sf):
+    from funnelworks.plans.intermediate import monthly_volume
+
+    return monthly_volume(models(spark, sf).stg_leads, "form_submission_date")
+
+
+@register("agg_revenue_month")
+def _q_revenue(spark, sf):
+    r = _marts.monthly_revenue(models(spark, sf).mart_cac_ltv)
+    return r.select(
+        "month_date",
+        "new_customers_won",
+        F.col("estimated_monthly_ltv_usd").cast("decimal(20,2)").alias("estimated_monthly_ltv_usd"),
+        F.col("total_cost_usd").cast("decimal(20,2)").alias("total_cost_usd"),
+    )
+
+
+@register("agg_weighted_avg")
+def _q_weighted(spark, sf):
+    r = _marts.monthly_revenue(models(spark, sf).mart_cac_ltv)
+    return r.select("month_date", fx.exact_ratio("_cac_x_won", "_won").cast("decimal(12,2)").alias("blended_cac_usd"))
+
+
+@register("agg_filtered_sum")
+def _q_filtered(spark, sf):
+    t = _marts.monthly_audit_totals(models(spark, sf).int_audit_by_month)
+    return t.select(
+        "month_date",
+        *[F.col(c).cast("bigint").alias(c) for c in t.columns if c != "month_date"],
+    )
+
+
+@register("agg_engagement_month")
+def _q_engagement(spark, sf):
+    return models(spark, sf).mart_gtm_funnel.select(
+        "month_date", "channel", "avg_speed_to_first_contact_hours", "avg_days_in_funnel", "avg_activity_count"
+    )
+
+
+@register("agg_pivot_channel_cac")
+def _q_pivot(spark, sf):
+    return _rs.pivot_max(models(spark, sf).mart_cac_ltv, "month_date", "channel", ["inbound", "outbound"], "cac_usd")
+
+
+@register("agg_channels_per_month")
+def _q_collect(spark, sf):
+    return models(spark, sf).mart_cac_ltv.groupBy("month_date").agg(
+        F.count(F.lit(1)).alias("channel_count"), F.array_sort(F.collect_list("channel")).alias("channels_present")
+    )
+
+
+@register("win_mom_delta")
+def _q_mom(spark, sf):
+    return models(spark, sf).mart_data_quality_monitor.select(
+        "month_date", "mom_revenue_change_usd", "mom_audit_findings_change"
+    )
+
+
+@register("win_daily_events_delta")
+def _q_events_delta(spark, sf):
+    """Day-grain event counts with day-over-day change: the window runs over
+    the (calendar-bounded) daily aggregate, never over raw events."""
+    ev = read_table(spark, sf, "events", ["ts", "event_type"])
+    daily = ev.groupBy(F.to_date("ts").alias("event_date")).agg(F.count(F.lit(1)).alias("events"))
+    w = Window.orderBy("event_date")
+    return daily.select("event_date", "events", (F.col("events") - F.lag("events").over(w)).alias("events_change"))
+
+
+@register("win_partitioned_lag")
+def _q_partitioned_lag(spark, sf):
+    """lag() per event type over the daily aggregate (partitioned window)."""
+    ev = read_table(spark, sf, "events", ["ts", "event_type", "value"])
+    daily = ev.groupBy("event_type", F.to_date("ts").alias("event_date")).agg(F.count(F.lit(1)).alias("events"))
+    w = Window.partitionBy("event_type").orderBy("event_date")
+    return daily.select(
+        "event_type", "event_date", "events", F.lag("events").over(w).alias("prev_events")
+    )
+
+
+@register("win_first_value_growth")
+def _q_first_value(spark, sf):
+    return _an.headcount_trend(models(spark, sf).int_expenses_channel_month, models(spark, sf).mart_cac_ltv)
+
+
+@register("date_spine")
+def _q_spine(spark, sf):
+    return _rs.date_spine(spark, "2020-01-01", "2030-01-01")

@@ -43,3 +43,7 @@ ORACLE.update(QUALITY)
 from oracle.functions import FUNCS  # noqa: E402
 
 ORACLE.update(FUNCS)
+
+from oracle.ops import OPS  # noqa: E402
+
+ORACLE.update(OPS)
