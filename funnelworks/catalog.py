@@ -476,3 +476,56 @@ def _q_first_value(spark, sf):
 @register("date_spine")
 def _q_spine(spark, sf):
     return _rs.date_spine(spark, "2020-01-01", "2030-01-01")
+
+
+# ---- incremental refresh -------------------------------------------------------------
+from funnelworks.plans import incremental_marts as _inc  # noqa: E402
+from funnelworks.session import scratch_path  # noqa: E402
+from funnelworks.streaming.incremental import lookback_start, watermark_filter  # noqa: E402
+
+# Fixed scenario: an earlier CRM snapshot (orders placed before 1998) is
+# built in full, then the complete sources are refreshed incrementally as of
+# mid-June 2024 with the default two-month lookback.
+SNAPSHOT_BEFORE = "1998-01-01"
+RUN_AS_OF = "2024-06-15"
+
+
+def snapshot_models(spark, sf) -> GtmModels:
+    return GtmModels(load_raw_sources(spark, sf, orders_before=SNAPSHOT_BEFORE))
+
+
+@register("inc_month_channel_refresh")
+def _q_inc_cac(spark, sf):
+    path = scratch_path(spark, "mart_cac_ltv")
+    _inc.build_mart_cac_ltv(spark, snapshot_models(spark, sf), path, full_refresh=True)
+    return _inc.build_mart_cac_ltv(spark, models(spark, sf), path, as_of=RUN_AS_OF)
+
+
+@register("inc_funnel_refresh")
+def _q_inc_funnel(spark, sf):
+    path = scratch_path(spark, "mart_gtm_funnel")
+    _inc.build_mart_gtm_funnel(spark, snapshot_models(spark, sf), path, full_refresh=True)
+    return _inc.build_mart_gtm_funnel(spark, models(spark, sf), path, as_of=RUN_AS_OF)
+
+
+@register("inc_lead_refresh")
+def _q_inc_leads(spark, sf):
+    base = scratch_path(spark, "mart_leading_indicators")
+    _inc.build_mart_leading_indicators(spark, snapshot_models(spark, sf), base, full_refresh=True)
+    return _inc.build_mart_leading_indicators(spark, models(spark, sf), base)
+
+
+@register("inc_lookback_filter")
+def _q_inc_lookback(spark, sf):
+    """The batch an incremental funnel run recomputes (months in lookback)."""
+    return _inc.gtm_funnel_batch(models(spark, sf), lookback_start(RUN_AS_OF, _inc.DEFAULT_LOOKBACK_MONTHS))
+
+
+@register("inc_watermark_filter")
+def _q_inc_watermark(spark, sf):
+    """Leads selected by the high-watermark of a stored snapshot mart."""
+    base = scratch_path(spark, "mart_leading_indicators")
+    stored = _inc.build_mart_leading_indicators(spark, snapshot_models(spark, sf), base, full_refresh=True)
+    return watermark_filter(models(spark, sf).int_leads_enriched, stored, "last_sales_activity_at").select(
+        "lead_id", "last_sales_activity_at"
+    )

@@ -90,14 +90,21 @@ def int_leads_enriched(leads: DataFrame, opportunities: DataFrame) -> DataFrame:
     return enforce_contract(df, C.INT_LEADS_ENRICHED)
 
 
-def cohort_stats(enriched: DataFrame) -> DataFrame:
+def cohort_stats(enriched: DataFrame, since=None) -> DataFrame:
     """Every month × channel measure the funnel, CAC/LTV and engagement marts
     need, from ONE partially aggregated group-by over enriched leads that
     carry their channel's anchor date.  Averages are kept as (sum, count)
-    pairs so the marts can divide once, exactly."""
+    pairs so the marts can divide once, exactly.  ``since`` (a date Column)
+    keeps only cohort months on or after it."""
     ch = F.col("channel")
-    rows = enriched.filter(has_cohort_anchor(ch, "form_submission_date", "first_sales_call_at")).select(
-        cohort_month(ch, "form_submission_date", "first_sales_call_at").alias("month_date"),
+    anchored = enriched.filter(has_cohort_anchor(ch, "form_submission_date", "first_sales_call_at"))
+    month = cohort_month(ch, "form_submission_date", "first_sales_call_at")
+    if since is not None:
+        # Lookback applied to rows before aggregating, so counts and the
+        # won-lead LTV averages of a reprocessed month stay consistent.
+        anchored = anchored.filter(month >= since)
+    rows = anchored.select(
+        month.alias("month_date"),
         ch,
         "demo_set_date",
         "demo_held",

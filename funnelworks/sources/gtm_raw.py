@@ -286,8 +286,14 @@ def raw_expenses(lineitem: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ads.select(*RAW_ADVERTISING.fieldNames()), salary.select(*RAW_SALARY.fieldNames())
 
 
-def load_raw_sources(spark: SparkSession, sf_dir: str) -> RawSources:
-    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"])
+def load_raw_sources(spark: SparkSession, sf_dir: str, orders_before: str | None = None) -> RawSources:
+    """Raw exports from the driver tables; ``orders_before`` restricts the
+    CRM side to orders placed before a date (an earlier snapshot of the CRM,
+    used to exercise incremental refresh).  The filter reaches the Parquet
+    scan as a pushed filter."""
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderdate"])
+    if orders_before is not None:
+        orders = orders.filter(F.col("o_orderdate") < F.lit(orders_before).cast("timestamp_ntz"))
     lineitem = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_quantity", "l_returnflag", "l_shipdate"])
     ads, salary = raw_expenses(lineitem)
     return RawSources(

@@ -47,3 +47,7 @@ ORACLE.update(FUNCS)
 from oracle.ops import OPS  # noqa: E402
 
 ORACLE.update(OPS)
+
+from oracle.incremental import INC  # noqa: E402
+
+ORACLE.update(INC)

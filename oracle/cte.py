@@ -24,6 +24,49 @@ def _deps(body: str) -> list[str]:
     return found
 
 
+def chain(*roots: str) -> list[str]:
+    """CTE names needed by the roots, in dependency order."""
+    order: list[str] = []
+    seen: set[str] = set()
+
+    def visit(name: str) -> None:
+        if name in seen:
+            return
+        seen.add(name)
+        for dep in _deps(CTES[name]):
+            if dep != name:
+                visit(dep)
+        order.append(name)
+
+    for r in roots:
+        visit(r)
+    return order
+
+
+def snapshot_ctes(root: str, suffix: str, table_subst: dict[str, str]) -> list[tuple[str, str]]:
+    """Copies of root's CTE chain renamed with ``suffix`` and reading other
+    base tables (e.g. orders → orders_s), for a second state of the sources."""
+    names = chain(root)
+    out = []
+    for n in names:
+        body = CTES[n]
+        for m in sorted(names, key=len, reverse=True):
+            body = re.sub(rf"\b{re.escape(m)}\b", m + suffix, body)
+        for a, b in table_subst.items():
+            body = re.sub(rf"\b{re.escape(a)}\b", b, body)
+        out.append((n + suffix, body))
+    return out
+
+
+def sql_with(extra: list[tuple[str, str]], final: str, *roots: str) -> str:
+    """Like sql(), plus extra (name, body) CTEs placed first."""
+    base = sql(final, *roots)
+    head = ",\n".join(f"{n} AS (\n{b}\n)" for n, b in extra)
+    if base.startswith("WITH "):
+        return f"WITH {head},\n{base[5:]}"
+    return f"WITH {head}\n{base}"
+
+
 def sql(final: str, *roots: str) -> str:
     order: list[str] = []
     seen: set[str] = set()
