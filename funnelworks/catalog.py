@@ -25,8 +25,15 @@ def register(name: str):
     return deco
 
 
+_MODELS: dict = {}
+
+
 def models(spark: SparkSession, sf_dir: str) -> GtmModels:
-    return GtmModels.from_driver_tables(spark, sf_dir)
+    """The session's model graph over a folder (lazy plans, built once)."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS:
+        _MODELS[key] = GtmModels.from_driver_tables(spark, sf_dir)
+    return _MODELS[key]
 
 
 # ---- raw sources ------------------------------------------------------------

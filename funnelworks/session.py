@@ -46,6 +46,10 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8) -> Spark
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Wide projections generate long methods; let HotSpot JIT-compile
+        # them instead of interpreting (JVM flag, applies at JVM start).
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
+        .config("spark.executor.extraJavaOptions", "-XX:-DontCompileHugeMethods")
     )
     for key, value in {**RESULT_CONF, **EXECUTION_CONF}.items():
         builder = builder.config(key, value)

@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from funnelworks.sources.driver_tables import read_table
 from funnelworks.sources.schemas import (
     RAW_ADVERTISING,
-    RAW_LEADS,
     RAW_OPPORTUNITIES,
     RAW_SALARY,
 )
@@ -70,7 +69,6 @@ CUISINES_BY_K4 = ["['Pizza', 'Italian']", "['Mexican']", "[]", None]
 MONTH_LABELS = ["Jan-24", "Feb-24", "Mar-24", "Apr-24", "May-24", "Jun-24"]
 NBSP = "\u00a0"
 CURRENCY_PREFIX = "US$\t"
-TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 @dataclass(frozen=True)
@@ -113,7 +111,9 @@ def euro_text(cents: Column) -> Column:
 
 
 def _fmt_ts(ts: Column) -> Column:
-    return F.date_format(ts, TS_FORMAT)
+    """'yyyy-MM-dd HH:mm:ss' (whole seconds only, so the plain cast of a
+    timestamp without zone gives exactly this text, without a formatter)."""
+    return ts.cast("string")
 
 
 def _plus_hours(ts: Column, hours: Column) -> Column:
@@ -140,15 +140,37 @@ def _lineitem_activity(lineitem: DataFrame) -> DataFrame:
 def raw_leads(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
     inbound = k % 5 < 2
+    activity = _lineitem_activity(lineitem)
+    # The lead projection keeps every order: a left join to per-order counts
+    # (orders without lines get null counts).  The per-order aggregate grows
+    # with the data, so it is never broadcast: a sort-merge join on the order
+    # key, whose aggregate side is already hash-partitioned by that key.  The
+    # text projection below then runs after the shuffle, spread over all
+    # shuffle partitions instead of in the scan tasks.
+    joined = orders.select("o_orderkey", "o_totalprice", "o_orderpriority").join(
+        activity.hint("merge"), "o_orderkey", "left"
+    )
+    # Level 1: per-order anchors used by several output columns.  Kept as a
+    # separate projection so each is computed once per row (Catalyst does not
+    # collapse a projection when that would duplicate a non-trivial expression).
     base_day = F.date_add(F.lit("2024-01-01").cast("date"), ((k * 37) % 182).cast("int"))
     stale = inbound & (k % 95 == 0)
-    stale_form = F.date_add(F.lit("2020-01-01").cast("date"), (k % 365).cast("int")).cast("string")
-    entry_day = F.when(stale, F.lit("2024-02-01").cast("date")).otherwise(base_day)
-    entry_ts = entry_day.cast("timestamp_ntz")
-    first_call = F.when(k % 101 == 0, _plus_hours(entry_ts, -(1 + k % 30))).otherwise(
-        _plus_hours(entry_ts, k % 400)
+    entry_ts = F.when(stale, F.lit("2024-02-01").cast("date")).otherwise(base_day).cast("timestamp_ntz")
+    first_call = F.when(k % 101 == 0, _plus_hours(entry_ts, -(1 + k % 30))).otherwise(_plus_hours(entry_ts, k % 400))
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint") % 1_000_000
+    anchors = joined.select(
+        "o_orderkey",
+        "o_orderpriority",
+        "n_a",
+        "n_n",
+        "n_r",
+        base_day.cast("string").alias("day_text"),
+        first_call.alias("first_call"),
+        euro_text(cents).alias("amount_text"),
     )
-    day_text = base_day.cast("string")
+    # Level 2: the export's text columns.
+    day_text, call, amount = F.col("day_text"), F.col("first_call"), F.col("amount_text")
+    stale_form = F.date_add(F.lit("2020-01-01").cast("date"), (k % 365).cast("int")).cast("string")
     form = (
         F.when(~inbound, F.when(k % 2 == 1, F.lit("")))
         .when(k % 95 == 0, stale_form)
@@ -156,14 +178,12 @@ def raw_leads(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         .when(k % 3 == 0, day_text)
         .otherwise(_defect(day_text))
     )
-    cents = F.round(F.col("o_totalprice") * 100).cast("bigint") % 1_000_000
     predicted = (
         F.when(k % 25 == 0, F.lit(None).cast("string"))
         .when(k % 12 == 0, F.lit(" "))
-        .when(k % 4 == 1, F.concat(F.lit(CURRENCY_PREFIX), euro_text(cents)))
-        .otherwise(euro_text(cents))
+        .when(k % 4 == 1, F.concat(F.lit(CURRENCY_PREFIX), amount))
+        .otherwise(amount)
     )
-    activity = _lineitem_activity(lineitem)
 
     def count_text(c: str) -> Column:
         return F.when(F.col(c) > 0, F.col(c).cast("string"))
@@ -177,30 +197,24 @@ def raw_leads(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         .otherwise(opp_id),
     )
     prio = F.col("o_orderpriority")
-    # The lead projection keeps every order: a left join to per-order counts
-    # (orders without lines get null counts).  Both sides are keyed by order
-    # key; AQE picks broadcast or sort-merge from runtime sizes.
-    joined = orders.select("o_orderkey", "o_totalprice", "o_orderpriority").join(activity, "o_orderkey", "left")
-    return joined.select(
+    return anchors.select(
         F.concat(F.lit("L"), k.cast("string")).alias("lead_id"),
         form.alias("form_submission_date"),
         count_text("n_a").alias("sales_call_count"),
         count_text("n_n").alias("sales_text_count"),
         count_text("n_r").alias("sales_email_count"),
-        F.when(k % 11 == 0, F.when(k % 2 == 1, F.lit("  "))).otherwise(_fmt_ts(first_call)).alias(
-            "first_sales_call_date"
-        ),
-        F.when(k % 4 != 0, _fmt_ts(_plus_hours(first_call, k % 48))).alias("first_text_sent_date"),
-        F.when(k % 6 == 0, _fmt_ts(_plus_hours(first_call, F.lit(48)))).otherwise(F.lit("")).alias(
+        F.when(k % 11 == 0, F.when(k % 2 == 1, F.lit("  "))).otherwise(_fmt_ts(call)).alias("first_sales_call_date"),
+        F.when(k % 4 != 0, _fmt_ts(_plus_hours(call, k % 48))).alias("first_text_sent_date"),
+        F.when(k % 6 == 0, _fmt_ts(_plus_hours(call, F.lit(48)))).otherwise(F.lit("")).alias(
             "first_meeting_booked_date"
         ),
-        F.when(k % 13 == 0, F.lit("")).otherwise(_fmt_ts(_plus_hours(first_call, (k % 30) * 24))).alias(
+        F.when(k % 13 == 0, F.lit("")).otherwise(_fmt_ts(_plus_hours(call, (k % 30) * 24))).alias(
             "last_sales_call_date"
         ),
         F.when((k % 7 == 0) | (k % 11 == 0), F.lit(None).cast("string"))
-        .otherwise(_fmt_ts(_plus_hours(first_call, (k % 60) * 24)))
+        .otherwise(_fmt_ts(_plus_hours(call, (k % 60) * 24)))
         .alias("last_sales_activity_date"),
-        F.when(k % 8 != 0, _fmt_ts(_plus_hours(first_call, (k % 60) * 24 - k % 5))).alias("last_sales_email_date"),
+        F.when(k % 8 != 0, _fmt_ts(_plus_hours(call, (k % 60) * 24 - k % 5))).alias("last_sales_email_date"),
         predicted.alias("predicted_sales"),
         _by_key(prio, MARKETPLACES_BY_PRIORITY).alias("marketplaces_used"),
         _by_key(prio, OLO_BY_PRIORITY).alias("online_ordering_used"),
@@ -212,7 +226,7 @@ def raw_leads(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         .alias("connected_with_decision_maker"),
         status.alias("status"),
         converted_opp.alias("converted_opportunity_id"),
-    ).select(*RAW_LEADS.fieldNames())
+    )
 
 
 def raw_opportunities(orders: DataFrame) -> DataFrame:
@@ -286,7 +300,19 @@ def raw_expenses(lineitem: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ads.select(*RAW_ADVERTISING.fieldNames()), salary.select(*RAW_SALARY.fieldNames())
 
 
+_CACHE: dict = {}
+
+
 def load_raw_sources(spark: SparkSession, sf_dir: str, orders_before: str | None = None) -> RawSources:
+    """Memoised per (session, folder, snapshot): the lazily built plans are
+    reused by every query of a session (no data is cached)."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, orders_before)
+    if key not in _CACHE:
+        _CACHE[key] = _build_raw_sources(spark, sf_dir, orders_before)
+    return _CACHE[key]
+
+
+def _build_raw_sources(spark: SparkSession, sf_dir: str, orders_before: str | None = None) -> RawSources:
     """Raw exports from the driver tables; ``orders_before`` restricts the
     CRM side to orders placed before a date (an earlier snapshot of the CRM,
     used to exercise incremental refresh).  The filter reaches the Parquet
