@@ -146,6 +146,9 @@ QUERIES["metric_query_outbound_2024"] = lambda spark, sf: run_metrics(
     ["month_date__month"],
     where="channel = 'outbound' and month_date between '2024-01-01' and '2024-06-01'",
 )
+QUERIES["metric_query_named_filter"] = lambda spark, sf: run_metrics(
+    spark, sf, ["hot_lead_count", "avg_prospect_gmv"], ["channel"], where="inbound_active"
+)
 
 
 # ---- data tests -------------------------------------------------------------------
@@ -274,6 +277,14 @@ FUNCTION_QUERIES = {
         "status",
         fx.normalize_value("status", {"Incorrect_Contact_Data": "Incorrect Contact Data"}).alias("status_clean"),
     ),
+    "fn_status_flags": lambda s, sf: _raw_leads(s, sf).select(
+        "lead_id",
+        fx.equals_flag("status", "Converted").alias("is_converted"),
+        fx.in_list_flag(
+            "status",
+            ["Disqualified", "Not Interested", "Incorrect Contact Data", "Incorrect_Contact_Data", "No Longer With Company"],
+        ).alias("is_disqualified"),
+    ),
     "fn_total_activity": lambda s, sf: models(s, sf).stg_leads.select(
         "lead_id",
         fx.null_safe_sum("sales_call_count", "sales_text_count", "sales_email_count").alias("total_activity"),

@@ -15,11 +15,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def left_join_spread_nulls(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+def left_join_spread_nulls(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, salt_cols: list[str] | None = None
+) -> DataFrame:
     """left ⟕ right on left[left_key] = right[right_key]; all left columns,
-    then all right columns; null left keys never match."""
+    then all right columns; null left keys never match.  ``salt_cols`` (a
+    row identifier, by default every left column) spreads the null keys."""
     lk = F.col(left_key)
-    salt = F.xxhash64(*[F.col(c) for c in left.columns]).cast("string")
+    salt = F.xxhash64(*[F.col(c) for c in (salt_cols or left.columns)]).cast("string")
     l2 = left.withColumn("__jk", F.coalesce(lk, salt)).withColumn("__jn", lk.isNull())
     r2 = right.withColumn("__rk", F.col(right_key)).withColumn("__rn", F.lit(False))
     joined = l2.join(r2, (l2["__jk"] == r2["__rk"]) & (l2["__jn"] == r2["__rn"]), "left")

@@ -35,7 +35,7 @@ def speed_buckets(enriched: DataFrame) -> DataFrame:
         _rate(conv, n, 3).alias("conversion_rate"),
         _rate(won, n, 3).alias("won_rate"),
         F.round(exact_ratio(F.sum(speed), F.count(speed)), 1).cast("decimal(12,1)").alias("avg_speed_hours"),
-    )
+    ).orderBy("speed_bucket")
 
 
 def recency_buckets(enriched: DataFrame) -> DataFrame:
@@ -50,7 +50,7 @@ def recency_buckets(enriched: DataFrame) -> DataFrame:
         _rate(conv, n, 3).alias("conversion_rate"),
         F.round(F.min(speed), 0).cast("decimal(12,0)").alias("min_hours"),
         F.round(F.max(speed), 0).cast("decimal(12,0)").alias("max_hours"),
-    )
+    ).orderBy("min_hours")
 
 
 def month_completeness(enriched: DataFrame, month: str = DEFAULT_MONTH) -> DataFrame:
@@ -109,7 +109,7 @@ def funnel_stage_rates(gtm_funnel: DataFrame, channel: str = OUTBOUND) -> DataFr
         "demo_set_to_held_rate",
         "demo_to_close_rate",
         "overall_conversion_rate",
-    )
+    ).orderBy("month_date")
 
 
 def headcount_trend(expenses: DataFrame, cac_ltv: DataFrame, channel: str = OUTBOUND) -> DataFrame:
@@ -133,4 +133,4 @@ def headcount_trend(expenses: DataFrame, cac_ltv: DataFrame, channel: str = OUTB
         "cac_usd",
         "cac_ltv_ratio",
         growth.alias("headcount_cost_growth_pct"),
-    )
+    ).orderBy("month_date")

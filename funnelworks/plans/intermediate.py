@@ -74,7 +74,7 @@ def int_leads_enriched(leads: DataFrame, opportunities: DataFrame) -> DataFrame:
         "demo_scheduled_at",
         F.col("last_sales_call_at").alias("opp_last_sales_call_at"),
     )
-    j = left_join_spread_nulls(leads, opp, "converted_opportunity_id", "o_opportunity_id")
+    j = left_join_spread_nulls(leads, opp, "converted_opportunity_id", "o_opportunity_id", ["lead_id"])
     form = F.col("form_submission_date")
     form_ts = form.cast("timestamp_ntz")
     speed = F.when(form.isNotNull(), hours_between(form_ts, "first_sales_call_at").cast("decimal(10,2)"))

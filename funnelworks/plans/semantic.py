@@ -201,7 +201,8 @@ def metric_query(
     registry: MetricRegistry | None = None,
 ) -> DataFrame:
     """Metrics grouped by dimensions.  ``tables`` maps mart names to frames;
-    ``where`` is a SQL predicate over dimensions applied before aggregation."""
+    ``where`` is a SQL predicate over dimensions applied before aggregation,
+    or the name of a filter declared on the semantic model."""
     reg = registry or MetricRegistry()
     per_model: dict[str, list[tuple[Metric, str]]] = {}
     for name in metrics:
@@ -215,7 +216,7 @@ def metric_query(
         model = reg.models[model_name]
         src = tables[model.table]
         if where:
-            src = src.filter(F.expr(where))
+            src = src.filter(F.expr(model.filters.get(where, where)))
         dims = [_dimension(model, d) for d in group_by]
         aggs = [a for metric, out in items for a in _measure_aggs(model.measure(metric.measure), metric.filter, out)]
         grouped = src.groupBy(*dims).agg(*aggs) if dims else src.agg(*aggs)
@@ -275,13 +276,13 @@ WINDOW = ("2024-01-01", "2024-06-01")
 def vq_outbound_cac(cac: DataFrame) -> DataFrame:
     return cac.filter((F.col("channel") == "outbound") & F.col("month_date").between(*WINDOW)).select(
         "month_date", "cac_usd", "new_customers_won", "cac_ltv_ratio"
-    )
+    ).orderBy("month_date")
 
 
 def vq_funnel_rates(funnel: DataFrame) -> DataFrame:
     return funnel.filter(F.col("month_date").between(*WINDOW)).select(
         "channel", "month_date", "leads_created", "lead_to_demo_set_rate", "demo_to_close_rate", "overall_conversion_rate"
-    )
+    ).orderBy("channel", "month_date")
 
 
 def _avg0(col: str, precision: int = 14) -> Column:
@@ -294,6 +295,7 @@ def vq_lead_tier_counts(leads: DataFrame) -> DataFrame:
         leads.filter((dq == F.lit(False)) | dq.isNull())
         .groupBy("channel", "conversion_probability_tier")
         .agg(F.count(F.lit(1)).alias("lead_count"), _avg0("predicted_monthly_gmv_usd").alias("avg_gmv_usd"))
+        .orderBy("channel", "conversion_probability_tier")
     )
 
 
@@ -310,7 +312,7 @@ def vq_cac_ltv_trend(cac: DataFrame) -> DataFrame:
         "cac_ltv_ratio",
         prev.alias("prev_month_ratio"),
         (F.col("cac_ltv_ratio") - prev).cast("decimal(9,4)").alias("mom_change"),
-    )
+    ).orderBy("channel", "month_date")
 
 
 def vq_hot_pipeline(leads: DataFrame) -> DataFrame:
@@ -329,4 +331,4 @@ def vq_hot_pipeline(leads: DataFrame) -> DataFrame:
 def vq_speed_impact(funnel: DataFrame) -> DataFrame:
     return funnel.filter((F.col("channel") == "inbound") & F.col("month_date").between(*WINDOW)).select(
         "month_date", "channel", "avg_speed_to_first_contact_hours", "overall_conversion_rate", "lead_to_demo_set_rate"
-    )
+    ).orderBy("month_date")

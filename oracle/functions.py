@@ -23,6 +23,10 @@ q("fn_blank_to_null", "SELECT lead_id, nullif(trim(converted_opportunity_id), ''
 q("fn_normalize_status",
   "SELECT lead_id, status, CASE WHEN status = 'Incorrect_Contact_Data' THEN 'Incorrect Contact Data' ELSE status END "
   "AS status_clean FROM raw_leads")
+q("fn_status_flags",
+  "SELECT lead_id, coalesce(status = 'Converted', false) AS is_converted, coalesce(status IN ('Disqualified', "
+  "'Not Interested', 'Incorrect Contact Data', 'Incorrect_Contact_Data', 'No Longer With Company'), false) "
+  "AS is_disqualified FROM raw_leads")
 q("fn_total_activity",
   "SELECT lead_id, coalesce(sales_call_count, 0) + coalesce(sales_text_count, 0) + coalesce(sales_email_count, 0) "
   "AS total_activity FROM stg_leads")

@@ -259,3 +259,12 @@ FULL OUTER JOIN
 ON a.m IS NOT DISTINCT FROM b.m
 """,
 )
+
+q(
+    "metric_query_named_filter",
+    f"""
+SELECT channel, count(CASE WHEN conversion_probability_tier = 'hot' THEN lead_sk END) AS hot_lead_count,
+  {avg_exact('predicted_monthly_gmv_usd', 2, 6, 18)} AS avg_prospect_gmv
+FROM mart_leading_indicators WHERE channel = 'inbound' AND is_disqualified = false GROUP BY channel
+""",
+)
