@@ -493,7 +493,19 @@ def _q_first_value(spark, sf):
 
 @register("date_spine")
 def _q_spine(spark, sf):
-    return _rs.date_spine(spark, "2020-01-01", "2030-01-01")
+    """The 2020-2029 day spine with each day's inbound form submissions
+    (zero on days without any): the calendar side is bounded (3,653 rows) and
+    broadcast; the lead side is aggregated to day grain first."""
+    daily = (
+        models(spark, sf)
+        .stg_leads.filter(F.col("form_submission_date").isNotNull())
+        .groupBy(F.col("form_submission_date").alias("date_day"))
+        .agg(F.count(F.lit(1)).alias("leads_submitted"))
+    )
+    spine = F.broadcast(_rs.date_spine(spark, "2020-01-01", "2030-01-01"))
+    return spine.join(daily, "date_day", "left").select(
+        "date_day", F.coalesce(F.col("leads_submitted"), F.lit(0)).alias("leads_submitted")
+    )
 
 
 # ---- incremental refresh -------------------------------------------------------------

@@ -26,7 +26,6 @@ EXECUTION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

@@ -84,5 +84,10 @@ q(
     "GROUP BY 1, 2) d",
 )
 OPS["win_first_value_growth"] = REPORTS["analysis_headcount_trend"]
-q("date_spine", "SELECT * FROM date_spine")
+q(
+    "date_spine",
+    "SELECT s.date_day, coalesce(d.n, 0) AS leads_submitted FROM date_spine s LEFT JOIN "
+    "(SELECT form_submission_date AS date_day, count(*) AS n FROM stg_leads WHERE form_submission_date IS NOT NULL "
+    "GROUP BY 1) d ON s.date_day = d.date_day",
+)
 _ = rdiv

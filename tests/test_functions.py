@@ -155,3 +155,11 @@ def test_stage_flags_and_dedup(spark):
     )
     got = {r.opportunity_id: (r.is_won, r.is_lost, r.is_open) for r in stg_opportunities(raw).collect()}
     assert got == {"x": (False, False, False), "y": (True, False, False)}
+
+
+def test_date_spine(spark):
+    from funnelworks.operators.reshape import date_spine
+
+    days = date_spine(spark, "2020-01-01", "2030-01-01")
+    agg = days.agg({"date_day": "min"}).collect()[0][0], days.agg({"date_day": "max"}).collect()[0][0], days.count()
+    assert agg == (dt.date(2020, 1, 1), dt.date(2029, 12, 31), 3653)
