@@ -94,17 +94,31 @@ def audit_leads(raw_leads: DataFrame) -> DataFrame:
     return enforce_contract(audit(raw_leads, "lead_id", lead_rules(), "leads"), C.AUDIT)
 
 
-def lead_findings_dated(raw_leads: DataFrame) -> DataFrame:
-    """(month_date, audit_category, record_key) dated by the same row's
-    repaired form date; undated findings (outbound leads) are dropped."""
-    month = month_trunc(fix_millennium_date("form_submission_date")).alias("month_date")
+def _category_names(rules) -> Column:
+    """Array of the categories whose rule holds for the row."""
+    return F.array_compact(F.array(*[F.when(r.predicate, F.lit(r.category)) for r in rules]))
+
+
+def dated_rows(df: DataFrame, month: Column, key: Column, categories: Column) -> DataFrame:
+    """One pass over a source: each anchored row emits one (month, category,
+    record) row per finding plus one volume marker (category null), so the
+    monthly volume and the findings are aggregated together."""
     return (
-        audit(raw_leads, "lead_id", lead_rules(), "leads", carry=[month])
+        df.select(month.alias("month_date"), key.cast("string").alias("record_key"), categories.alias("cats"))
         .filter(F.col("month_date").isNotNull())
-        .select("month_date", "audit_category", "record_key")
+        .select(
+            "month_date",
+            "record_key",
+            F.explode(F.concat("cats", F.array(F.lit(None).cast("string")))).alias("audit_category"),
+        )
     )
 
 
+def lead_rows_dated(raw_leads: DataFrame) -> DataFrame:
+    month = month_trunc(fix_millennium_date("form_submission_date"))
+    return dated_rows(raw_leads, month, F.col("lead_id"), _category_names(lead_rules()))
+
+
 def opp_rules() -> list[AuditRule]:
     close, demo_set = F.col("close_date"), F.col("demo_set_date")
     stage = F.col("stage_name")
@@ -152,16 +166,16 @@ def audit_opportunities(raw_opps: DataFrame) -> DataFrame:
     return enforce_contract(dups.unionByName(rest), C.AUDIT)
 
 
-def opp_findings_dated(raw_opps: DataFrame) -> DataFrame:
-    """(month_date, audit_category, record_key): findings dated by the
-    creation month of the deduplicated row they belong to."""
+def opp_rows_dated(raw_opps: DataFrame) -> DataFrame:
+    """Deduplicated opportunities, each with its findings (duplicate_row when
+    its id has more than one raw row) and a volume marker, dated by creation
+    month.  The duplicate-id set is a partially aggregated group-by of the raw
+    rows; AQE broadcasts it when small (the normal case), else sort-merges."""
     deduped = dedup_exact(raw_opps)
-    month = month_trunc(F.col("created_date").cast("timestamp_ntz")).alias("month_date")
-    rest = audit(deduped, "opportunity_id", opp_rules(), "opportunities", carry=[month]).select(
-        "month_date", "audit_category", "record_key"
-    )
-    dup_ids = _duplicate_ids(raw_opps).select("opportunity_id")
-    dup_rows = deduped.select("opportunity_id", month).join(dup_ids, "opportunity_id", "inner").select(
-        "month_date", F.lit(DUPLICATE_ROW).alias("audit_category"), F.col("opportunity_id").alias("record_key")
+    dup_ids = _duplicate_ids(raw_opps).select(F.col("opportunity_id").alias("__dup_id"))
+    flagged = deduped.join(dup_ids, deduped["opportunity_id"] == dup_ids["__dup_id"], "left")
+    cats = F.concat(
+        F.array(F.when(F.col("__dup_id").isNotNull(), F.lit(DUPLICATE_ROW))), _category_names(opp_rules())
     )
-    return dup_rows.unionByName(rest).filter(F.col("month_date").isNotNull())
+    month = month_trunc(F.col("created_date").cast("timestamp_ntz"))
+    return dated_rows(flagged, month, F.col("opportunity_id"), F.array_compact(cats))

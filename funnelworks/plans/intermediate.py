@@ -14,7 +14,7 @@ Scale notes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from funnelworks.functions import (
@@ -184,31 +184,38 @@ def int_restaurant_profile(enriched: DataFrame) -> DataFrame:
     return enforce_contract(df, C.INT_RESTAURANT_PROFILE)
 
 
-def _monthly_findings(findings: DataFrame, volumes: DataFrame, source_table: str) -> DataFrame:
-    """findings(month_date, audit_category, record_key) + volumes(month_date,
-    monthly_record_count) → one row per month × category."""
-    agg = findings.groupBy("month_date", "audit_category").agg(
-        F.count(F.lit(1)).alias("finding_count"),
-        F.count_distinct("record_key").alias("affected_records"),
+def _monthly_findings(rows: DataFrame, source_table: str) -> DataFrame:
+    """rows(month_date, record_key, audit_category) with volume markers
+    (null category) → one row per month × category with the month's volume.
+    Finding counts, distinct affected records and volumes come from ONE
+    aggregate; the volume is attached with a window over that (month ×
+    category-grain, tiny) aggregate, so the source is scanned once — a second
+    filtered use of the aggregate would be pushed below it and re-scan."""
+    cat = F.col("audit_category")
+    agg = rows.groupBy("month_date", "audit_category").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct(F.when(cat.isNotNull(), F.col("record_key"))).alias("affected_records"),
     )
-    return agg.join(F.broadcast(volumes), "month_date", "inner").select(
+    per_month = Window.partitionBy("month_date")
+    with_volume = agg.withColumn("monthly_record_count", F.max(F.when(cat.isNull(), F.col("n"))).over(per_month))
+    return with_volume.filter(cat.isNotNull()).select(
         "month_date",
         F.lit(source_table).alias("source_table"),
         "audit_category",
-        "finding_count",
+        F.col("n").alias("finding_count"),
         "affected_records",
         "monthly_record_count",
     )
 
 
-def int_audit_by_month(lead_findings: DataFrame, lead_volumes: DataFrame, opp_findings: DataFrame, opp_volumes: DataFrame) -> DataFrame:
+def int_audit_by_month(lead_rows: DataFrame, opp_rows: DataFrame) -> DataFrame:
     """Audit findings per month × source × category, with the source's
     monthly record volume and the affected share.  Each finding carries the
     anchor month of the source row it came from (form date for leads, creation
-    date for opportunities); findings without an anchor are dropped."""
-    unioned = _monthly_findings(lead_findings, lead_volumes, "leads").unionByName(
-        _monthly_findings(opp_findings, opp_volumes, "opportunities")
-    )
+    date for opportunities); findings without an anchor are dropped.  Inputs
+    are ``audits.lead_rows_dated`` / ``audits.opp_rows_dated``: one pass per
+    source yields both findings and volumes."""
+    unioned = _monthly_findings(lead_rows, "leads").unionByName(_monthly_findings(opp_rows, "opportunities"))
     df = unioned.select(
         surrogate_key("month_date", "source_table", "audit_category").alias("audit_month_sk"),
         "month_date",

@@ -73,10 +73,7 @@ class GtmModels:
     @cached_property
     def int_audit_by_month(self) -> DataFrame:
         return intermediate.int_audit_by_month(
-            audits.lead_findings_dated(self.raw.leads),
-            intermediate.monthly_volume(self.stg_leads, "form_submission_date"),
-            audits.opp_findings_dated(self.raw.opportunities),
-            intermediate.monthly_volume(self.stg_opportunities, "created_at"),
+            audits.lead_rows_dated(self.raw.leads), audits.opp_rows_dated(self.raw.opportunities)
         )
 
     # ---- marts -------------------------------------------------------------
