@@ -161,6 +161,15 @@ def model_tables(m: GtmModels) -> dict[str, DataFrame]:
     return {name: getattr(m, name) for name in MODEL_KEYS}
 
 
+def stored_model_tables(spark, sf) -> dict[str, DataFrame]:
+    """Models over stored bases (raw exports and enriched leads written once
+    to the shared checkpoint folder), so a suite of ~100 tests does not
+    recompute the raw projection for every test."""
+    from funnelworks.plans.pipeline import materialized_models
+
+    return model_tables(materialized_models(spark, load_raw_sources(spark, sf)))
+
+
 for _kind, _key in [
     ("not_null", "dq_not_null"),
     ("unique", "dq_unique"),
@@ -169,11 +178,11 @@ for _kind, _key in [
     ("accepted_range", "dq_range"),
     ("not_null_proportion", "dq_not_null_proportion"),
 ]:
-    QUERIES[_key] = (
-        lambda kind: lambda spark, sf: _dq.run_tests(model_tables(models(spark, sf)), _suite.specs(kind))
-    )(_kind)
+    QUERIES[_key] = (lambda kind: lambda spark, sf: _dq.run_tests(stored_model_tables(spark, sf), _suite.specs(kind)))(
+        _kind
+    )
 
-QUERIES["dq_suite"] = lambda spark, sf: _dq.run_tests(model_tables(models(spark, sf)), _suite.specs())
+QUERIES["dq_suite"] = lambda spark, sf: _dq.run_tests(stored_model_tables(spark, sf), _suite.specs())
 
 
 @register("dq_relationships")

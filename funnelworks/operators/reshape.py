@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 
 def dedup_exact(df: DataFrame) -> DataFrame:
-    """Drop rows identical in every column (hash aggregate with map-side
-    partial aggregation, so copies collapse before the shuffle)."""
+    """Drop rows identical in every column.  Hash aggregate on all columns
+    with map-side partial aggregation: copies of a hot row collapse before the
+    shuffle, so a key holding a third of the rows is not one task's input."""
     return df.distinct()
 
 

@@ -13,7 +13,7 @@ from funnelworks.functions import clean_timestamp, fix_millennium_date, hours_be
 from funnelworks.operators.audit import AuditRule, audit
 from funnelworks.operators.contracts import enforce_contract
 from funnelworks.plans import contracts_catalog as C
-from funnelworks.plans.staging import dedup_exact
+from funnelworks.operators.reshape import dedup_exact
 
 # Audit categories and their detail texts.
 MILLENNIUM_DATE_DEFECT = "millennium_date_defect"

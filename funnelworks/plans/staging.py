@@ -23,6 +23,7 @@ from funnelworks.functions import (
     surrogate_key,
 )
 from funnelworks.operators.contracts import enforce_contract
+from funnelworks.operators.reshape import dedup_exact
 from funnelworks.plans import contracts_catalog as C
 
 # Status spellings.
@@ -100,14 +101,6 @@ def stg_leads(raw: DataFrame) -> DataFrame:
     return enforce_contract(df, C.STG_LEADS)
 
 
-def dedup_exact(df: DataFrame) -> DataFrame:
-    """Drop byte-identical duplicate rows.  Hash aggregate on all columns with
-    map-side partial aggregation: copies of a hot row collapse before the
-    shuffle, so a key holding a third of the rows does not become one task's
-    input."""
-    return df.distinct()
-
-
 def stg_opportunities(raw: DataFrame) -> DataFrame:
     stage = F.col("stage_name")
     df = dedup_exact(raw).select(
