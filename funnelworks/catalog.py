@@ -8,10 +8,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from funnelworks import functions as fx
+from funnelworks.operators import quality as _dq
+from funnelworks.operators import reshape as _rs
+from funnelworks.operators.joins import left_join_spread_nulls
+from funnelworks.plans import analyses as _an
+from funnelworks.plans import incremental_marts as _inc
+from funnelworks.plans import marts as _marts
+from funnelworks.plans import quality_suite as _suite
+from funnelworks.plans import semantic as _sem
 from funnelworks.plans.models import GtmModels
+from funnelworks.session import scratch_path
+from funnelworks.sources.driver_tables import read_table
 from funnelworks.sources.gtm_raw import load_raw_sources
+from funnelworks.streaming.incremental import lookback_start, watermark_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -68,8 +81,6 @@ for _key in MODEL_KEYS:
 
 
 # ---- analyses -----------------------------------------------------------------
-from funnelworks.plans import analyses as _an  # noqa: E402
-from funnelworks.plans import semantic as _sem  # noqa: E402
 
 
 @register("analysis_speed_buckets")
@@ -152,9 +163,6 @@ QUERIES["metric_query_named_filter"] = lambda spark, sf: run_metrics(
 
 
 # ---- data tests -------------------------------------------------------------------
-from funnelworks.operators import quality as _dq  # noqa: E402
-from funnelworks.plans import quality_suite as _suite  # noqa: E402
-from funnelworks.sources.driver_tables import read_table  # noqa: E402
 
 
 def model_tables(m: GtmModels) -> dict[str, DataFrame]:
@@ -253,9 +261,6 @@ def _q_lead_count(spark, sf):
 
 
 # ---- scalar functions over whole tables -----------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
-
-from funnelworks import functions as fx  # noqa: E402
 
 
 def _raw_leads(spark, sf):
@@ -351,11 +356,6 @@ QUERIES.update(FUNCTION_QUERIES)
 
 
 # ---- generic operators on whole tables ------------------------------------------------
-from pyspark.sql import Window  # noqa: E402
-
-from funnelworks.operators import reshape as _rs  # noqa: E402
-from funnelworks.operators.joins import left_join_spread_nulls  # noqa: E402
-from funnelworks.plans import marts as _marts  # noqa: E402
 
 
 @register("dedup_exact")
@@ -518,9 +518,6 @@ def _q_spine(spark, sf):
 
 
 # ---- incremental refresh -------------------------------------------------------------
-from funnelworks.plans import incremental_marts as _inc  # noqa: E402
-from funnelworks.session import scratch_path  # noqa: E402
-from funnelworks.streaming.incremental import lookback_start, watermark_filter  # noqa: E402
 
 # Fixed scenario: an earlier CRM snapshot (orders placed before 1998) is
 # built in full, then the complete sources are refreshed incrementally as of
