@@ -7,9 +7,10 @@ Two delete+insert strategies, both safe to re-run after a failure:
   the key values present in the batch are replaced, all other keys are kept.
 * ``refresh_by_key`` — unique key = one column (lead_sk).  The new table is
   old ⟕anti batch-keys ∪ batch, written to a NEW version directory (a path
-  is never overwritten while it is being read); readers pick the newest
-  complete version (the one with a ``_SUCCESS`` marker), so a job killed
-  half-way leaves the previous version intact.
+  is never overwritten while it is being read).  Only after that write
+  succeeds is the version appended to the table's ``_commits`` log (a tiny
+  Parquet table); readers take the newest committed version, so a job killed
+  half-way leaves the previous version current.
 
 Batch selection: ``lookback_filter`` (trailing N months from an explicit
 ``as_of`` date — never the wall clock) and ``high_watermark`` (rows at or
@@ -22,16 +23,14 @@ applied.  A batch whose schema differs from the stored table fails.
 from __future__ import annotations
 
 import os
-import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from funnelworks.operators.contracts import check_schema_unchanged
 
-_VERSION = re.compile(r"^version-(\d{8})$")
-
 
 # ---- batch selection ------------------------------------------------------------
 def lookback_start(as_of: str, months: int) -> Column:
@@ -57,26 +56,26 @@ def watermark_filter(df: DataFrame, target: DataFrame, col: str, include_nulls:
     return df.filter(cond)
 
 
-# ---- storage helpers ------------------------------------------------------------
-def _fs_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+# ---- storage helpers (public DataFrame API only) --------------------------------
+def _table_exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).schema  # noqa: B018 - resolves the file listing
+        return True
+    except AnalysisException:
+        return False
 
 
 def _list_versions(spark: SparkSession, base: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(base)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
+    commits = os.path.join(base, "_commits")
+    if not _table_exists(spark, commits):
         return []
-    out = []
-    for st in fs.listStatus(p):
-        m = _VERSION.match(st.getPath().getName())
-        if m and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(m.group(1)))
-    return sorted(out)
+    return sorted(r.version for r in spark.read.parquet(commits).select("version").distinct().collect())
+
+
+def _commit(spark: SparkSession, base: str, version: int) -> None:
+    spark.createDataFrame([(version,)], "version int").coalesce(1).write.mode("append").parquet(
+        os.path.join(base, "_commits")
+    )
 
 
 def current_version_path(spark: SparkSession, base: str) -> str | None:
@@ -103,7 +102,7 @@ def refresh_partitions(
     """delete+insert on the partition key columns; returns the stored table
     re-read in the batch's column order and types."""
     schema = batch.schema
-    exists = _fs_exists(spark, os.path.join(path, "_SUCCESS"))
+    exists = _table_exists(spark, path)
     if exists and not full_refresh:
         stored = spark.read.parquet(path)
         stored = stored.select(*[c for c in batch.columns if c in stored.columns])
@@ -135,6 +134,10 @@ def refresh_by_key(
         new = kept.unionByName(batch)
     else:
         new = batch
-    target = os.path.join(base, f"version-{(versions[-1] + 1) if versions else 1:08d}")
-    new.write.mode("errorifexists").parquet(target)
+    version = (versions[-1] + 1) if versions else 1
+    target = os.path.join(base, f"version-{version:08d}")
+    # A leftover folder of an uncommitted attempt is replaced; committed
+    # versions are never rewritten.
+    new.write.mode("overwrite").parquet(target)
+    _commit(spark, base, version)
     return spark.read.schema(batch.schema).parquet(target)
