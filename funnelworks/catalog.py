@@ -565,3 +565,28 @@ def _q_inc_watermark(spark, sf):
     return watermark_filter(models(spark, sf).int_leads_enriched, stored, "last_sales_activity_at").select(
         "lead_id", "last_sales_activity_at"
     )
+
+
+@register("enforce_contract")
+def _q_enforce_contract(spark, sf):
+    """The final cast projection: a frame whose columns carry raw / wider
+    types (text location count, bigint list size, double LTV inputs) is cast
+    to the restaurant-profile contract, which also checks names and order."""
+    from funnelworks.operators.contracts import enforce_contract
+    from funnelworks.plans.contracts_catalog import INT_RESTAURANT_PROFILE
+
+    e = models(spark, sf).int_leads_enriched
+    loose = e.select(
+        "lead_sk",
+        "lead_id",
+        "channel",
+        "is_converted",
+        "is_won",
+        F.col("location_count").cast("string").alias("location_count"),
+        "cuisine_types_cleaned",
+        fx.list_count("marketplaces_used_cleaned").cast("bigint").alias("marketplace_count"),
+        F.col("olo_tools_cleaned").isNotNull().alias("has_olo_tool"),
+        F.col("predicted_monthly_gmv_usd").cast("decimal(20,6)").alias("predicted_monthly_gmv_usd"),
+        fx.ltv_estimate("predicted_monthly_gmv_usd").cast("decimal(20,6)").alias("estimated_annual_ltv_usd"),
+    )
+    return enforce_contract(loose, INT_RESTAURANT_PROFILE, cast=True)

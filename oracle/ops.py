@@ -91,3 +91,4 @@ q(
     "GROUP BY 1) d ON s.date_day = d.date_day",
 )
 _ = rdiv
+OPS["enforce_contract"] = sql("SELECT * FROM int_restaurant_profile")
