@@ -97,7 +97,7 @@ def _by_key(col: Column, mapping: dict) -> Column:
 
 def euro_text(cents: Column) -> Column:
     """Render integer cents (< 1e9) as "12 345,67" (NBSP thousands group)."""
-    whole = ((cents - cents % 100) / 100).cast("bigint")
+    whole = ((cents - cents % 100) / 100).cast("bigint")  # exact: cents < 1e9
     frac = (cents % 100).cast("string")
     grouped = F.when(
         whole >= 1000,
@@ -231,7 +231,7 @@ def raw_leads(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 
 def raw_opportunities(orders: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
-    j = (k / 9).cast("bigint")
+    j = F.expr("o_orderkey div 9")  # integer division, exact for any key size
     stage = F.when(j % 53 == 7, F.lit(None).cast("string")).otherwise(_pick(j % 7, STAGE_CYCLE))
     created = _plus_hours(
         F.date_add(F.lit("2024-01-01").cast("date"), (k % 182).cast("int")).cast("timestamp_ntz"), k % 24
