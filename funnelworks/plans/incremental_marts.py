@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from funnelworks.plans import marts
 from funnelworks.plans.intermediate import cohort_stats
 from funnelworks.plans.models import GtmModels
-from funnelworks.streaming.incremental import (
+from funnelworks.streaming.incremental import (  # noqa: F401 (re-exported for the pipeline)
     _table_exists,
     lookback_start,
     read_current,
@@ -27,28 +27,32 @@ def _since(spark: SparkSession, path: str, as_of: str | None, months: int, full_
     return lookback_start(as_of, months) if incremental else None
 
 
-def cac_ltv_batch(m: GtmModels, since=None) -> DataFrame:
-    return marts.mart_cac_ltv(cohort_stats(m.int_leads_enriched, since), m.int_expenses_channel_month)
+def cac_ltv_batch(m: GtmModels, since=None, stats: DataFrame | None = None) -> DataFrame:
+    stats = cohort_stats(m.int_leads_enriched, since) if stats is None else stats
+    return marts.mart_cac_ltv(stats, m.int_expenses_channel_month)
 
 
-def gtm_funnel_batch(m: GtmModels, since=None) -> DataFrame:
-    return marts.mart_gtm_funnel(cohort_stats(m.int_leads_enriched, since))
+def gtm_funnel_batch(m: GtmModels, since=None, stats: DataFrame | None = None) -> DataFrame:
+    stats = cohort_stats(m.int_leads_enriched, since) if stats is None else stats
+    return marts.mart_gtm_funnel(stats)
 
 
 def build_mart_cac_ltv(
     spark: SparkSession, m: GtmModels, path: str, as_of: str | None = None,
-    lookback_months: int = DEFAULT_LOOKBACK_MONTHS, full_refresh: bool = False,
+    lookback_months: int = DEFAULT_LOOKBACK_MONTHS, full_refresh: bool = False, stats: DataFrame | None = None,
 ) -> DataFrame:
+    """``stats``: a precomputed cohort aggregate for the same lookback (the
+    pipeline computes it once for both month marts)."""
     since = _since(spark, path, as_of, lookback_months, full_refresh)
-    return refresh_partitions(spark, cac_ltv_batch(m, since), path, MONTH_KEYS, full_refresh)
+    return refresh_partitions(spark, cac_ltv_batch(m, since, stats), path, MONTH_KEYS, full_refresh)
 
 
 def build_mart_gtm_funnel(
     spark: SparkSession, m: GtmModels, path: str, as_of: str | None = None,
-    lookback_months: int = DEFAULT_LOOKBACK_MONTHS, full_refresh: bool = False,
+    lookback_months: int = DEFAULT_LOOKBACK_MONTHS, full_refresh: bool = False, stats: DataFrame | None = None,
 ) -> DataFrame:
     since = _since(spark, path, as_of, lookback_months, full_refresh)
-    return refresh_partitions(spark, gtm_funnel_batch(m, since), path, MONTH_KEYS, full_refresh)
+    return refresh_partitions(spark, gtm_funnel_batch(m, since, stats), path, MONTH_KEYS, full_refresh)
 
 
 def leading_indicators_batch(
