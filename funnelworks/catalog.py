@@ -157,6 +157,12 @@ QUERIES["metric_query_outbound_2024"] = lambda spark, sf: run_metrics(
     ["month_date__month"],
     where="channel = 'outbound' and month_date between '2024-01-01' and '2024-06-01'",
 )
+QUERIES["metric_query_leads_by_activity_month"] = lambda spark, sf: run_metrics(
+    spark, sf, ["total_lead_count", "hot_lead_count", "avg_prospect_gmv"], ["channel", "last_sales_activity_at__month"]
+)
+QUERIES["metric_query_metric_time"] = lambda spark, sf: run_metrics(
+    spark, sf, ["cac_usd", "total_lead_count"], ["metric_time__month"]
+)
 QUERIES["metric_query_named_filter"] = lambda spark, sf: run_metrics(
     spark, sf, ["hot_lead_count", "avg_prospect_gmv"], ["channel"], where="inbound_active"
 )

@@ -171,6 +171,8 @@ def _dimension(model: SemanticModel, dim: str) -> Column:
     """'channel' or a time dimension with grain suffix, e.g. 'month_date__month'."""
     if "__" in dim:
         base, grain = dim.split("__", 1)
+        if base == "metric_time":  # each model's default aggregation time dimension
+            base = model.default_time
         if base not in model.time_dimensions:
             raise KeyError(f"{model.name} has no time dimension {base}")
         return F.date_trunc(grain, F.col(base)).cast("date").alias(dim)

@@ -268,3 +268,26 @@ SELECT channel, count(CASE WHEN conversion_probability_tier = 'hot' THEN lead_sk
 FROM mart_leading_indicators WHERE channel = 'inbound' AND is_disqualified = false GROUP BY channel
 """,
 )
+
+q(
+    "metric_query_leads_by_activity_month",
+    f"""
+SELECT channel, CAST(date_trunc('month', last_sales_activity_at) AS DATE) AS last_sales_activity_at__month,
+  count(lead_sk) AS total_lead_count,
+  count(CASE WHEN conversion_probability_tier = 'hot' THEN lead_sk END) AS hot_lead_count,
+  {avg_exact('predicted_monthly_gmv_usd', 2, 6, 18)} AS avg_prospect_gmv
+FROM mart_leading_indicators GROUP BY ALL
+""",
+)
+q(
+    "metric_query_metric_time",
+    f"""
+SELECT coalesce(a.m, b.m) AS metric_time__month, a.cac_usd, b.total_lead_count FROM
+ (SELECT CAST(date_trunc('month', month_date) AS DATE) AS m, {avg_exact('cac_usd', 2, 6, 18)} AS cac_usd
+  FROM mart_cac_ltv GROUP BY 1) a
+FULL OUTER JOIN
+ (SELECT CAST(date_trunc('month', last_sales_activity_at) AS DATE) AS m, count(lead_sk) AS total_lead_count
+  FROM mart_leading_indicators GROUP BY 1) b
+ON a.m IS NOT DISTINCT FROM b.m
+""",
+)
