@@ -16,7 +16,7 @@ SUBSET = [
     "stg_leads", "stg_opportunities", "audit_leads", "audit_opportunities", "int_audit_by_month",
     "int_leads_enriched", "mart_cac_ltv", "mart_gtm_funnel", "mart_leading_indicators",
     "mart_data_quality_monitor", "metric_query_cac_ltv_vs_demo_rate", "vq_cac_ltv_trend", "dq_suite",
-    "inc_lead_refresh", "analysis_speed_buckets",
+    "inc_lead_refresh", "analysis_speed_buckets", "metric_query_metric_time", "enforce_contract",
 ]
 KEYS = list(entry.queries()) if os.environ.get("FULL_ORACLE") else SUBSET
 
