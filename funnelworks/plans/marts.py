@@ -23,23 +23,25 @@ def mart_cac_ltv(stats: DataFrame, expenses: DataFrame) -> DataFrame:
     """Cost, wins, CAC, won-lead GMV/LTV averages and LTV:CAC per month ×
     channel; limited to months with cost data (inner join).  CAC and the ratio
     are computed from unrounded inputs: ratio = (ltv_sum / ltv_n) / (cost /
-    won), evaluated as one exact division."""
+    won), each quotient kept at 12 fractional digits before the final cast."""
     cost = F.broadcast(expenses.select("month_date", "channel", "total_cost_usd"))  # month-grain
     j = stats.join(cost, ["month_date", "channel"], "inner")
     won = F.col("closed_won")
-    ratio = F.when(
-        won > 0,
-        exact_ratio(F.col("won_ltv_sum") * won, F.col("won_ltv_n") * F.col("total_cost_usd")),
-    )
+    # Unrounded (12 fractional digits) average LTV and CAC, then their ratio:
+    # both operands stay in the money range at any data volume, so the
+    # division never leaves the narrowed decimal range.
+    avg_ltv = exact_ratio("won_ltv_sum", "won_ltv_n")
+    cac = exact_ratio("total_cost_usd", won)
+    ratio = exact_ratio(avg_ltv, cac)
     df = j.select(
         surrogate_key("month_date", "channel").alias("cac_ltv_sk"),
         "month_date",
         "channel",
         F.col("total_cost_usd").cast("decimal(12,2)").alias("total_cost_usd"),
         won.alias("new_customers_won"),
-        exact_ratio("total_cost_usd", won).cast("decimal(12,2)").alias("cac_usd"),
+        cac.cast("decimal(12,2)").alias("cac_usd"),
         exact_ratio("won_gmv_sum", "won_gmv_n").cast("decimal(12,2)").alias("avg_predicted_monthly_gmv_usd"),
-        exact_ratio("won_ltv_sum", "won_ltv_n").cast("decimal(12,2)").alias("avg_estimated_ltv_usd"),
+        avg_ltv.cast("decimal(12,2)").alias("avg_estimated_ltv_usd"),
         ratio.cast("decimal(8,4)").alias("cac_ltv_ratio"),
     )
     return enforce_contract(df, C.MART_CAC_LTV)
