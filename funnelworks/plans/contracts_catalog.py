@@ -140,14 +140,16 @@ INT_RESTAURANT_PROFILE = contract(
     ("predicted_monthly_gmv_usd", "decimal(12,2)"),
     ("estimated_annual_ltv_usd", "decimal(12,2)"),
 )
+# Counts that grow with the data volume (findings, records per month) are
+# bigint: a 32-bit integer would overflow past 2^31 rows in one month.
 INT_AUDIT_BY_MONTH = contract(
     ("audit_month_sk", "string"),
     ("month_date", "date"),
     ("source_table", "string"),
     ("audit_category", "string"),
-    ("finding_count", "int"),
-    ("affected_records", "int"),
-    ("monthly_record_count", "int"),
+    ("finding_count", "bigint"),
+    ("affected_records", "bigint"),
+    ("monthly_record_count", "bigint"),
     ("pct_of_monthly_total", "decimal(6,4)"),
 )
 MART_CAC_LTV = contract(
@@ -205,14 +207,14 @@ MART_DATA_QUALITY_MONITOR = contract(
     ("total_cost_usd", "decimal(12,2)"),
     ("blended_cac_usd", "decimal(12,2)"),
     ("mom_revenue_change_usd", "decimal(12,2)"),
-    ("total_audit_findings", "int"),
-    ("total_audit_affected_records", "int"),
-    ("total_records_in_scope", "int"),
+    ("total_audit_findings", "bigint"),
+    ("total_audit_affected_records", "bigint"),
+    ("total_records_in_scope", "bigint"),
     ("overall_audit_density", "decimal(6,4)"),
-    ("leads_audit_findings", "int"),
-    ("opps_audit_findings", "int"),
-    ("leads_audit_affected", "int"),
-    ("opps_audit_affected", "int"),
-    ("mom_audit_findings_change", "int"),
+    ("leads_audit_findings", "bigint"),
+    ("opps_audit_findings", "bigint"),
+    ("leads_audit_affected", "bigint"),
+    ("opps_audit_affected", "bigint"),
+    ("mom_audit_findings_change", "bigint"),
 )
 DATE_SPINE = contract(("date_day", "date"))

@@ -221,9 +221,9 @@ def int_audit_by_month(lead_rows: DataFrame, opp_rows: DataFrame) -> DataFrame:
         "month_date",
         "source_table",
         "audit_category",
-        F.col("finding_count").cast("int").alias("finding_count"),
-        F.col("affected_records").cast("int").alias("affected_records"),
-        F.col("monthly_record_count").cast("int").alias("monthly_record_count"),
+        F.col("finding_count").cast("bigint").alias("finding_count"),
+        F.col("affected_records").cast("bigint").alias("affected_records"),
+        F.col("monthly_record_count").cast("bigint").alias("monthly_record_count"),
         exact_ratio("affected_records", "monthly_record_count").cast("decimal(6,4)").alias("pct_of_monthly_total"),
     )
     return enforce_contract(df, C.INT_AUDIT_BY_MONTH)

@@ -157,16 +157,16 @@ def mart_data_quality_monitor(cac_ltv: DataFrame, audit_by_month: DataFrame) ->
         F.col("total_cost_usd").cast("decimal(12,2)").alias("total_cost_usd"),
         exact_ratio("_cac_x_won", "_won").cast("decimal(12,2)").alias("blended_cac_usd"),
         (ltv - F.lag(ltv).over(by_month)).cast("decimal(12,2)").alias("mom_revenue_change_usd"),
-        findings.cast("int").alias("total_audit_findings"),
-        zero("total_affected_records").cast("int").alias("total_audit_affected_records"),
-        zero("total_records_in_scope").cast("int").alias("total_records_in_scope"),
+        findings.cast("bigint").alias("total_audit_findings"),
+        zero("total_affected_records").cast("bigint").alias("total_audit_affected_records"),
+        zero("total_records_in_scope").cast("bigint").alias("total_records_in_scope"),
         exact_ratio(zero("total_affected_records"), F.col("total_records_in_scope"))
         .cast("decimal(6,4)")
         .alias("overall_audit_density"),
-        zero("leads_findings").cast("int").alias("leads_audit_findings"),
-        zero("opps_findings").cast("int").alias("opps_audit_findings"),
-        zero("leads_affected").cast("int").alias("leads_audit_affected"),
-        zero("opps_affected").cast("int").alias("opps_audit_affected"),
-        (findings - F.lag(findings).over(by_month)).cast("int").alias("mom_audit_findings_change"),
+        zero("leads_findings").cast("bigint").alias("leads_audit_findings"),
+        zero("opps_findings").cast("bigint").alias("opps_audit_findings"),
+        zero("leads_affected").cast("bigint").alias("leads_audit_affected"),
+        zero("opps_affected").cast("bigint").alias("opps_audit_affected"),
+        (findings - F.lag(findings).over(by_month)).cast("bigint").alias("mom_audit_findings_change"),
     )
     return enforce_contract(df, C.MART_DATA_QUALITY_MONITOR)
