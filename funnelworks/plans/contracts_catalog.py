@@ -203,10 +203,10 @@ MART_DATA_QUALITY_MONITOR = contract(
     ("dq_monitor_sk", "string"),
     ("month_date", "date"),
     ("new_customers_won", "bigint"),
-    ("estimated_monthly_ltv_usd", "decimal(12,2)"),
+    ("estimated_monthly_ltv_usd", "decimal(20,2)"),
     ("total_cost_usd", "decimal(12,2)"),
     ("blended_cac_usd", "decimal(12,2)"),
-    ("mom_revenue_change_usd", "decimal(12,2)"),
+    ("mom_revenue_change_usd", "decimal(20,2)"),
     ("total_audit_findings", "bigint"),
     ("total_audit_affected_records", "bigint"),
     ("total_records_in_scope", "bigint"),

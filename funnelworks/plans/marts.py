@@ -153,10 +153,10 @@ def mart_data_quality_monitor(cac_ltv: DataFrame, audit_by_month: DataFrame) ->
         surrogate_key("month_date").alias("dq_monitor_sk"),
         "month_date",
         F.col("new_customers_won").cast("bigint").alias("new_customers_won"),
-        ltv.cast("decimal(12,2)").alias("estimated_monthly_ltv_usd"),
+        ltv.cast("decimal(20,2)").alias("estimated_monthly_ltv_usd"),
         F.col("total_cost_usd").cast("decimal(12,2)").alias("total_cost_usd"),
         exact_ratio("_cac_x_won", "_won").cast("decimal(12,2)").alias("blended_cac_usd"),
-        (ltv - F.lag(ltv).over(by_month)).cast("decimal(12,2)").alias("mom_revenue_change_usd"),
+        (ltv - F.lag(ltv).over(by_month)).cast("decimal(20,2)").alias("mom_revenue_change_usd"),
         findings.cast("bigint").alias("total_audit_findings"),
         zero("total_affected_records").cast("bigint").alias("total_audit_affected_records"),
         zero("total_records_in_scope").cast("bigint").alias("total_records_in_scope"),
