@@ -76,3 +76,15 @@ def test_lookback_filter(spark):
     df = spark.createDataFrame([(D(2024, 3, 1),), (D(2024, 4, 1),), (D(2024, 6, 1),)], "m date")
     assert [r.m for r in lookback_filter(df, "m", "2024-06-15", 2).collect()] == [D(2024, 4, 1), D(2024, 6, 1)]
     _ = F
+
+
+def test_first_run_applies_no_filter(spark, tmp_dir):
+    """S12: with no stored target, an incremental call builds everything."""
+    from funnelworks.plans.incremental_marts import build_mart_gtm_funnel
+    from funnelworks.plans.models import GtmModels
+    from funnelworks.sources.gtm_raw import load_raw_sources
+
+    m = GtmModels(load_raw_sources(spark, "/root/testdata/sf0.001"))
+    first = build_mart_gtm_funnel(spark, m, f"{tmp_dir}/funnel", as_of="2024-06-15")
+    assert first.count() == m.mart_gtm_funnel.count()
+    assert first.filter(F.col("month_date") < D(2024, 4, 1)).count() > 0  # older months present
