@@ -131,6 +131,56 @@ def find_words(data: np.ndarray, borders: np.ndarray, kind: np.ndarray = NOT_SPA
     return Words(n, data, start, end, np.searchsorted(start, borders), sums)
 
 
+def white_space(data: np.ndarray) -> np.ndarray:
+    """Bytes of characters that Unicode calls white space."""
+    space = ~NOT_SPACE[data]
+    if (data == 0xC2).any():
+        at = np.flatnonzero(data[:-1] == 0xC2)
+        at = at[(data[at + 1] == 0x85) | (data[at + 1] == 0xA0)]
+        space[at] = space[at + 1] = True
+    for lead in (0xE1, 0xE2, 0xE3):
+        at = np.flatnonzero(data[:-2] == lead)
+        if not len(at):
+            continue
+        b, c = data[at + 1], data[at + 2]
+        if lead == 0xE1:
+            hit = (b == 0x9A) & (c == 0x80)
+        elif lead == 0xE3:
+            hit = (b == 0x80) & (c == 0x80)
+        else:
+            hit = ((b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))) | ((b == 0x81) & (c == 0x9F))
+        for j in range(3):
+            space[at[hit] + j] = True
+    return space
+
+
+def pre_tokens(data: np.ndarray, borders: np.ndarray) -> Words:
+    """The texts cut before every run of white space: each piece is a run of
+    white space, if any, with the characters up to the next."""
+    n, size = len(borders) - 1, len(data)
+    if not size:
+        none = np.zeros(0, np.int64)
+        return Words(n, data, none, none, np.zeros(n + 1, np.int64), np.zeros(1, U))
+    space = white_space(data)
+    opens = space.copy()
+    opens[1:] &= ~space[:-1]
+    opens[borders[:-1][borders[:-1] < borders[1:]]] = True
+    start = np.flatnonzero(opens)
+    sums = np.empty(size + 1, U)
+    sums[0] = 0
+    np.cumsum(_BYTE[data] * _power(_STEP, size), out=sums[1:])
+    return Words(n, data, start, np.append(start[1:], size), np.searchsorted(start, borders), sums)
+
+
+def texts_of(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.StringArray:
+    """The byte ranges, whole characters, as strings."""
+    size = end - start
+    at = np.zeros(len(size) + 1, np.int64)
+    np.cumsum(size, out=at[1:])
+    places = np.arange(at[-1]) + np.repeat(start - at[:-1], size)
+    return pa.StringArray.from_buffers(len(size), pa.py_buffer(at.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data[places])))
+
+
 def shingles(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashes of the ``k``-word runs of each text, sorted within the
     text, and borders.  A text of 1 to k - 1 words has its whole word
