@@ -33,6 +33,8 @@ _HEAD = struct.Struct("<8sII")  # magic, crc32 of the table, reserved
 _TAIL = struct.Struct("<QI8s")  # footer bytes, its crc32, magic
 _WORK = struct.Struct("<QQB")  # documents, ids, bytes an id
 MAGIC = b"RANIDS01"
+#: Tasks that add up the symbol counts of all files before the driver adds theirs.
+MERGES = 8
 
 
 @dataclass
@@ -198,6 +200,24 @@ def _table(folder: str) -> tuple[rans.Table, int]:
     return rans.Table.load(data), zlib.crc32(data)
 
 
+def _add_counts(batches) -> np.ndarray:
+    total = np.zeros(1, np.int64)
+    for batch in batches:
+        symbols, counts = (batch.column(i).flatten().to_numpy() for i in range(2))
+        if len(symbols):
+            more = np.bincount(symbols, counts, minlength=len(total)).astype(np.int64)
+            more[: len(total)] += total
+            total = more
+    return total
+
+
+def _merged_counts(batches):
+    total = _add_counts(batches)
+    used = np.flatnonzero(total)
+    kind = pa.list_(pa.int64())
+    yield pa.RecordBatch.from_arrays([pa.array([used], kind), pa.array([total[used]], kind)], ["symbols", "counts"])
+
+
 def _code(folder: str):
     def run(batches):
         table, crc = _table(folder)
@@ -229,9 +249,10 @@ def write_ids(docs: DataFrame, tokenizer: str, end: int = 1, folder: str | None
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(*order).sortWithinPartitions(*order)
     schema = "part int, work string, n_docs long, n_tokens long, symbols array<long>, counts array<long>"
     work = stored(rows.mapInArrow(_tokenise(folder, tokenizer, end), schema), "ids-work")
-    counted = work.select(F.explode(F.arrays_zip("symbols", "counts")).alias("x")).groupBy("x.symbols").agg(F.sum("x.counts").alias("n"))
-    seen = counted.orderBy("symbols").collect()  # one row a symbol of the vocabulary
-    table = rans.scaled(np.array([r[0] for r in seen], np.int64), np.array([r[1] for r in seen], np.int64))
+    merged = work.select("symbols", "counts").repartition(MERGES).mapInArrow(_merged_counts, "symbols array<long>, counts array<long>")
+    counts = _add_counts(merged.toArrow().to_batches())  # MERGES rows at most, an entry a symbol of the vocabulary
+    used = np.flatnonzero(counts)
+    table = rans.scaled(used, counts[used])
     with open_out(f"{folder}/table") as f:
         f.write(table.dump())
     files = max(1, work.count())
