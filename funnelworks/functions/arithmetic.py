@@ -2,8 +2,8 @@
 
 Money, hours, rates and ratios stay in DECIMAL end to end: a double such as
 1.005 does not round the way a decimal does, and the marts promise fixed-scale
-decimals.  Divisions go through ``exact_ratio`` so that the quotient keeps at
-least twelve fractional digits before the single final rounding cast.
+decimals.  Divisions go through ``exact_ratio``, which takes exact operands and
+keeps many fractional digits before the single final rounding cast.
 """
 
 from __future__ import annotations
@@ -28,14 +28,28 @@ def decimal(col: Column | str, precision: int, scale: int) -> Column:
     return as_col(col).cast(f"decimal({precision},{scale})")
 
 
-def exact_ratio(num: Column | str, den: Column | str) -> Column:
-    """num / den with >= 12 fractional digits; null when den is 0 or null.
-
-    The operands are narrowed to decimal(30,8) / decimal(20,4) so Spark's
-    decimal division keeps scale 12 instead of collapsing to 6 (inputs beyond
-    those ranges raise under ANSI rather than lose digits).
+def _narrowed(col: Column | str, precision: int, scale: int) -> Column:
+    """The same value as decimal(precision, scale); raises rather than round."""
+    c = as_col(col)
+    n = c.cast(f"decimal({precision},{scale})")
+    return F.when(c.isNull() | (n == c), n).otherwise(
+        F.raise_error(F.concat(F.lit(f"operand of a ratio beyond decimal({precision},{scale}): "), c.cast("string")))
+    )
+
+
+def exact_ratio(
+    num: Column | str,
+    den: Column | str,
+    num_type: tuple[int, int] = (30, 14),
+    den_type: tuple[int, int] = (20, 8),
+) -> Column:
+    """num / den of exact operands; null when den is 0 or null.
+
+    Spark's quotient keeps 38 digits less those that the operands' types may
+    need before the point: 14 fractional digits with the default types.  The
+    operands must fit their types without rounding; one that doesn't raises.
     """
-    return F.try_divide(decimal(num, 30, 8), decimal(den, 20, 4))
+    return F.try_divide(_narrowed(num, *num_type), _narrowed(den, *den_type))
 
 
 def safe_divide(num: Column | str, den: Column | str) -> Column:

@@ -21,18 +21,18 @@ from funnelworks.plans.intermediate import funnel_rates
 
 def mart_cac_ltv(stats: DataFrame, expenses: DataFrame) -> DataFrame:
     """Cost, wins, CAC, won-lead GMV/LTV averages and LTV:CAC per month ×
-    channel; limited to months with cost data (inner join).  CAC and the ratio
-    are computed from unrounded inputs: ratio = (ltv_sum / ltv_n) / (cost /
-    won), each quotient kept at 12 fractional digits before the final cast."""
-    cost = F.broadcast(expenses.select("month_date", "channel", "total_cost_usd"))  # month-grain
+    channel; limited to months with cost data (inner join).  The ratio is one
+    division of exact products: (ltv_sum x won) / (ltv_n x cost).  Its type
+    decimal(8,4) is the contract's: a ratio of 10000 or more raises."""
+    cost = expenses.select("month_date", "channel", "total_cost_usd")
     j = stats.join(cost, ["month_date", "channel"], "inner")
     won = F.col("closed_won")
-    # Unrounded (12 fractional digits) average LTV and CAC, then their ratio:
-    # both operands stay in the money range at any data volume, so the
-    # division never leaves the narrowed decimal range.
     avg_ltv = exact_ratio("won_ltv_sum", "won_ltv_n")
     cac = exact_ratio("total_cost_usd", won)
-    ratio = exact_ratio(avg_ltv, cac)
+    # sums of cents times counts: 28 digits before the point for the numerator
+    ratio = exact_ratio(
+        F.col("won_ltv_sum") * won, F.col("won_ltv_n") * F.col("total_cost_usd"), num_type=(30, 2), den_type=(24, 2)
+    )
     df = j.select(
         surrogate_key("month_date", "channel").alias("cac_ltv_sk"),
         "month_date",
@@ -140,7 +140,7 @@ def monthly_audit_totals(audit_by_month: DataFrame) -> DataFrame:
 
 def mart_data_quality_monitor(cac_ltv: DataFrame, audit_by_month: DataFrame) -> DataFrame:
     rev = monthly_revenue(cac_ltv)
-    aud = F.broadcast(monthly_audit_totals(audit_by_month))  # month-grain
+    aud = monthly_audit_totals(audit_by_month)
     j = rev.join(aud, "month_date", "left")
 
     def zero(c: str):
