@@ -38,15 +38,10 @@ def register(name: str):
     return deco
 
 
-_MODELS: dict = {}
-
-
 def models(spark: SparkSession, sf_dir: str) -> GtmModels:
-    """The session's model graph over a folder (lazy plans, built once)."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
-    if key not in _MODELS:
-        _MODELS[key] = GtmModels.from_driver_tables(spark, sf_dir)
-    return _MODELS[key]
+    """The model graph over a folder as it is now: lazy plans over a fresh
+    file listing, so files added since the last call are read."""
+    return GtmModels.from_driver_tables(spark, sf_dir)
 
 
 # ---- raw sources ------------------------------------------------------------
@@ -399,7 +394,7 @@ def _q_join_left(spark, sf):
 @register("join_inner_month")
 def _q_join_inner(spark, sf):
     m = models(spark, sf)
-    cost = F.broadcast(m.int_expenses_channel_month.select("month_date", "channel", "total_cost_usd"))
+    cost = m.int_expenses_channel_month.select("month_date", "channel", "total_cost_usd")
     return m.int_funnel.select("month_date", "channel", "leads_created", "closed_won").join(
         cost, ["month_date", "channel"], "inner"
     )
@@ -509,15 +504,15 @@ def _q_first_value(spark, sf):
 @register("date_spine")
 def _q_spine(spark, sf):
     """The 2020-2029 day spine with each day's inbound form submissions
-    (zero on days without any): the calendar side is bounded (3,653 rows) and
-    broadcast; the lead side is aggregated to day grain first."""
+    (zero on days without any): the calendar side has 3,653 rows and the
+    lead side is aggregated to day grain first."""
     daily = (
         models(spark, sf)
         .stg_leads.filter(F.col("form_submission_date").isNotNull())
         .groupBy(F.col("form_submission_date").alias("date_day"))
         .agg(F.count(F.lit(1)).alias("leads_submitted"))
     )
-    spine = F.broadcast(_rs.date_spine(spark, "2020-01-01", "2030-01-01"))
+    spine = _rs.date_spine(spark, "2020-01-01", "2030-01-01")
     return spine.join(daily, "date_day", "left").select(
         "date_day", F.coalesce(F.col("leads_submitted"), F.lit(0)).alias("leads_submitted")
     )

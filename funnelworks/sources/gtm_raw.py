@@ -31,7 +31,7 @@ from funnelworks.sources.schemas import (
     RAW_SALARY,
 )
 
-# Lead statuses cycled by k % 15 for non-converted leads
+# Lead statuses cycled by k % 17 for non-converted leads
 # (the dirty underscore spelling and a missing status included).
 STATUS_CYCLE = [
     "New",
@@ -96,18 +96,10 @@ def _by_key(col: Column, mapping: dict) -> Column:
 
 
 def euro_text(cents: Column) -> Column:
-    """Render integer cents (< 1e9) as "12 345,67" (NBSP thousands group)."""
-    whole = ((cents - cents % 100) / 100).cast("bigint")  # exact: cents < 1e9
-    frac = (cents % 100).cast("string")
-    grouped = F.when(
-        whole >= 1000,
-        F.concat(
-            ((whole - whole % 1000) / 1000).cast("bigint").cast("string"),
-            F.lit(NBSP),
-            F.lpad((whole % 1000).cast("string"), 3, "0"),
-        ),
-    ).otherwise(whole.cast("string"))
-    return F.concat(grouped, F.lit(","), F.lpad(frac, 2, "0"))
+    """Render whole cents as "12 345,67" (NBSP between thousands)."""
+    whole = ((cents - cents % 100).cast("decimal(20,0)") / 100).cast("bigint")
+    grouped = F.translate(F.format_number(whole, 0), ",", NBSP)
+    return F.concat(grouped, F.lit(","), F.lpad((cents % 100).cast("string"), 2, "0"))
 
 
 def _fmt_ts(ts: Column) -> Column:
@@ -157,7 +149,7 @@ def raw_leads(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     stale = inbound & (k % 95 == 0)
     entry_ts = F.when(stale, F.lit("2024-02-01").cast("date")).otherwise(base_day).cast("timestamp_ntz")
     first_call = F.when(k % 101 == 0, _plus_hours(entry_ts, -(1 + k % 30))).otherwise(_plus_hours(entry_ts, k % 400))
-    cents = F.round(F.col("o_totalprice") * 100).cast("bigint") % 1_000_000
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
     anchors = joined.select(
         "o_orderkey",
         "o_orderpriority",
@@ -188,7 +180,7 @@ def raw_leads(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     def count_text(c: str) -> Column:
         return F.when(F.col(c) > 0, F.col(c).cast("string"))
 
-    status = F.when(k % 9 == 0, F.lit("Converted")).otherwise(_pick(k % 15, STATUS_CYCLE))
+    status = F.when(k % 9 == 0, F.lit("Converted")).otherwise(_pick(k % 17, STATUS_CYCLE))
     opp_id = F.concat(F.lit("O"), k.cast("string"))
     converted_opp = F.when(
         k % 9 == 0,
@@ -285,34 +277,22 @@ def _monthly_lineitem(lineitem: DataFrame) -> DataFrame:
 
 
 def _amount_text(cents: Column) -> Column:
-    return F.concat(F.lit(CURRENCY_PREFIX), euro_text(cents % 100_000_000))
+    return F.concat(F.lit(CURRENCY_PREFIX), euro_text(cents))
 
 
 def raw_expenses(lineitem: DataFrame) -> tuple[DataFrame, DataFrame]:
     monthly = _monthly_lineitem(lineitem)
     label = _pick(F.col("m"), MONTH_LABELS)
-    ads = monthly.select(label.alias("month"), _amount_text(F.col("q_n") * 100).alias("advertising"))
+    ads = monthly.select(label.alias("month"), _amount_text(F.col("q_n")).alias("advertising"))
     salary = monthly.select(
         label.alias("month"),
-        _amount_text(F.col("q_r") * 75).alias("outbound_sales_team"),
-        _amount_text(F.col("q_a") * 75).alias("inbound_sales_team"),
+        _amount_text(F.expr("(q_r * 3) div 4")).alias("outbound_sales_team"),
+        _amount_text(F.expr("(q_a * 3) div 4")).alias("inbound_sales_team"),
     )
     return ads.select(*RAW_ADVERTISING.fieldNames()), salary.select(*RAW_SALARY.fieldNames())
 
 
-_CACHE: dict = {}
-
-
 def load_raw_sources(spark: SparkSession, sf_dir: str, orders_before: str | None = None) -> RawSources:
-    """Memoised per (session, folder, snapshot): the lazily built plans are
-    reused by every query of a session (no data is cached)."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir, orders_before)
-    if key not in _CACHE:
-        _CACHE[key] = _build_raw_sources(spark, sf_dir, orders_before)
-    return _CACHE[key]
-
-
-def _build_raw_sources(spark: SparkSession, sf_dir: str, orders_before: str | None = None) -> RawSources:
     """Raw exports from the driver tables; ``orders_before`` restricts the
     CRM side to orders placed before a date (an earlier snapshot of the CRM,
     used to exercise incremental refresh).  The filter reaches the Parquet

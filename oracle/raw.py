@@ -8,12 +8,7 @@ from oracle.cte import cte
 
 
 def euro(c: str) -> str:
-    w = f"(({c}) // 100)"
-    return (
-        f"(CASE WHEN {w} >= 1000 THEN CAST({w} // 1000 AS VARCHAR) || chr(160) || "
-        f"lpad(CAST({w} % 1000 AS VARCHAR), 3, '0') ELSE CAST({w} AS VARCHAR) END"
-        f" || ',' || lpad(CAST(({c}) % 100 AS VARCHAR), 2, '0'))"
-    )
+    return f"(replace(format('{{:,}}', ({c}) // 100), ',', chr(160)) || ',' || lpad(CAST(({c}) % 100 AS VARCHAR), 2, '0'))"
 
 
 def ts(x: str) -> str:
@@ -42,7 +37,7 @@ SELECT o.o_orderkey AS k, o.o_totalprice, o.o_orderpriority, a.n_a, a.n_n, a.n_r
        DATE '2024-01-01' + CAST((o.o_orderkey * 37) % 182 AS INTEGER) AS base_day,
        CASE WHEN o.o_orderkey % 5 < 2 AND o.o_orderkey % 95 = 0 THEN DATE '2024-02-01'
             ELSE DATE '2024-01-01' + CAST((o.o_orderkey * 37) % 182 AS INTEGER) END AS entry_day,
-       CAST(round(o.o_totalprice * 100) AS BIGINT) % 1000000 AS cents
+       CAST(round(o.o_totalprice * 100) AS BIGINT) AS cents
 FROM orders o LEFT JOIN raw_activity a ON a.o_orderkey = o.o_orderkey
 """,
 )
@@ -92,7 +87,7 @@ SELECT
   CASE WHEN k % 10 <> 3 THEN CAST(1 + k % 5 AS VARCHAR) END AS location_count,
   CASE WHEN k % 29 = 0 THEN NULL WHEN k % 3 = 0 THEN 'true' ELSE 'false' END AS connected_with_decision_maker,
   CASE WHEN k % 9 = 0 THEN 'Converted' ELSE
-    CASE k % 15 WHEN 0 THEN 'New' WHEN 1 THEN 'Working' WHEN 2 THEN 'Demo Set' WHEN 3 THEN 'Sales Nurture'
+    CASE k % 17 WHEN 0 THEN 'New' WHEN 1 THEN 'Working' WHEN 2 THEN 'Demo Set' WHEN 3 THEN 'Sales Nurture'
       WHEN 4 THEN 'Marketing Nurture' WHEN 5 THEN 'Disqualified' WHEN 6 THEN 'Not Interested'
       WHEN 7 THEN 'Incorrect Contact Data' WHEN 8 THEN 'Incorrect_Contact_Data'
       WHEN 9 THEN 'No Longer With Company' WHEN 10 THEN 'No Show' WHEN 11 THEN 'Postpone'
@@ -167,15 +162,15 @@ def _label(m: str) -> str:
 
 
 def _amount(c: str) -> str:
-    return "'US$' || chr(9) || " + euro(f"(({c}) % 100000000)")
+    return "'US$' || chr(9) || " + euro(f"({c})")
 
 
 cte(
     "raw_expenses_advertising",
-    f"SELECT {_label('m')} AS month, {_amount('q_n * 100')} AS advertising FROM raw_monthly",
+    f"SELECT {_label('m')} AS month, {_amount('q_n')} AS advertising FROM raw_monthly",
 )
 cte(
     "raw_expenses_salary",
-    f"""SELECT {_label('m')} AS month, {_amount('q_r * 75')} AS outbound_sales_team,
-       {_amount('q_a * 75')} AS inbound_sales_team FROM raw_monthly""",
+    f"""SELECT {_label('m')} AS month, {_amount('q_r * 3 // 4')} AS outbound_sales_team,
+       {_amount('q_a * 3 // 4')} AS inbound_sales_team FROM raw_monthly""",
 )
