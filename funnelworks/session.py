@@ -10,6 +10,7 @@ at scale (AQE, skew join).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -72,6 +73,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = checkpoint_dir(spark)
     if existing:
         return existing
+    master = spark.sparkContext.master
+    if not re.match(r"local($|\[)", master):
+        raise ValueError(
+            f"spark.checkpoint.dir is not set: on {master} intermediate tables need a folder that all executors share"
+        )
     scratch = tempfile.mkdtemp(prefix="funnelworks-ckpt-", dir=os.environ.get("FUNNELWORKS_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(scratch)
     return scratch
