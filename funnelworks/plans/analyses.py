@@ -121,7 +121,7 @@ def headcount_trend(expenses: DataFrame, cac_ltv: DataFrame, channel: str = OUTB
     c = cac_ltv.filter(F.col("channel") == channel).select(
         "month_date", "new_customers_won", "cac_usd", "cac_ltv_ratio"
     )
-    j = e.join(F.broadcast(c), "month_date", "inner")
+    j = e.join(c, "month_date", "inner")
     cost = F.col("headcount_cost_usd")
     first = F.first(cost).over(Window.orderBy("month_date"))
     growth = F.round(exact_ratio((cost - first) * 100, first), 1).cast("decimal(8,1)")

@@ -40,7 +40,7 @@ def int_expenses_channel_month(salary: DataFrame, advertising: DataFrame) -> Dat
     """Salary per month × channel plus advertising, which is attributed to
     inbound only (outbound gets 0).  Advertising is month-grain (one row per
     calendar month), so it is broadcast."""
-    ads = F.broadcast(advertising.select(F.col("month_date").alias("ad_month"), "advertising_spend_usd"))
+    ads = advertising.select(F.col("month_date").alias("ad_month"), "advertising_spend_usd")
     joined = salary.join(ads, salary["month_date"] == ads["ad_month"], "left")
     ad = F.when(
         F.col("sales_channel") == INBOUND, F.coalesce(F.col("advertising_spend_usd"), F.lit(0).cast("decimal(12,2)"))

@@ -107,13 +107,8 @@ def refresh_partitions(
         stored = spark.read.parquet(path)
         stored = stored.select(*[c for c in batch.columns if c in stored.columns])
         check_schema_unchanged(batch.schema, stored.schema)
-    mode_conf = "spark.sql.sources.partitionOverwriteMode"
-    previous = spark.conf.get(mode_conf)
-    spark.conf.set(mode_conf, "static" if (full_refresh or not exists) else "dynamic")
-    try:
-        batch.write.mode("overwrite").partitionBy(*keys).parquet(path)
-    finally:
-        spark.conf.set(mode_conf, previous)
+    mode = "static" if (full_refresh or not exists) else "dynamic"
+    batch.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*keys).parquet(path)
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
