@@ -10,6 +10,8 @@ stay the library's own.
 from __future__ import annotations
 
 import os
+import re
+import struct
 from collections.abc import Iterable
 
 import numpy as np
@@ -17,28 +19,50 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Chunks a worker remembers; when full it starts anew, which costs time only.
-MEMO_CHUNKS, MEMO_BYTES = 700_000, 64
+MEMO_CHUNKS, MEMO_BYTES = 500_000, 64
+_MARK = "\x01"
+#: Latin letters up to U+00FF but for two signs and two ordinals, in UTF-8.
+_WORD = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 _coders: dict[str, ChunkCoder] = {}
 
 
 class ChunkCoder:
     """Ids, as little-endian unsigned 32-bit integers, of whole texts."""
 
-    def __init__(self, path: str, separator: str = "<|startoftext|>"):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.library = Tokenizer.from_file(path)
-        self.separator, self.mark = separator, self.library.token_to_id(separator)
+        self.model = self.library.model
+        alone = self.library.encode(_MARK, add_special_tokens=False).ids
+        self.mark = alone[0] if len(alone) == 1 else None
         self.memo: dict[bytes, bytes] = {}
+        # what the library's byte level makes of the letters below U+0100, in lower case
+        spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        letters = {c: chr(c).lower() for c in range(256) if chr(c).isalpha()}
+        self.letters = {c: "".join(x for x, _ in spell(low)) for c, low in letters.items()}
 
     def _ask(self, chunks: list[bytes]) -> list[bytes]:
-        """Ids of chunks: some hundred in one text, with a special token
-        between neighbours; chunks that could hold one go alone."""
+        """Ids of chunks.  A chunk of nothing but letters below U+0100 is one
+        word, which goes straight to the library's model.  Others: some
+        hundred in one text, with a control character, a word of one token,
+        between neighbours; chunks with that character or special strings and
+        long ones go alone."""
         out: list[bytes] = [b""] * len(chunks)
-        plain = [i for i, c in enumerate(chunks) if b"<|" not in c and len(c) <= 1000]
+        mark, other = _MARK.encode(), []
+        for i, c in enumerate(chunks):
+            if _WORD.fullmatch(c) and len(c) <= MEMO_BYTES:
+                ids = [t.id for t in self.model.tokenize(c.decode().translate(self.letters))]
+                out[i] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                other.append(i)
+        plain = [i for i in other if b"<|" not in chunks[i] and mark not in chunks[i] and len(chunks[i]) <= 1000]
+        if self.mark is None:
+            plain = []
         texts = []
         for a in range(0, len(plain), 400):
-            texts.append(self.separator.join([chunks[i].decode() for i in plain[a : a + 400]]))
+            texts.append(f" {_MARK} ".join([chunks[i].decode() for i in plain[a : a + 400]]))
         for a, coded in zip(range(0, len(plain), 400), self.library.encode_batch_fast(texts, add_special_tokens=False), strict=True):
             ids = np.array(coded.ids, "<u4")
             cuts = np.flatnonzero(ids == self.mark)
@@ -47,7 +71,8 @@ class ChunkCoder:
             for j, i in enumerate(plain[a : a + 400]):
                 out[i] = data[borders[j] + 4 : borders[j + 1]]
         fast = set(plain)
-        for i, c in enumerate(chunks):
+        for i in other:
+            c = chunks[i]
             if i not in fast:
                 out[i] = np.array(self.library.encode(c.decode(), add_special_tokens=False).ids, "<u4").tobytes()
         return out
@@ -58,7 +83,9 @@ class ChunkCoder:
         memo = self.memo
         if len(memo) > MEMO_CHUNKS:
             memo.clear()
-        new = {c for p in parts for c in p if c not in memo}
+        new: set[bytes] = set()
+        for p in parts:
+            new |= set(p).difference(memo)
         long: list[bytes] = []
         if new:
             ask = list(new)

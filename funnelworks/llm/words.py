@@ -18,7 +18,7 @@ import pyarrow as pa
 
 U = np.uint64
 #: Text bytes worked on at once (one longer text forms a slice of its own).
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 _STEP = 0x9E3779B97F4A7C15 | 3
 _BACK = pow(_STEP, -1, 1 << 64)
