@@ -10,7 +10,7 @@ is fitted to those tags by gradient descent with exact forward-backward
 expectations.
 
 A document's score comes from its marginals: a logistic function of the
-largest one and of their sum, fitted to the document labels of training rows
+largest one and of the sum of those of one half or more, fitted to the document labels of training rows
 that the field has not seen.  Words with a marginal of one half or more make
 up the offending spans, as byte offsets into the UTF-8 text.
 
@@ -113,7 +113,7 @@ class Model:
     weights: np.ndarray
     bias: float
     trans: np.ndarray
-    link: np.ndarray  # intercept, largest marginal, log of 1 + sum of marginals
+    link: np.ndarray  # intercept, largest marginal, log of 1 + sum of marginals of one half or more
 
     def words(self, words: Words) -> np.ndarray:
         unary = self.weights[features(words)].sum(0) + self.bias
@@ -129,7 +129,7 @@ def _document_marginals(words: Words, p: np.ndarray) -> tuple[np.ndarray, np.nda
     some = np.flatnonzero(np.diff(words.first) > 0)
     if len(some):
         most[some] = np.maximum.reduceat(p, words.first[some])
-        total[some] = np.add.reduceat(p, words.first[some])
+        total[some] = np.add.reduceat(np.where(p >= 0.5, p, 0.0), words.first[some])  # not the many small ones of a long text
     return most, total
 
 
