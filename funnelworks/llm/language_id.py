@@ -6,7 +6,7 @@ through a linear softmax.  Embeddings and softmax are trained together by
 stochastic gradient descent in numpy on at most ``SAMPLE`` labelled rows, those
 with the smallest hash of their id.  A fifth of them is kept from training and
 sets the temperature, which makes the score a probability, and the rejection
-threshold: the confidence that all but one in a thousand of them reach, 0.5
+threshold: the confidence that all but one in a thousand of them reach, 0.4
 at most.  Prediction needs only the product of embeddings and softmax, one
 row of a small table for each byte run.
 """
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from funnelworks.llm.words import slices
 
-BUCKETS, WIDTH, SAMPLE = 1 << 15, 16, 4000
+BUCKETS, WIDTH, SAMPLE = 1 << 15, 16, 2000
 EPOCHS, RATE, SEED = 12, 0.5, 7
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
@@ -117,7 +117,7 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]]) -> Model:
         if (loss := -np.log(np.maximum(p, 1e-12)).mean()) < best:
             best, chosen = loss, t
     model.temperature = float(chosen)
-    model.threshold = float(min(0.5, np.quantile(model.scores(logits).max(1), 0.001)))
+    model.threshold = float(min(0.4, np.quantile(model.scores(logits).max(1), 0.001)))
     return model
 
 
