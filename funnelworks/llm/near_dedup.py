@@ -239,7 +239,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         pairs = pairs.select(F.least("id", "x_id").alias("a"), F.greatest("id", "x_id").alias("b")).distinct()
         more = stored(_links(pairs, sets, percent), "near-more")
         if not more.isEmpty():
-            labels = stored(components(links.unionByName(more)), "near-components")
+            known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))  # stars already
+            labels = stored(components(known.unionByName(more)), "near-components")
 
     grouped = classes.join(labels, classes["rep"] == labels["node"], "left").select(
         "n", "f1", "f2", F.coalesce("component", "rep").alias("component")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from funnelworks.llm import language_id, token_counts, toxicity
+from funnelworks.llm.components import components
 from funnelworks.llm.decontamination import contained_items, drop_contaminated
 from funnelworks.llm.exact_dedup import drop_exact_copies, exact_groups
 from funnelworks.llm.id_files import IdReader, _table, read_ids, write_ids
@@ -118,6 +119,22 @@ def test_near_duplicates_chain(ready):
     assert kept == {c for _, c in brute_components(rows, 2).values()}
 
 
+def test_components(ready):
+    rng = np.random.default_rng(5)
+    path = [(i, i + 1) for i in range(1000, 1040)]
+    star = [(2000, i) for i in range(2001, 2020)]
+    mixed = [(int(a), int(b)) for a, b in rng.integers(0, 90, (70, 2))]
+    for edges in (path, star, path + star + mixed + mixed[:5], []):
+        least = {x: x for e in edges if e[0] != e[1] for x in e}
+        for _ in edges:
+            for a, b in edges:
+                if a != b:
+                    least[a] = least[b] = min(least[a], least[b])
+        found = components(ready.createDataFrame(edges, "a long, b long")).collect()
+        assert len(found) == len(least)
+        assert {r.node: r.component for r in found} == least
+
+
 def test_sketch_fills_and_estimates():
     rng = np.random.default_rng(1)
     x = rng.integers(0, 1 << 63, 1000, dtype=np.uint64)
