@@ -13,15 +13,16 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
 
     Large star: the larger neighbours of every node.  Small star: the
     smaller ones, with the node itself.  The smallest neighbour is a partial
-    aggregate and is joined back, so a node with very many neighbours is
-    never one group in one task.  Edges may repeat in the result, which has
-    no more rows than ``edges`` (small star: and one a node)."""
+    aggregate; it is joined back from a table, so that the adaptive skew join
+    can split the edges of a node with very many neighbours.  Edges may repeat
+    in the result, which has no more rows than ``edges`` (small star: and one
+    a node)."""
     if large:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "least")
         out = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
-        least = edges.groupBy("a").agg(F.min("b").alias("m"))
+        least = stored(edges.groupBy("a").agg(F.min("b").alias("m")), "least")
         out = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         out = out.unionByName(least.select("a", F.col("m").alias("b")))
     return out.where("a <> b")
