@@ -4,7 +4,7 @@ A tokenizer that drops white space (its words never span any) gives a text
 the ids of its white-space separated chunks one after the other.  Each Python
 worker keeps the ids of chunks it has met, so the library is asked once per
 distinct chunk; special strings, normalisation and splitting inside a chunk
-stay the library's own.
+stay the library's own, but for words with marks behind them.
 """
 
 from __future__ import annotations
@@ -18,11 +18,14 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Chunks a worker remembers; when full it starts anew, which costs time only.
+#: Chunks a worker remembers; when full it goes on with those of the texts at hand, which costs time only.
 MEMO_CHUNKS, MEMO_BYTES = 500_000, 64
 _MARK = "\x01"
-#: Latin letters up to U+00FF but for two signs and two ordinals, in UTF-8.
-_WORD = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+#: Latin letters up to U+00FF but for two signs and two ordinals, in UTF-8, and
+#: the ASCII marks behind them but for ' (of contractions), < and | (of special strings).
+_WORD = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:;=-@\[-`{}~]*)")
+#: Ids as bytes, by their number; a remembered chunk has no more ids than bytes.
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(MEMO_BYTES + 1)]
 _coders: dict[str, ChunkCoder] = {}
 
 
@@ -38,23 +41,41 @@ class ChunkCoder:
         alone = self.library.encode(_MARK, add_special_tokens=False).ids
         self.mark = alone[0] if len(alone) == 1 else None
         self.memo: dict[bytes, bytes] = {}
+        self.marks: dict[bytes, bytes | None] = {b"": b""}
         # what the library's byte level makes of the letters below U+0100, in lower case
         spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         letters = {c: chr(c).lower() for c in range(256) if chr(c).isalpha()}
         self.letters = {c: "".join(x for x, _ in spell(low)) for c, low in letters.items()}
 
+    def _marks(self, run: bytes) -> bytes | None:
+        """Ids of a run of marks behind a word; None if the library doesn't
+        give them apart from the word's."""
+        if run not in self.marks:
+            if len(self.marks) > MEMO_CHUNKS // 10:
+                self.marks = {b"": b""}
+            word = self.library.encode("a", add_special_tokens=False).ids
+            both = self.library.encode("a" + run.decode(), add_special_tokens=False).ids
+            n = len(word)
+            self.marks[run] = struct.pack(f"<{len(both) - n}I", *both[n:]) if both[:n] == word else None
+        return self.marks[run]
+
     def _ask(self, chunks: list[bytes]) -> list[bytes]:
-        """Ids of chunks.  A chunk of nothing but letters below U+0100 is one
-        word, which goes straight to the library's model.  Others: some
-        hundred in one text, with a control character, a word of one token,
-        between neighbours; chunks with that character or special strings and
-        long ones go alone."""
+        """Ids of chunks.  A chunk of letters below U+0100 and marks behind
+        them is a word, which goes straight to the library's model, and the
+        marks.  Others: some hundred in one text, with a control character, a
+        word of one token, between neighbours; chunks with that character or
+        special strings and long ones go alone."""
         out: list[bytes] = [b""] * len(chunks)
         mark, other = _MARK.encode(), []
+        whole, tokenize, letters = _WORD.fullmatch, self.model.tokenize, self.letters
         for i, c in enumerate(chunks):
-            if _WORD.fullmatch(c) and len(c) <= MEMO_BYTES:
-                ids = [t.id for t in self.model.tokenize(c.decode().translate(self.letters))]
-                out[i] = struct.pack(f"<{len(ids)}I", *ids)
+            found = whole(c) if len(c) <= MEMO_BYTES else None
+            tail = self._marks(found[2]) if found else None
+            if tail is not None:
+                word = found[1]
+                text = word.lower().decode() if word.isascii() else word.decode().translate(letters)
+                ids = [t.id for t in tokenize(text)]
+                out[i] = _PACK[len(ids)](*ids) + tail
             else:
                 other.append(i)
         plain = [i for i in other if b"<|" not in chunks[i] and mark not in chunks[i] and len(chunks[i]) <= 1000]
@@ -82,7 +103,8 @@ class ChunkCoder:
         parts = [t.split() for t in texts]
         memo = self.memo
         if len(memo) > MEMO_CHUNKS:
-            memo.clear()
+            met = set().union(*parts)
+            self.memo = memo = {c: memo[c] for c in met if c in memo}
         new: set[bytes] = set()
         for p in parts:
             new |= set(p).difference(memo)
