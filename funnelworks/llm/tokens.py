@@ -71,13 +71,18 @@ class ChunkCoder:
         for i, c in enumerate(chunks):
             found = whole(c) if len(c) <= MEMO_BYTES else None
             tail = self._marks(found[2]) if found else None
-            if tail is not None:
-                word = found[1]
-                text = word.lower().decode() if word.isascii() else word.decode().translate(letters)
-                ids = [t.id for t in tokenize(text)]
-                out[i] = _PACK[len(ids)](*ids) + tail
-            else:
+            if tail is None:
                 other.append(i)
+                continue
+            word = found[1]
+            ascii_ = word.isascii()
+            if ascii_:
+                word = word.lower()
+            coded = self.memo.get(word) if word != c else None
+            if coded is None:
+                ids = [t.id for t in tokenize(word.decode() if ascii_ else word.decode().translate(letters))]
+                coded = _PACK[len(ids)](*ids)
+            out[i] = coded + tail
         plain = [i for i in other if b"<|" not in chunks[i] and mark not in chunks[i] and len(chunks[i]) <= 1000]
         if self.mark is None:
             plain = []
