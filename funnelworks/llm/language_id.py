@@ -3,12 +3,14 @@
 Every run of two, three or four bytes of the text (A-Z lower-cased) is hashed
 to one of ``BUCKETS`` embeddings; their average over the whole text goes
 through a linear softmax.  Embeddings and softmax are trained together by
-stochastic gradient descent in numpy on at most ``SAMPLE`` labelled rows, those
-with the smallest hash of their id.  A fifth of them is kept from training and
-sets the temperature, which makes the score a probability, and the rejection
-threshold: the confidence that all but one in a thousand of them reach, 0.4
-at most.  Prediction needs only the product of embeddings and softmax, one
-row of a small table for each byte run.
+stochastic gradient descent in numpy on at most ``SAMPLE`` labelled rows, dealt
+language by language, the smallest hashes of their ids first.  Two fifths of
+all ids are kept from training; at most ``HELD`` of those, dealt alike, are scored on
+the executors and set the temperature, which makes the score a probability, and
+the rejection threshold: a score that a text of the learnt languages misses with
+a chance of at most one in ``RARE``.  Fewer than RARE - 1 held-out rows can't
+tell such a score, and none is rejected then.  Prediction needs only the product
+of embeddings and softmax, one row of a small table for each byte run.
 """
 
 from __future__ import annotations
@@ -19,12 +21,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from funnelworks.llm.storage import stored
 from funnelworks.llm.words import slices
 
-BUCKETS, WIDTH, SAMPLE = 1 << 15, 16, 2000
+BUCKETS, WIDTH = 1 << 15, 16
+#: Rows to learn from, rows to calibrate on, and one in how many may be rejected.
+SAMPLE, HELD, RARE = 4000, 10_000, 1000
 EPOCHS, RATE, SEED = 12, 0.5, 7
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
@@ -47,7 +52,8 @@ def subwords(data: np.ndarray) -> list[np.ndarray]:
 
 
 def _features(batches):
-    """(lang, buckets, weights) of texts; weights add up to one."""
+    """(lang, buckets, weights) of texts, packed as 16-bit integers and 32-bit
+    floats; weights add up to one."""
     for batch in batches:
         for lo, hi, data, borders in slices(batch.column(1)):
             rows = []
@@ -56,15 +62,12 @@ def _features(batches):
                 counts = np.bincount(np.concatenate(found), minlength=BUCKETS) if len(found[0]) else np.zeros(1, np.int64)
                 used = np.flatnonzero(counts)
                 if len(used):
-                    rows.append((batch.column(0)[lo + d].as_py(), used, counts[used] / counts.sum()))
+                    weights = (counts[used] / counts.sum()).astype(np.float32)
+                    rows.append((batch.column(0)[lo + d].as_py(), used.astype(np.uint16).tobytes(), weights.tobytes()))
             if rows:
+                kinds = (pa.string(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([r[0] for r in rows]),
-                        pa.array([r[1] for r in rows], pa.list_(pa.int32())),
-                        pa.array([r[2] for r in rows], pa.list_(pa.float32())),
-                    ],
-                    ["lang", "buckets", "weights"],
+                    [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["lang", "buckets", "weights"]
                 )
 
 
@@ -92,11 +95,9 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]]) -> Model:
     w = rng.normal(0, 0.1, (WIDTH, len(languages))).astype(np.float32)
     bias = np.zeros(len(languages), np.float32)
     labels = np.array([languages.index(r[0]) for r in rows])
-    kept = np.arange(len(rows)) % 5 == 4
-    own = np.flatnonzero(~kept)
     for epoch in range(EPOCHS):
         rate = RATE * (1 - epoch / EPOCHS)
-        for i in rng.permutation(own):
+        for i in rng.permutation(len(rows)):
             _, buckets, weights = rows[i]
             x = weights @ e[buckets]
             z = x @ w + bias
@@ -107,40 +108,98 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]]) -> Model:
             w -= rate * np.outer(x, p)
             bias -= rate * p
             e[buckets] -= weights[:, None] * step * 20  # averages shrink the gradient of each embedding
-    model = Model(languages, (e @ w).astype(np.float32), bias)
-    test = np.flatnonzero(kept) if kept.sum() >= 20 else np.arange(len(rows))
-    logits = np.stack([rows[i][2] @ model.table[rows[i][1]] + bias for i in test])
+    return Model(languages, (e @ w).astype(np.float32), bias)
+
+
+def calibrate(model: Model, labels: np.ndarray, logits: np.ndarray) -> None:
+    """Set temperature and threshold from rows kept from training.  Of n such
+    scores and one more, each is as likely to be among the smallest, so the
+    k-th smallest of the n is missed with a chance of k / (n + 1)."""
     best = np.inf
-    for t in np.geomspace(0.25, 16, 49):
+    for t in np.geomspace(0.25, 16, 49) if len(labels) >= 20 else ():
         model.temperature = t
-        p = model.scores(logits)[np.arange(len(test)), labels[test]]
+        p = model.scores(logits)[np.arange(len(labels)), labels]
         if (loss := -np.log(np.maximum(p, 1e-12)).mean()) < best:
-            best, chosen = loss, t
-    model.temperature = float(chosen)
-    model.threshold = float(min(0.4, np.quantile(model.scores(logits).max(1), 0.001)))
-    return model
+            best, chosen = loss, float(t)
+    if len(labels) >= 20:
+        model.temperature = chosen
+    k = (len(labels) + 1) // RARE
+    model.threshold = float(np.sort(model.scores(logits).max(1))[k - 1]) if k else 0.0
+
+
+def _dealt(rows: DataFrame, sample: int, held: int) -> DataFrame:
+    """(id, lang, held, place) of the ids to learn from (at most ``sample``)
+    and to calibrate on (at most ``held``), each dealt language by language.
+
+    The driver gets a count for each language.  Hashes are uniform, so a bound
+    on the hash, drawn from the count with room to spare, leaves a few times
+    the ids to deal, and no task ranks all ids of a language."""
+    order = F.xxhash64("doc_id", F.lit(11))
+    ids = rows.select(F.col("doc_id").alias("id"), "lang", order.alias("h"))
+    counts = {r.lang: max(r.n, 1) for r in ids.groupBy("lang").agg(F.approx_count_distinct("id", 0.05).alias("n")).collect()}
+    total, share = 5 * max(-(-held // 2), -(-sample // 3)), 0
+    left = sorted(counts.values())
+    for i, n in enumerate(left):  # the share of a language that has enough, when others have fewer
+        share = max(share, -(-total // (len(left) - i)))
+        total -= min(n, share)
+    room = 1.5 * share + 10 * share**0.5 + 100
+    bounds = [(lang, int(min(room / n, 1.0) * (1 << 31))) for lang, n in counts.items()]
+    bounds = F.broadcast(rows.sparkSession.createDataFrame(bounds, "lang string, bound long"))  # a row a language
+    some = ids.join(bounds, "lang").where(F.shiftrightunsigned("h", 33) < F.col("bound")).select("id", "lang", "h").distinct()
+    some = some.withColumn("held", F.pmod(F.xxhash64("id", F.lit(12)), F.lit(5)) < 2)
+    turn = F.row_number().over(Window.partitionBy("lang", "held").orderBy("h", "id"))
+    some = stored(some.withColumn("turn", turn).withColumn("place", F.struct("turn", "h", "lang", "id")).drop("turn", "h"), "language-ids")
+    parts = [some.where(F.col("held") == kept).orderBy("place").limit(n) for kept, n in ((False, sample), (True, held))]
+    return parts[0].unionByName(parts[1])
 
 
-def fit(docs: DataFrame, learn: Column, sample: int = SAMPLE) -> Model:
-    """Learn from text and lang of the ``sample`` rows of ``docs`` with the
-    smallest hashes of doc_id among those where ``learn`` holds and both are
-    set.  Texts stay on the executors; the driver gets sparse counts of at
-    most ``sample`` rows of at most BUCKETS entries."""
+def fit(docs: DataFrame, learn: Column, sample: int = SAMPLE, held: int = HELD) -> Model:
+    """Learn from text and lang of at most ``sample`` rows of ``docs``, dealt by
+    language, where ``learn`` holds and both are set, one a doc_id; calibrate
+    on at most ``held`` others.  Texts stay on the executors; the driver gets
+    sparse counts of at most ``sample`` rows of at most BUCKETS entries, and a
+    score a language for each row to calibrate on."""
     rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    order = F.xxhash64(F.col("doc_id"), F.lit(11))
-    ids = rows.select(F.col("doc_id").alias("__id"), order.alias("__h")).orderBy("__h", "__id").limit(sample)
-    chosen = F.broadcast(ids.select("__id").distinct())  # at most ``sample`` ids
-    own = rows.join(chosen, rows["doc_id"] == chosen["__id"], "left_semi")
-    found = own.select(F.col("lang").cast("string").alias("lang"), "text", order.alias("h"))
-    schema = "lang string, buckets array<int>, weights array<float>"
-    got = found.repartitionByRange("h").sortWithinPartitions("h", "text").select("lang", "text").mapInArrow(_features, schema).limit(sample)
-    table = got.toArrow()
-    lang, buckets, weights = (table.column(i).to_pylist() if i == 0 else table.column(i).combine_chunks() for i in range(3))
-    return train([(lang[i], buckets[i].values.to_numpy(), weights[i].values.to_numpy()) for i in range(len(lang))])
+    rows = rows.select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
+    chosen = F.broadcast(stored(_dealt(rows, sample, held), "language-chosen"))  # at most ``sample`` + ``held`` ids
+    found = rows.join(chosen, (rows["doc_id"] == chosen["id"]) & (rows["lang"] == chosen["lang"]))
+    found = stored(found.groupBy("held", "place").agg(F.min("text").alias("text")), "language-sample")
+    texts = found.select("held", "place", F.col("place.lang").alias("lang"), "text")
+    own = texts.where(~F.col("held")).repartitionByRange("place").sortWithinPartitions("place").select("lang", "text")
+    table = own.mapInArrow(_features, "lang string, buckets binary, weights binary").toArrow()
+    model = train(
+        [
+            (lang.as_py(), np.frombuffer(buckets.as_buffer(), np.uint16), np.frombuffer(weights.as_buffer(), np.float32))
+            for lang, buckets, weights in zip(*table.columns, strict=True)
+        ]
+    )
+    if model.languages:
+        sent = docs.sparkSession.sparkContext.broadcast(model)
+        table = texts.where("held").select("lang", "text").mapInArrow(_logits(sent), "label int, logits binary").toArrow()
+        logits = np.frombuffer(b"".join(table.column(1).to_pylist()), np.float64).reshape(-1, len(model.languages))
+        calibrate(model, table.column(0).to_numpy().astype(np.int64), logits)
+    return model
 
 
-def _predict_slice(model: Model, data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Best language and its score for each text of a slice."""
+def _logits(model):
+    """Number of the language, and logits, of texts that ``identify`` would score."""
+
+    def run(batches):
+        m = model.value
+        number = {lang: i for i, lang in enumerate(m.languages)}
+        for batch in batches:
+            for lo, hi, data, borders in slices(batch.column(1)):
+                langs, texts = (batch.column(i).slice(lo, hi - lo).to_pylist() for i in (0, 1))
+                logits = _logits_slice(m, data, borders)
+                out = [(number[lang], row.tobytes()) for lang, text, row in zip(langs, texts, logits, strict=True) if lang in number and _LETTER.search(text)]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary())], ["label", "logits"])
+
+    return run
+
+
+def _logits_slice(model: Model, data: np.ndarray, borders: np.ndarray) -> np.ndarray:
+    """Logits of every language for each text of a slice."""
     n = len(borders) - 1
     total = np.zeros((n, len(model.languages)), np.float64)
     count = np.zeros(n)
@@ -156,9 +215,14 @@ def _predict_slice(model: Model, data: np.ndarray, borders: np.ndarray) -> tuple
             values = np.append(values, np.float32(0))
             total[some, j] += np.add.reduceat(values, cuts, dtype=np.float64)[::2]
         count[some] += hi[some] - lo[some]
-    p = model.scores(total / np.maximum(count, 1)[:, None] + model.bias)
+    return total / np.maximum(count, 1)[:, None] + model.bias
+
+
+def _predict_slice(model: Model, data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Best language and its score for each text of a slice."""
+    p = model.scores(_logits_slice(model, data, borders))
     best = p.argmax(1)
-    return best, p[np.arange(n), best]
+    return best, p[np.arange(len(p)), best]
 
 
 def _predict(model):

@@ -312,6 +312,29 @@ def test_language_id(ready, docs, nothing):
     assert {r.lang_pred for r in language_id.identify(docs, empty).collect()} == {"und"}
 
 
+def test_language_id_rejects_unlearnt(ready):
+    """Two languages learnt of three; the best of two scores is 0.5 at least."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(6000):
+        letters = list(("abcdefgh", "ijklmnop", "qrstuvwx")[i % 3])
+        rows.append((i, " ".join("".join(rng.choice(letters, 5)) for _ in range(12)), "xyz"[i % 3]))
+    all_ = ready.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(all_, F.col("lang") != "z", sample=600)
+    assert model.languages == ["x", "y"]
+    found = language_id.identify(all_, model).join(all_.select("doc_id", "lang"), "doc_id")
+    rejected = {r.lang: r.share for r in found.groupBy("lang").agg(F.avg(F.col("rejected").cast("int")).alias("share")).collect()}
+    assert rejected["z"] > 0.9 and rejected["x"] < 0.01 and rejected["y"] < 0.01
+
+
+def test_language_sample_is_dealt(ready):
+    rows = [(i, "rare" if i % 500 == 0 else "often", "x") for i in range(10_000)]
+    dealt = language_id._dealt(ready.createDataFrame([*rows, *rows[:3]], "doc_id long, lang string, text string"), 100, 50)
+    got = {(r.held, r.lang): r["count"] for r in dealt.groupBy("held", "lang").count().collect()}
+    assert got[False, "often"] + got[False, "rare"] == 100 and got[True, "often"] + got[True, "rare"] == 50
+    assert got[False, "rare"] + got[True, "rare"] == 20 and dealt.select("id").distinct().count() == 150
+
+
 def test_toxicity(ready, docs, nothing):
     rng = np.random.default_rng(2)
     plain = [f"word{i}" for i in range(300)]
