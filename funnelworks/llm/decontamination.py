@@ -28,7 +28,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from funnelworks.llm.storage import broadcast_if_small, stored
 from funnelworks.llm.words import ALPHANUMERIC, U, find_words, mix64, shingles, slices
 
 SPREAD, MISS = 4, 1e-6
@@ -172,9 +171,26 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, per
     return spark.createDataFrame([], _SCHEMA) if found is None else found.distinct()
 
 
+def _clean(block, shingle: int, percent: int, column: int):
+    def run(batches):
+        index = ItemIndex(*block.value, percent)
+        for batch in batches:
+            clean = []
+            for _, _, data, borders in slices(batch.column(column)):
+                sets, at = shingles(find_words(data, borders, ALPHANUMERIC), shingle)
+                clean += [next(index.found(sets[at[d] : at[d + 1]]), None) is None for d in range(len(at) - 1)]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return run
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item; all columns
-    kept.  A row with a null doc_id goes if any such row holds an item."""
-    hits = contained_items(docs, benchmark, shingle, percent).select(F.col("doc_id").alias("__id")).distinct()
-    hits = broadcast_if_small(stored(hits, "contaminated"))
-    return docs.join(hits, docs["doc_id"].eqNullSafe(hits["__id"]), "left_anti")
+    """``docs`` without the rows whose text holds a benchmark item; all columns
+    kept.  Each row is judged by its own text, in place, whatever its doc_id.
+    Documents are read once; a block of items sees what the ones before left."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
+    column, schema = docs.columns.index("text"), docs.schema
+    for ids, sets in item_blocks(items, shingle):
+        block = docs.sparkSession.sparkContext.broadcast((ids, sets))
+        docs = docs.mapInArrow(_clean(block, shingle, percent, column), schema)
+    return docs

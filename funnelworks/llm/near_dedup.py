@@ -14,7 +14,8 @@ At similarity 0.8 a pair misses all 32 bands of 5 rows with probability
 (1 - 0.8^5)^32 < 4e-6.  Candidates are confirmed on their full shingle sets.
 
 Large groups cost neither all pairs nor a large task.  Documents with equal
-sets form one class, of which the smallest id goes on.  Then, per bucket of a
+sets form one class, a numbered node: classes, not ids, are linked, so texts
+that share a doc_id are judged each.  Then, per bucket of a
 band, (1) each member is checked against the bucket's smallest id, a star;
 (2) links give components; (3) a bucket whose members are now in several
 components is finished: members outside the bucket's largest component meet
@@ -100,7 +101,7 @@ def _signatures(k: int):
                 keys = _band_keys(fast_similarity_sketch(sets, at, BANDS * ROWS))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(lo, hi - lo),
+                        *(batch.column(c).slice(lo, hi - lo) for c in (0, 2, 3)),
                         pa.array(np.diff(at), pa.int64()),
                         pa.array(_sums(mix64(sets ^ _seed(2001)), at)),
                         pa.array(_sums(mix64(sets ^ _seed(2002)), at)),
@@ -108,7 +109,7 @@ def _signatures(k: int):
                             pa.array(np.arange(0, (hi - lo + 1) * BANDS, BANDS), pa.int32()), pa.array(keys.ravel())
                         ),
                     ],
-                    ["doc_id", "n", "f1", "f2", "bands"],
+                    ["doc_id", "t1", "t2", "n", "f1", "f2", "bands"],
                 )
 
     return run
@@ -122,9 +123,12 @@ def _sets(k: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(lo, hi - lo),
+                        pa.array(np.diff(at), pa.int64()),
+                        pa.array(_sums(mix64(sets ^ _seed(2001)), at)),
+                        pa.array(_sums(mix64(sets ^ _seed(2002)), at)),
                         pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(sets.view(np.int64))),
                     ],
-                    ["id", "elements"],
+                    ["doc_id", "n", "f1", "f2", "elements"],
                 )
 
     return run
@@ -164,44 +168,35 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """One row per row of ``docs`` (needs doc_id, text; other columns are not
-    read): doc_id, n_shingles, component_id, kept.
-
-    Words are runs of other than ASCII white space, A-Z lower-cased; the set
-    of a text is its distinct runs of ``shingle`` words, or its whole word
-    sequence if shorter.  Documents with 100 |A n B| >= ``percent`` |A u B|
-    are linked; component_id is the smallest doc_id reachable.  Null or empty
-    texts have an empty set and are their own component.  A null doc_id is in
-    no group: component_id null, kept.  A repeated row has the component of
-    its text (its own doc_id if nothing smaller is linked).  Empty table: no
-    rows.
-    """
-    spark = docs.sparkSession
+def _judged(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """For each row of ``docs``: doc_id, t1 and t2 (hashes of the text), n
+    (shingles), component_id, and whether its set is that of the component's
+    smallest doc_id (``head``; one set, if several share that id)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+    hashes = [F.xxhash64(F.lit(seed), F.col("text")).alias(name) for seed, name in ((1, "t1"), (2, "t2"))]
     marks = stored(
-        texts.mapInArrow(_signatures(shingle), "doc_id long, n long, f1 long, f2 long, bands array<long>"), "near-marks"
+        texts.select("doc_id", "text", *hashes).mapInArrow(
+            _signatures(shingle), "doc_id long, t1 long, t2 long, n long, f1 long, f2 long, bands array<long>"
+        ),
+        "near-marks",
     )
     alive = marks.where("n > 0 and doc_id is not null")
-    classes = stored(
-        alive.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep")).select("n", "f1", "f2", "rep"), "near-classes"
-    )
+    classes = alive.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep")).withColumn("id", F.monotonically_increasing_id())
+    classes = stored(classes, "near-classes")
     # one row of bands a class: that of its representative
-    heads = classes.select("rep", F.col("n").alias("cn"), F.col("f1").alias("c1"), F.col("f2").alias("c2"))
-    reps = alive.join(
-        heads,
-        (F.col("doc_id") == F.col("rep")) & (F.col("n") == F.col("cn")) & (F.col("f1") == F.col("c1")) & (F.col("f2") == F.col("c2")),
-        "left_semi",
-    ).dropDuplicates(["doc_id", "n", "f1", "f2"])
-    banded = reps.select(F.col("doc_id").alias("id"), "n", F.explode("bands").alias("bucket"))
+    heads = classes.select(F.col("rep").alias("doc_id"), "n", "f1", "f2", "id")
+    reps = alive.join(heads, ["doc_id", "n", "f1", "f2"]).select("id", "doc_id", "n", "f1", "f2", "bands").dropDuplicates(["id"])
+    banded = reps.select("id", "n", F.explode("bands").alias("bucket"))
     buckets = banded.groupBy("bucket").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("members"))
     buckets = stored(buckets.where("members > 1").select("bucket", "head"), "near-buckets")
     members = stored(banded.join(broadcast_if_small(buckets), "bucket"), "near-members")
 
     ids = stored(members.select("id").distinct(), "near-ids")
-    wanted = broadcast_if_small(ids)
-    chosen = texts.join(wanted, texts["doc_id"] == wanted["id"], "left_semi")
-    sets = stored(chosen.mapInArrow(_sets(shingle), "id long, elements array<long>").dropDuplicates(["id"]), "near-sets")
+    wanted = stored(heads.join(ids, "id", "left_semi"), "near-wanted")
+    named = broadcast_if_small(wanted.select("doc_id").distinct())
+    chosen = texts.join(named, "doc_id", "left_semi").mapInArrow(_sets(shingle), "doc_id long, n long, f1 long, f2 long, elements array<long>")
+    chosen = chosen.join(broadcast_if_small(wanted), ["doc_id", "n", "f1", "f2"])
+    sets = stored(chosen.select("id", "elements").dropDuplicates(["id"]), "near-sets")
 
     sizes = members.select("id", "n").distinct()
     star = members.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"), "n").distinct()
@@ -223,7 +218,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         rest = stored(placed.join(broadcast_if_small(split), "bucket"), "near-rest")
         ids = rest.select("id").distinct()
         bits = sets.join(ids, "id", "left_semi").mapInArrow(_bits, "id long, bits array<long>")
-        bands = reps.select(F.col("doc_id").alias("id"), "bands").join(ids, "id", "left_semi").dropDuplicates(["id"])
+        bands = reps.select("id", "bands").join(ids, "id", "left_semi")
         rest = rest.join(stored(bits.join(bands, "id"), "near-bits"), "id")
         strays = rest.where("component <> main").select(
             "bucket", *(F.col(c).alias(f"x_{c}") for c in ("id", "n", "component", "bits", "bands"))
@@ -242,26 +237,49 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
             known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))  # stars already
             labels = stored(components(known.unionByName(more)), "near-components")
 
-    grouped = classes.join(labels, classes["rep"] == labels["node"], "left").select(
-        "n", "f1", "f2", F.coalesce("component", "rep").alias("component")
-    )
+    # each component is named by its smallest doc_id; of several sets under that id, the one of smallest fingerprint stays
+    top = F.struct("rep", "n", "f1", "f2")
+    linked = classes.join(labels, classes["id"] == labels["node"])
+    tops = stored(linked.groupBy("component").agg(F.min(top).alias("top")), "near-tops")
+    grouped = classes.join(labels, classes["id"] == labels["node"], "left").join(tops, "component", "left")
+    grouped = grouped.select(
+        F.col("n").alias("cn"), F.col("f1").alias("c1"), F.col("f2").alias("c2"),
+        F.coalesce("top.rep", "rep").alias("component"), F.coalesce(F.col("top") == top, F.lit(True)).alias("head"),
+    )
     rows = marks.join(
-        grouped.withColumnsRenamed({"n": "cn", "f1": "c1", "f2": "c2"}),
+        grouped,
         (F.col("n") == F.col("cn")) & (F.col("f1") == F.col("c1")) & (F.col("f2") == F.col("c2")) & F.col("doc_id").isNotNull(),
         "left",
     )
-    own = F.coalesce("component", "doc_id")
-    return rows.select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        own.alias("component_id"),
-        F.col("doc_id").eqNullSafe(own).alias("kept"),
+    own = F.coalesce("component", "doc_id").alias("component_id")
+    return rows.select("doc_id", "t1", "t2", "n", own, F.coalesce("head", F.lit(True)).alias("head"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """One row per row of ``docs`` (needs doc_id, text; other columns are not
+    read): doc_id, n_shingles, component_id, kept.
+
+    Words are runs of other than ASCII white space, A-Z lower-cased; the set
+    of a text is its distinct runs of ``shingle`` words, or its whole word
+    sequence if shorter.  Documents with 100 |A n B| >= ``percent`` |A u B|
+    are linked; component_id is the smallest doc_id reachable.  Null or empty
+    texts have an empty set and are their own component.  A null doc_id is in
+    no group: component_id null, kept.  A repeated row has the component of
+    its text; texts under one doc_id are judged each by its own.  Empty table:
+    no rows.
+    """
+    return _judged(docs, shingle, percent).select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
     )
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each group, that of the smallest doc_id;
-    all columns kept.  Rows that repeat a kept doc_id stay."""
-    gone = near_duplicates(docs, shingle, percent).where(~F.col("kept")).select(F.col("doc_id").alias("__id")).distinct()
+    """``docs`` with one text of each group, that of the smallest doc_id; all
+    columns kept.  Rows go by doc_id and text, so another text under the id of
+    a dropped one stays.  Rows that repeat id and set of a kept one stay."""
+    gone = _judged(docs, shingle, percent).where(~(F.col("doc_id").eqNullSafe(F.col("component_id")) & F.col("head")))
+    gone = gone.select(F.col("doc_id").alias("__id"), F.col("t1").alias("__t1"), F.col("t2").alias("__t2")).distinct()
     gone = broadcast_if_small(stored(gone, "near-gone"))
-    return docs.join(gone, docs["doc_id"] == gone["__id"], "left_anti")
+    text = docs["text"]
+    same = (F.xxhash64(F.lit(1), text) == gone["__t1"]) & (F.xxhash64(F.lit(2), text) == gone["__t2"])
+    return docs.join(gone, (docs["doc_id"] == gone["__id"]) & same, "left_anti")

@@ -119,6 +119,18 @@ def test_near_duplicates_chain(ready):
     assert kept == {c for _, c in brute_components(rows, 2).values()}
 
 
+def test_texts_under_one_id_are_judged_each(ready):
+    other = " ".join(f"o{i}" for i in range(90))
+    rows = [(3, BASE.replace("b7 ", "x ")), (5, BASE), (5, other), (6, other.replace("o5 ", "x ")), (None, BASE + " z"), (None, "clean words of its own")]
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in near_duplicates(table(ready, rows), 2).collect() if r.doc_id}
+    assert got == {(3, 199): 3, (5, 199): 3, (5, 89): 5, (6, 89): 5}
+    left = drop_near_copies(table(ready, rows), 2)
+    assert sorted(map(str, ((r.doc_id, r.text) for r in left.collect()))) == sorted(map(str, (rows[0], rows[2], rows[4], rows[5])))
+    bench = ready.createDataFrame([(1, " ".join(BASE.split()[20:60]))], "item_id long, text string")
+    clean = drop_contaminated(table(ready, rows), bench)
+    assert sorted(map(str, ((r.doc_id, r.text) for r in clean.collect()))) == sorted(map(str, (rows[2], rows[3], rows[5])))
+
+
 def test_components(ready):
     rng = np.random.default_rng(5)
     path = [(i, i + 1) for i in range(1000, 1040)]
