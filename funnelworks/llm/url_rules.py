@@ -36,9 +36,9 @@ class Rule:
         return self.host + self.path
 
     def regex(self) -> str:
-        """Of "host path" strings, host and path set apart by a space."""
+        """Of "host?path" strings: neither host nor path holds a ``?``."""
         path = ".*".join(re.escape(x) for x in self.path.split("*"))
-        return rf"(?s)(?:[^ ]*\.)?{re.escape(self.host)} {path}"
+        return rf"(?s)(?:[^?]*\.)?{re.escape(self.host)}\?{path}"
 
     def tokens(self) -> list[str]:
         """Literal tokens that every URL the rule fits has whole.  A token
@@ -91,7 +91,7 @@ class Matcher:
         best = None
         for key in dict.fromkeys(keys):
             for rule, regex in self.index.get(key, ()):
-                if regex.match(f"{host} {path}"):
+                if regex.match(f"{host}?{path}"):
                     rank = (len(rule.text), rule.verdict == "block", rule.text)
                     best = max(best, (rank, rule), key=lambda x: x[0]) if best else (rank, rule)
         return (best[1].text, best[1].verdict) if best else (None, self.default)

@@ -304,6 +304,12 @@ def test_url_rules(ready):
     assert judge_urls(pages.limit(0), rules).count() == 0
 
 
+def test_url_rules_host_with_space(ready):
+    pages = ready.createDataFrame([(1, "http://a b.www.example.org/es/"), (2, "http://a b.notexample.org/es/ x.example.org/es/")], "page_id long, url string")
+    found = judge_urls(pages, [Rule("block", "example.org", "/es/")]).orderBy("page_id").collect()
+    assert [(r.rule, r.verdict) for r in found] == [("example.org/es/", "block"), (None, "allow")]
+
+
 def test_language_id(ready, docs, nothing):
     table_ = ready.read.parquet("/root/testdata/sf0.01/documents.parquet")
     own = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3))
