@@ -243,18 +243,26 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE, max_bytes: int = 64 << 20) -> Model:
     """Learn from ``docs`` (doc_id, text) labelled in ``labels`` (doc_id,
     toxic): the ``sample`` labelled rows with the smallest hashes of doc_id
-    among those where ``learn`` holds, or as many of them as have
-    ``max_bytes`` bytes of text.  Rows with a null id, text or label teach
+    among those where ``learn`` holds, less those that would bring the text
+    taken before them over ``max_bytes`` bytes.  Rows with a null id, text or label teach
     nothing."""
     marked = labels.select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("__y")).where(learn_on(learn, "__id") & F.col("__y").isNotNull())
     order = F.xxhash64(F.col("__id"), F.lit(13))
     first = marked.withColumn("__h", order).orderBy("__h", "__id", "__y").limit(sample)
     rows = docs.join(F.broadcast(first), docs["doc_id"] == F.col("__id"))  # at most ``sample`` rows
     rows = rows.where(F.col("text").isNotNull()).select("__h", "__id", "__y", docs["text"].alias("text"), F.octet_length(docs["text"]).alias("__n"))
-    sizes = np.array([tuple(r) for r in rows.select("__h", "__n").orderBy("__h").collect()], np.int64).reshape(-1, 2)
-    inside = np.cumsum(sizes[:, 1]) <= max_bytes
-    if len(inside) and not inside.all():
-        rows = rows.where(F.col("__h") < int(sizes[int(np.argmin(inside)), 0]))
+    key = ["__h", "__id", "__y", "__t"]
+    rows = rows.withColumn("__t", F.xxhash64("text"))
+    taken, total, whole = [], 0, True
+    for *own, n in rows.groupBy(*key).agg(F.sum("__n")).orderBy(*key).collect():
+        if total + n <= max_bytes:
+            taken.append(tuple(own))
+            total += n
+        else:
+            whole = False
+    if not whole:
+        fits = docs.sparkSession.createDataFrame(taken, rows.select(*key).schema)
+        rows = rows.join(F.broadcast(fits), key, "left_semi")
     table = rows.orderBy("__h", "__id", "__y", "text").select("text", F.col("__y")).toArrow()
     texts = table.column("text").combine_chunks()
     texts = texts if isinstance(texts, pa.Array) else pa.concat_arrays(texts.chunks)

@@ -378,6 +378,17 @@ def test_toxicity(ready, docs, nothing):
     assert toxicity.tag_toxic(docs, none).count() == len(TEXTS)
 
 
+def test_toxicity_long_document(ready, monkeypatch):
+    """A labelled text over the byte bound is skipped, the ones behind it are learnt."""
+    rows = [(i, f"word{i} plain" if i % 2 else f"word{i} vile") for i in range(40)]
+    rows = [(i, t * 4000) if i in (7, 20) else (i, t) for i, t in rows]
+    marks = ready.createDataFrame([(i, int(i % 2 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, y: seen.append(sorted(texts.to_pylist())))
+    toxicity.fit(table(ready, rows), marks, F.lit(True), max_bytes=20_000)
+    assert seen == [sorted(t for i, t in rows if i not in (7, 20))]
+
+
 def test_pipeline(ready):
     import corpus_pipeline
 
