@@ -1,4 +1,4 @@
-"""Exact deduplication by a tree merge of sorted digest runs.
+"""Exact deduplication by a tree merge of digest runs, as hash aggregates.
 
 DataFrame operations only.  Every document belongs to one of ``RUNS`` runs
 (by the hash of its id).  A run is the table of its distinct digests with the
@@ -48,7 +48,7 @@ def digests(docs: DataFrame) -> DataFrame:
 
 
 def merge_runs(level: DataFrame) -> DataFrame:
-    """One round: runs that now share a number become one sorted run."""
+    """One round: runs that now share a number become one."""
     return level.groupBy("run", *KEY).agg(F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
 
 
