@@ -28,13 +28,16 @@ def decimal(col: Column | str, precision: int, scale: int) -> Column:
     return as_col(col).cast(f"decimal({precision},{scale})")
 
 
-def _narrowed(col: Column | str, precision: int, scale: int) -> Column:
-    """The same value as decimal(precision, scale); raises rather than round."""
-    c = as_col(col)
-    n = c.cast(f"decimal({precision},{scale})")
-    return F.when(c.isNull() | (n == c), n).otherwise(
-        F.raise_error(F.concat(F.lit(f"operand of a ratio beyond decimal({precision},{scale}): "), c.cast("string")))
-    )
+#: Type of every ratio: quotients of 10^24 or more raise.
+RATIO_TYPE = "decimal(38,14)"
+#: Operand types tried after the caller's: whole numbers (18 digits behind the point), large amounts (10).
+WIDE = (((20, 0), (20, 0)), ((28, 2), (20, 2)))
+
+
+def _exactly(col: Column, precision: int, scale: int) -> tuple[Column, Column]:
+    """The value as decimal(precision, scale), and whether that is the same value."""
+    n = col.try_cast(f"decimal({precision},{scale})")
+    return n, n == col
 
 
 def exact_ratio(
@@ -43,17 +46,26 @@ def exact_ratio(
     num_type: tuple[int, int] = (30, 14),
     den_type: tuple[int, int] = (20, 8),
 ) -> Column:
-    """num / den of exact operands; null when den is 0 or null.
-
-    Spark's quotient keeps 38 digits less those that the operands' types may
-    need before the point: 14 fractional digits with the default types.  The
-    operands must fit their types without rounding; one that doesn't raises.
+    """num / den as decimal(38,14); null when den is 0 or either is null.
+
+    Operands that fit their types without rounding are divided exactly:
+    Spark's quotient keeps 38 digits less those that the types may need
+    before the point, 14 behind it with the default types.  Larger operands
+    that fit ``WIDE`` have at least 10.  All others (doubles
+    such as 1/3, more than 14 fractional digits) are divided as doubles, so
+    some 15 digits are right.  NaN, infinity and quotients of 10^24 or more
+    raise.
     """
-    return F.try_divide(_narrowed(num, *num_type), _narrowed(den, *den_type))
+    n, d = as_col(num), as_col(den)
+    exact = [(_exactly(n, *p), _exactly(d, *q)) for p, q in ((num_type, den_type), *WIDE)]
+    ratio = F.when(n.isNull() | d.isNull() | (d == 0), F.lit(None).cast(RATIO_TYPE))
+    for (x, same_x), (y, same_y) in exact:
+        ratio = ratio.when(same_x & same_y, F.try_divide(x, y).cast(RATIO_TYPE))
+    return ratio.otherwise(F.try_divide(n.cast("double"), d.cast("double")).cast(RATIO_TYPE))
 
 
 def safe_divide(num: Column | str, den: Column | str) -> Column:
-    """num / nullif(den, 0)."""
+    """num / nullif(den, 0), for operands of any numeric type (``exact_ratio``)."""
     return exact_ratio(num, den)
 
 

@@ -3,13 +3,13 @@
 from funnelworks.operators.contracts import contract
 
 STG_EXPENSES_ADVERTISING = contract(
-    ("expense_advertising_sk", "string"), ("month_date", "date"), ("advertising_spend_usd", "decimal(12,2)")
+    ("expense_advertising_sk", "string"), ("month_date", "date"), ("advertising_spend_usd", "decimal(20,2)")
 )
 STG_EXPENSES_SALARY = contract(
     ("expense_salary_sk", "string"),
     ("month_date", "date"),
     ("sales_channel", "string"),
-    ("salary_and_commissions_usd", "decimal(12,2)"),
+    ("salary_and_commissions_usd", "decimal(20,2)"),
 )
 STG_LEADS = contract(
     ("lead_sk", "string"),
@@ -67,9 +67,9 @@ INT_EXPENSES_CHANNEL_MONTH = contract(
     ("expense_channel_month_sk", "string"),
     ("month_date", "date"),
     ("channel", "string"),
-    ("salary_and_commissions_usd", "decimal(12,2)"),
-    ("advertising_spend_usd", "decimal(12,2)"),
-    ("total_cost_usd", "decimal(12,2)"),
+    ("salary_and_commissions_usd", "decimal(20,2)"),
+    ("advertising_spend_usd", "decimal(20,2)"),
+    ("total_cost_usd", "decimal(20,2)"),
 )
 INT_LEADS_ENRICHED = contract(
     ("lead_sk", "string"),
@@ -156,12 +156,12 @@ MART_CAC_LTV = contract(
     ("cac_ltv_sk", "string"),
     ("month_date", "date"),
     ("channel", "string"),
-    ("total_cost_usd", "decimal(12,2)"),
+    ("total_cost_usd", "decimal(20,2)"),
     ("new_customers_won", "bigint"),
     ("cac_usd", "decimal(12,2)"),
     ("avg_predicted_monthly_gmv_usd", "decimal(12,2)"),
     ("avg_estimated_ltv_usd", "decimal(12,2)"),
-    ("cac_ltv_ratio", "decimal(8,4)"),
+    ("cac_ltv_ratio", "decimal(14,4)"),
 )
 MART_GTM_FUNNEL = contract(
     ("gtm_funnel_sk", "string"),
@@ -204,7 +204,7 @@ MART_DATA_QUALITY_MONITOR = contract(
     ("month_date", "date"),
     ("new_customers_won", "bigint"),
     ("estimated_monthly_ltv_usd", "decimal(20,2)"),
-    ("total_cost_usd", "decimal(12,2)"),
+    ("total_cost_usd", "decimal(20,2)"),
     ("blended_cac_usd", "decimal(12,2)"),
     ("mom_revenue_change_usd", "decimal(20,2)"),
     ("total_audit_findings", "bigint"),

@@ -39,19 +39,19 @@ INBOUND = "inbound"
 def int_expenses_channel_month(salary: DataFrame, advertising: DataFrame) -> DataFrame:
     """Salary per month × channel plus advertising, which is attributed to
     inbound only (outbound gets 0).  Advertising is month-grain (one row per
-    calendar month), so it is broadcast."""
+    calendar month); its join strategy is left to the measured size."""
     ads = advertising.select(F.col("month_date").alias("ad_month"), "advertising_spend_usd")
     joined = salary.join(ads, salary["month_date"] == ads["ad_month"], "left")
     ad = F.when(
-        F.col("sales_channel") == INBOUND, F.coalesce(F.col("advertising_spend_usd"), F.lit(0).cast("decimal(12,2)"))
-    ).otherwise(F.lit(0).cast("decimal(12,2)"))
+        F.col("sales_channel") == INBOUND, F.coalesce(F.col("advertising_spend_usd"), F.lit(0).cast("decimal(20,2)"))
+    ).otherwise(F.lit(0).cast("decimal(20,2)"))
     df = joined.select(
         surrogate_key("month_date", "sales_channel").alias("expense_channel_month_sk"),
         "month_date",
         F.col("sales_channel").alias("channel"),
         "salary_and_commissions_usd",
-        ad.cast("decimal(12,2)").alias("advertising_spend_usd"),
-        (F.col("salary_and_commissions_usd") + ad).cast("decimal(12,2)").alias("total_cost_usd"),
+        ad.cast("decimal(20,2)").alias("advertising_spend_usd"),
+        (F.col("salary_and_commissions_usd") + ad).cast("decimal(20,2)").alias("total_cost_usd"),
     )
     return enforce_contract(df, C.INT_EXPENSES_CHANNEL_MONTH)
 

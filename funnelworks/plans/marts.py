@@ -23,7 +23,7 @@ def mart_cac_ltv(stats: DataFrame, expenses: DataFrame) -> DataFrame:
     """Cost, wins, CAC, won-lead GMV/LTV averages and LTV:CAC per month ×
     channel; limited to months with cost data (inner join).  The ratio is one
     division of exact products: (ltv_sum x won) / (ltv_n x cost).  Its type
-    decimal(8,4) is the contract's: a ratio of 10000 or more raises."""
+    decimal(14,4) holds ratios below 10^10, for months of little spend."""
     cost = expenses.select("month_date", "channel", "total_cost_usd")
     j = stats.join(cost, ["month_date", "channel"], "inner")
     won = F.col("closed_won")
@@ -37,12 +37,12 @@ def mart_cac_ltv(stats: DataFrame, expenses: DataFrame) -> DataFrame:
         surrogate_key("month_date", "channel").alias("cac_ltv_sk"),
         "month_date",
         "channel",
-        F.col("total_cost_usd").cast("decimal(12,2)").alias("total_cost_usd"),
+        F.col("total_cost_usd").cast("decimal(20,2)").alias("total_cost_usd"),
         won.alias("new_customers_won"),
         cac.cast("decimal(12,2)").alias("cac_usd"),
         exact_ratio("won_gmv_sum", "won_gmv_n").cast("decimal(12,2)").alias("avg_predicted_monthly_gmv_usd"),
         avg_ltv.cast("decimal(12,2)").alias("avg_estimated_ltv_usd"),
-        ratio.cast("decimal(8,4)").alias("cac_ltv_ratio"),
+        ratio.cast("decimal(14,4)").alias("cac_ltv_ratio"),
     )
     return enforce_contract(df, C.MART_CAC_LTV)
 
@@ -154,7 +154,7 @@ def mart_data_quality_monitor(cac_ltv: DataFrame, audit_by_month: DataFrame) ->
         "month_date",
         F.col("new_customers_won").cast("bigint").alias("new_customers_won"),
         ltv.cast("decimal(20,2)").alias("estimated_monthly_ltv_usd"),
-        F.col("total_cost_usd").cast("decimal(12,2)").alias("total_cost_usd"),
+        F.col("total_cost_usd").cast("decimal(20,2)").alias("total_cost_usd"),
         exact_ratio("_cac_x_won", "_won").cast("decimal(12,2)").alias("blended_cac_usd"),
         (ltv - F.lag(ltv).over(by_month)).cast("decimal(20,2)").alias("mom_revenue_change_usd"),
         findings.cast("bigint").alias("total_audit_findings"),

@@ -313,7 +313,7 @@ def vq_cac_ltv_trend(cac: DataFrame) -> DataFrame:
         "avg_estimated_ltv_usd",
         "cac_ltv_ratio",
         prev.alias("prev_month_ratio"),
-        (F.col("cac_ltv_ratio") - prev).cast("decimal(9,4)").alias("mom_change"),
+        (F.col("cac_ltv_ratio") - prev).cast("decimal(15,4)").alias("mom_change"),
     ).orderBy("channel", "month_date")
 
 

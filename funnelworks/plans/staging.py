@@ -39,6 +39,8 @@ DISQUALIFIED_STATUSES = (
 # Terminal opportunity stages.
 WON_STAGE = "Closed Won"
 LOST_STAGE = "Closed Lost"
+#: Precision of spend: a month's total grows with the data.
+SPEND_DIGITS = 20
 
 
 def stg_expenses_advertising(raw: DataFrame) -> DataFrame:
@@ -46,7 +48,7 @@ def stg_expenses_advertising(raw: DataFrame) -> DataFrame:
     df = raw.select(
         surrogate_key(month).alias("expense_advertising_sk"),
         month.alias("month_date"),
-        parse_european_numeric("advertising").alias("advertising_spend_usd"),
+        parse_european_numeric("advertising", SPEND_DIGITS).alias("advertising_spend_usd"),
     )
     return enforce_contract(df, C.STG_EXPENSES_ADVERTISING)
 
@@ -56,8 +58,8 @@ def stg_expenses_salary(raw: DataFrame) -> DataFrame:
     (Expand) instead of a double scan."""
     typed = raw.select(
         month_label_to_date("month").alias("month_date"),
-        parse_european_numeric("outbound_sales_team").alias("outbound"),
-        parse_european_numeric("inbound_sales_team").alias("inbound"),
+        parse_european_numeric("outbound_sales_team", SPEND_DIGITS).alias("outbound"),
+        parse_european_numeric("inbound_sales_team", SPEND_DIGITS).alias("inbound"),
     )
     long = typed.unpivot(["month_date"], ["outbound", "inbound"], "sales_channel", "salary_and_commissions_usd")
     df = long.select(

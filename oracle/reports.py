@@ -136,7 +136,7 @@ q(
     """
 SELECT channel, month_date, cac_usd, avg_estimated_ltv_usd, cac_ltv_ratio,
   lag(cac_ltv_ratio) OVER (PARTITION BY channel ORDER BY month_date) AS prev_month_ratio,
-  CAST(cac_ltv_ratio - lag(cac_ltv_ratio) OVER (PARTITION BY channel ORDER BY month_date) AS DECIMAL(9,4))
+  CAST(cac_ltv_ratio - lag(cac_ltv_ratio) OVER (PARTITION BY channel ORDER BY month_date) AS DECIMAL(15,4))
     AS mom_change
 FROM mart_cac_ltv
 """,

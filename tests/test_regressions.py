@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from funnelworks.functions import exact_ratio
+from funnelworks.functions import exact_ratio, safe_divide
 from funnelworks.plans.marts import mart_data_quality_monitor
 
 D = dt.date
@@ -17,9 +17,9 @@ D = dt.date
 def _cac(spark, rows):
     return spark.createDataFrame(
         rows,
-        "cac_ltv_sk string, month_date date, channel string, total_cost_usd decimal(12,2), new_customers_won bigint, "
+        "cac_ltv_sk string, month_date date, channel string, total_cost_usd decimal(20,2), new_customers_won bigint, "
         "cac_usd decimal(12,2), avg_predicted_monthly_gmv_usd decimal(12,2), avg_estimated_ltv_usd decimal(12,2), "
-        "cac_ltv_ratio decimal(8,4)",
+        "cac_ltv_ratio decimal(14,4)",
     )
 
 
@@ -69,4 +69,17 @@ def test_exact_ratio_rounds_half_up_like_decimal(spark, pairs):
     got = [r[0] for r in df.select(exact_ratio("n", "d").cast("decimal(20,4)")).collect()]
     want = [(Decimal(n) / Decimal(d)).quantize(Decimal("0.0001"), rounding=ROUND_HALF_UP) for n, d in pairs]
     assert got == want
-    _ = F
+
+
+def test_safe_divide_takes_ordinary_operands(spark):
+    def one(num, den):
+        return spark.range(1).select(safe_divide(F.expr(num), F.expr(den))).first()[0]
+
+    third = one("double(1) / 3", "2")
+    assert abs(third - Decimal(1) / 6) < Decimal("1e-13")
+    assert abs(one("1", "cast(0.000000001 as decimal(20,9))") - 10**9) < Decimal("1e-5")  # as doubles
+    assert abs(one("5", "cast(0.000000001 as double)") - 5 * 10**9) < Decimal("1e-5")
+    assert one("3", "bigint(1000000000000)") == Decimal("0.000000000003")
+    assert one("20000000000000000", "3").quantize(Decimal("0.000001")) == Decimal("6666666666666666.666667")
+    assert one("0.1D", "0.3D") == Decimal("0.33333333333333")
+    assert one("7", "0") is None and one("null", "2") is None and one("2", "cast(null as double)") is None
