@@ -87,10 +87,25 @@ FROM d JOIN i USING (x) JOIN n USING (item_id)
 GROUP BY doc_id, item_id, n_item HAVING 100 * count(*) >= 80 * n_item
 """
 
+OP12 = rf"""
+WITH l AS (
+  SELECT doc_id, generate_subscripts(l, 1) AS i, unnest(l) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
+), k AS (
+  SELECT *, {_FOLD.format("trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS key FROM l
+), r AS (
+  SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE keeper <> doc_id) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE keeper IS NULL OR keeper = doc_id), '')) AS kept_sha256
+FROM k LEFT JOIN r USING (key) GROUP BY doc_id
+"""
+
 ORACLE = {
     "op2_warc_members": OP2,
     "op5_url_rules": OP5,
     "op6_exact_dedup": OP6,
     "op8_near_dedup": OP8,
     "op10_decontamination": OP10,
+    "op12_line_dedup": OP12,
 }

@@ -7,9 +7,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from funnelworks.llm import language_id, toxicity
+from funnelworks.llm.alignment import alignment_scores
 from funnelworks.llm.decontamination import contained_items
 from funnelworks.llm.exact_dedup import exact_groups
 from funnelworks.llm.id_files import read_ids, write_ids
+from funnelworks.llm.line_dedup import dedup_lines
 from funnelworks.llm.near_dedup import near_duplicates
 from funnelworks.llm.packing import pack
 from funnelworks.llm.prepare import prepared
@@ -17,8 +19,9 @@ from funnelworks.llm.storage import read_table
 from funnelworks.llm.token_counts import token_counts
 from funnelworks.llm.url_rules import Rule, judge_urls
 from funnelworks.llm.warc import archive_pages
+from funnelworks.llm.whitening import whiten
 
-WORDS, BYTES = "word_bpe_49k.json", "byte_bpe_50k.json"
+WORDS, BYTES, PIECES = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
 URL_RULES = [
     Rule("allow", "org", "/"),
     Rule("block", "example.org", "/es/"),
@@ -100,10 +103,28 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared(spark)
+    found = whiten(read_table(spark, sf_dir, "embeddings"), limit=32)
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared(spark)
+    found = dedup_lines(read_table(spark, sf_dir, "documents"), min_chars=20, min_docs=3)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared(spark)
+    return alignment_scores(read_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTES), public_tokenizers.path(PIECES))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_rans_ids, op2_warc_members, op3_token_counts, op4_language_id, op5_url_rules,
         op6_exact_dedup, op7_toxicity, op8_near_dedup, op9_packing, op10_decontamination,
+        op11_whitening, op12_line_dedup, op13_alignment,
     )
 }
