@@ -1,10 +1,11 @@
 """Alignment of two tokenizers' tokens over the same bytes.
 
-A text with a space in front is cut before every space that follows a
-character other than white space.  Neither tokenizer has a token over such a
-cut and neither looks across it, so a text's tokens, links and groups are
-those of its pieces one after the other, and each Python worker works a
-distinct piece out once.
+A text with a space in front is cut before every space or line feed that
+follows a character other than white space, and before ASCII marks that
+follow a letter (``Aligner`` looks whether that holds for its tokenizers).
+Neither tokenizer has a token over such a cut and neither looks across it, so
+a text's tokens, links and groups are those of its pieces one after the other,
+and each Python worker works a distinct piece out once while it remembers it.
 
 Groups of new pieces come by pointer jumping over all their tokens at once:
 every token points to the farthest-right token that overlaps it, and pointers
@@ -35,11 +36,18 @@ from funnelworks.llm.words import slices, white_space
 #: Bound on pairs sent to the tasks.
 HOT = 1 << 20
 #: Pieces that a worker remembers, and their bytes at most; longer ones are worked out each time.
-MEMO_PIECES, MEMO_BYTES = 200_000, 64
+MEMO_PIECES, MEMO_BYTES = 400_000, 64
+#: New pieces that are given to the tokenizers in one text.
+JOINED = 500
+_CONTROL = "\n"
 #: Distinct pairs of a task that are gathered before they are passed on.
 GATHER = 1 << 20
 #: A pair of ids as one number.
 PAIR = 1 << 32
+_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+#: ASCII marks but for ' (of contractions).
+_MARK[[*range(33, 39), *range(40, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 _workers: dict[tuple[str, str], Aligner] = {}
 
 
@@ -78,8 +86,28 @@ def overlaps(end_a: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return a, first[a] + within
 
 
+def _ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Places starts[i] .. starts[i] + counts[i] - 1, one after the other."""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
+
+
+def decimals(values: np.ndarray, marks: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """Values (below 10^9) in decimal with a mark behind each, and their ends."""
+    width = np.ones(len(values), np.int64)
+    for k in range(1, 9):
+        width += values >= 10**k
+    ends = np.cumsum(width + 1)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    out[ends - 1] = marks
+    for k in range(int(width.max(initial=0))):
+        long = width > k
+        out[ends[long] - 2 - k] = 48 + values[long] // 10**k % 10
+    return out.tobytes(), ends
+
+
 class Pieces:
-    """Facts of pieces by number: tokens, groups, text of groups, links (flat)."""
+    """Facts of pieces by number: tokens, groups, text of groups (with ; behind
+    each), links (flat), and how often they were met."""
 
     def __init__(self):
         self.n = 0
@@ -87,12 +115,14 @@ class Pieces:
         self.text: list[bytes] = []
         self.first = np.zeros(1025, np.int64)
         self.links = np.zeros(4096, np.int64)
+        self.met = np.zeros(1024, np.int64)
 
     def add(self, facts: np.ndarray, text: list[bytes], counts: np.ndarray, links: np.ndarray) -> None:
         n, m = self.n + len(facts), int(self.first[self.n]) + len(links)
         if n + 1 > len(self.first):
             self.facts = np.concatenate((self.facts, np.zeros((n, 3), np.int64)))
             self.first = np.concatenate((self.first, np.zeros(n, np.int64)))
+            self.met = np.concatenate((self.met, np.zeros(n, np.int64)))
         if m > len(self.links):
             self.links = np.concatenate((self.links, np.zeros(m, np.int64)))
         self.facts[self.n : n] = facts
@@ -101,6 +131,12 @@ class Pieces:
         self.text += text
         self.n = n
 
+    def only(self, keep: np.ndarray) -> Pieces:
+        out = Pieces()
+        counts = self.first[keep + 1] - self.first[keep]
+        out.add(self.facts[keep], [self.text[i] for i in keep.tolist()], counts, self.links[_ragged(self.first[keep], counts)])
+        return out
+
 
 class Aligner:
     def __init__(self, path_a: str, path_b: str):
@@ -110,6 +146,9 @@ class Aligner:
 
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True  # their strings are plain text
+        splits = str(self.a.pre_tokenizer)
+        if self.a.normalizer is not None or not splits.startswith("ByteLevel(add_prefix_space=False") or "use_regex=True" not in splits:
+            raise ValueError(f"{path_a}: not a plain byte-level tokenizer")
         letters = byte_letters()
         self.a_bytes = [b""] * self.a.get_vocab_size()
         for token, i in self.a.get_vocab().items():
@@ -120,67 +159,133 @@ class Aligner:
         self.b_bytes = [
             bytes([int(t[3:5], 16)]) if self.b.is_byte(i) else t.replace("▁", " ").encode() for i, t in enumerate(names)
         ]
-        if any("▁" in t.lstrip("▁") for t in names):
+        whole = [t for i, t in enumerate(names) if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i))]
+        if any("▁" in t.lstrip("▁") for t in whole):
             raise ValueError(f"{path_b}: pieces with a space inside can't be cut at spaces")
+        # a control character has no piece, so that nothing joins it: it may stand where the library puts its space
         self.space = self.b.piece_to_id("▁")
+        front = self.b.encode(_CONTROL)
+        if front[0] != self.space or len(front) != 2 or any(_CONTROL in t for t in whole):
+            raise ValueError(f"{path_b}: line feeds aren't apart from other text")
+        self.marks = not any(x.isalpha() and not y.isalnum() for t in whole for x, y in zip(t, t[1:], strict=False))
         self.length_a, self.length_b = (np.array([len(t) for t in x], np.int64) for x in (self.a_bytes, self.b_bytes))
-        self.forget()
-
-    def forget(self) -> None:
         self.pieces, self.memo = Pieces(), {}
 
-    def _work_out(self, new: list[bytes]) -> None:
-        """Add pieces, each a space and what follows."""
-        texts = [p.decode() for p in new]
+    def _forget(self) -> None:
+        """Keep half as many pieces as are remembered, those met most often."""
+        numbers = np.fromiter(self.memo.values(), np.int64, len(self.memo))
+        order = np.argsort(-self.pieces.met[numbers], kind="stable")[: MEMO_PIECES // 2]
+        names = list(self.memo)
+        self.memo = {names[i]: k for k, i in enumerate(order.tolist())}
+        self.pieces = self.pieces.only(numbers[order])
+
+    def _tokens(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of each text, a piece or several, as if it stood inside another."""
         a = [x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)]
         # the library puts a space in front of all but the empty text
-        b = [x if t != " " else [self.space] for t, x in zip(texts, self.b.encode([t[1:] for t in texts], num_threads=1), strict=True)]
-        same = [
-            b"".join([self.a_bytes[i] for i in x]) == p == b"".join([self.b_bytes[i] for i in y])
-            for p, x, y in zip(new, a, b, strict=True)
-        ]
-        a, b = ([x if ok else [] for x, ok in zip(ids, same, strict=True)] for ids in (a, b))
-        n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (a, b))
-        id_a, id_b = (np.array([i for x in ids for i in x], np.int64) for ids in (a, b))
+        spaced = [t[0] == " " for t in texts]
+        b = self.b.encode([t[1:] if own else _CONTROL + t for t, own in zip(texts, spaced, strict=True)], num_threads=1)
+        b = [[self.space] if t == " " else x if own else x[2:] for t, own, x in zip(texts, spaced, b, strict=True)]
+        return a, b
+
+    def _encode(self, new: list[bytes]) -> tuple[np.ndarray, ...]:
+        """For pieces: ids of A, their number by piece, the same of B, and
+        whether both give the piece's bytes.  Pieces of a space and what ends
+        in a letter or mark keep their tokens when they follow each other, so
+        many go as one text; if its bytes differ, and all others, alone."""
+        ids = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        counts = [np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)]
+        same = np.zeros(len(new), bool)
+        placed: list[list[tuple[int, np.ndarray]]] = [[], []]  # by side: first piece, ids
+        alone, joined = [], []
+        for i, p in enumerate(new):
+            last = p[-1]
+            ends = last > 32 and (last < 127 or p[-2:-1] == b"\xc3") and p[0] == 32
+            (joined if ends else alone).append(i)
+        groups = [joined[i : i + JOINED] for i in range(0, len(joined), JOINED)]
+        order: list[int] = []
+        if groups:
+            texts = [b"".join([new[i] for i in g]) for g in groups]
+            for g, text, *both in zip(groups, texts, *self._tokens([t.decode() for t in texts]), strict=True):
+                if any(b"".join([table[i] for i in x]) != text for table, x in zip((self.a_bytes, self.b_bytes), both, strict=True)):
+                    alone += g
+                    continue
+                ends = np.cumsum([len(new[i]) for i in g])
+                for side, (x, length) in enumerate(zip(both, (self.length_a, self.length_b), strict=True)):
+                    x = np.array(x, np.int64)
+                    cuts = np.searchsorted(np.cumsum(length[x]), ends, "right")
+                    counts[side][g] = np.diff(cuts, prepend=0)
+                    placed[side].append((len(order), x))
+                same[g] = True
+                order += g
+        if alone:
+            for i, *both in zip(alone, *self._tokens([new[i].decode() for i in alone]), strict=True):
+                ok = all(b"".join([table[j] for j in x]) == new[i] for table, x in zip((self.a_bytes, self.b_bytes), both, strict=True))
+                for side, x in enumerate(both):
+                    x = np.array(x if ok else [], np.int64)
+                    counts[side][i] = len(x)
+                    placed[side].append((len(order), x))
+                same[i] = ok
+                order.append(i)
+        # back from the order of work to that of the pieces
+        at = np.array(order, np.int64)
+        for side in range(2):
+            flat = np.concatenate([x for _, x in placed[side]]) if placed[side] else ids[side]
+            starts = np.zeros(len(new), np.int64)
+            starts[at] = np.cumsum(counts[side][at]) - counts[side][at]
+            ids[side] = flat[_ragged(starts, counts[side])]
+        return ids[0], counts[0], ids[1], counts[1], same
+
+    def _work_out(self, new: list[bytes]) -> None:
+        """Add pieces."""
+        id_a, n_a, id_b, n_b, same = self._encode(new)
+        n = len(new)
         end_a, end_b = np.cumsum(self.length_a[id_a]), np.cumsum(self.length_b[id_b])
-        owner = np.repeat(np.arange(len(new)), n_a)
+        owner_a, owner_b = np.repeat(np.arange(n), n_a), np.repeat(np.arange(n), n_b)
         left, right = overlaps(end_a, end_b)
         links = id_a[left] * PAIR + id_b[right]
-        group = terminals(end_a, end_b)
-        # terminals are tokens of B, in order of place
-        marks, number = np.unique(group, return_inverse=True)
-        number_a, number_b = number[: len(end_a)], number[len(end_a) :]
-        n_groups = np.bincount(np.repeat(np.arange(len(new)), n_b)[marks - len(end_a)], minlength=len(new))
-        cut_a, cut_b = (np.searchsorted(x, np.arange(len(marks) + 1)) for x in (number_a, number_b))
-        word_a, word_b = ([b"%d" % i for i in ids.tolist()] for ids in (id_a, id_b))
-        said = [
-            b",".join(word_a[i:j]) + b"|" + b",".join(word_b[k:m])
-            for i, j, k, m in zip(cut_a[:-1].tolist(), cut_a[1:].tolist(), cut_b[:-1].tolist(), cut_b[1:].tolist(), strict=True)
-        ]
-        at = np.concatenate(([0], np.cumsum(n_groups))).tolist()
-        text = [b";".join(said[i:j]) for i, j in zip(at[:-1], at[1:], strict=True)]
+        # groups are labelled by their terminals, tokens of B, in order of place
+        marks, number = np.unique(terminals(end_a, end_b), return_inverse=True)
+        n_groups = np.bincount(owner_b[marks - len(end_a)], minlength=n)
+        # A's ids of a group, then B's; a comma, or what ends the side
+        side = 2 * number + (np.arange(len(number)) >= len(end_a))
+        order = np.argsort(side, kind="stable")
+        ends = np.append(side[order][1:] != side[order][:-1], len(side) > 0)[: len(side)]
+        mark = np.where(ends, np.where(side[order] % 2, ord(";"), ord("|")), ord(",")).astype(np.uint8)
+        said, bounds = decimals(np.concatenate((id_a, id_b))[order], mark)
+        stops = np.concatenate(([0], bounds))[np.concatenate(([0], np.cumsum(n_a + n_b)))].tolist()
+        text = [said[i:j] for i, j in zip(stops[:-1], stops[1:], strict=True)]
         facts = np.column_stack((np.where(same, n_a, -1), n_b, n_groups))
-        self.pieces.add(facts, text, np.bincount(owner[left], minlength=len(new)), links)
+        self.pieces.add(facts, text, np.bincount(owner_a[left], minlength=n), links)
+
+    def _starts(self, data: np.ndarray, borders: np.ndarray) -> np.ndarray:
+        space = white_space(data)
+        cut = (data == 32) | (data == 10)
+        cut[1:] &= ~space[:-1]
+        if self.marks:
+            letter = _LETTER[data]
+            pair = np.flatnonzero(data[:-1] == 0xC3)
+            letter[pair + 1] = (data[pair + 1] != 0x97) & (data[pair + 1] != 0xB7)  # but for two signs
+            cut[1:] |= letter[:-1] & _MARK[data[1:]]
+        cut[borders[:-1]] = True
+        return np.flatnonzero(cut)
 
     def documents(self, data: np.ndarray, borders: np.ndarray):
         """For texts with a space in front: facts (rows of a, b, groups, all 0
         where bytes differ), texts of the groups, links' documents and links."""
         n = len(borders) - 1
-        space = white_space(data)
-        cut = data == 32
-        cut[1:] &= ~space[:-1]
-        cut[borders[:-1]] = True
-        starts = np.flatnonzero(cut)
+        starts = self._starts(data, borders)
         whole, bounds = data.tobytes(), np.append(starts, len(data)).tolist()
         pieces = [whole[i:j] for i, j in zip(bounds[:-1], bounds[1:], strict=True)]
-        if self.pieces.n > MEMO_PIECES:
-            self.forget()
-        new = list(dict.fromkeys(p for p in pieces if p not in self.memo))
+        if len(self.memo) > MEMO_PIECES or self.pieces.n > 2 * MEMO_PIECES:
+            self._forget()
+        new = list(set(pieces).difference(self.memo))
         if new:
             self.memo.update(zip(new, range(self.pieces.n, self.pieces.n + len(new)), strict=True))
             self._work_out(new)
         number = np.fromiter(map(self.memo.__getitem__, pieces), np.int64, len(pieces))
         table = self.pieces
+        np.add.at(table.met, number, 1)
         first = np.searchsorted(starts, borders)
         row = np.repeat(np.arange(n), np.diff(first))
         own = table.facts[number]
@@ -188,12 +293,11 @@ class Aligner:
         facts = np.column_stack([np.bincount(row, own[:, i], n).astype(np.int64) for i in range(3)]) * good[:, None]
         said = list(map(table.text.__getitem__, number.tolist()))
         ends = first.tolist()
-        texts = [b";".join(said[i:j]) if ok else b"" for i, j, ok in zip(ends[:-1], ends[1:], good.tolist(), strict=True)]
+        texts = [b"".join(said[i:j])[:-1] if ok else b"" for i, j, ok in zip(ends[:-1], ends[1:], good.tolist(), strict=True)]
         use = good[row]
         number, row = number[use], row[use]
         count = table.first[number + 1] - table.first[number]
-        at = np.repeat(table.first[number] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-        links = table.links[at]
+        links = table.links[_ragged(table.first[number], count)]
         for p in new:
             if len(p) > MEMO_BYTES:
                 del self.memo[p]
