@@ -18,48 +18,98 @@ A line's identity is a pair of 64-bit hashes: place and fingerprint.
 from __future__ import annotations
 
 from collections import OrderedDict
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from funnelworks.llm import perfect_hash
 from funnelworks.llm.perfect_hash import PerfectHash
 from funnelworks.llm.storage import open_in, open_out, scratch_path, stored
-from funnelworks.llm.words import U
+from funnelworks.llm.words import NOT_SPACE, U, mix64, slices
 
-WHITE = " \t\n\v\f\r"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Keys of a shard, about 30 bytes each; bytes of shards that a worker keeps.
 SHARD_KEYS, CACHE_BYTES = 1 << 20, 128 << 20
+#: Text bytes hashed at once (one longer line is hashed alone).
+WINDOW = 1 << 18
 _shards: OrderedDict[str, tuple[int, PerfectHash, list[np.ndarray]]] = OrderedDict()
 
+_FOLDED = np.arange(256, dtype=np.uint8)
+_FOLDED[65:91] += 32
+_STEPS = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
+_VALUES = np.random.default_rng(20240911).integers(1, 1 << 63, (2, 256), dtype=np.uint64) * U(2) + U(1)
+_powers: dict[int, np.ndarray] = {}
+
+
+def _power(base: int, n: int) -> np.ndarray:
+    if len(_powers.get(base, ())) < n:
+        full = np.full(max(n, WINDOW + 1), U(base))
+        full[0] = 1
+        _powers[base] = np.cumprod(full)
+    return _powers[base][:n]
+
+
+def text_lines(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, end) of all lines of the texts, cut at line feeds; an empty
+    text has one empty line."""
+    feeds = np.flatnonzero(data == 10)
+    n_lines = 1 + np.diff(np.searchsorted(feeds, borders))
+    start = np.sort(np.concatenate((borders[:-1], feeds + 1)), kind="stable")
+    end = np.sort(np.concatenate((feeds, borders[1:])), kind="stable")
+    return np.repeat(np.arange(len(borders) - 1), n_lines), start, end
+
+
+def line_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, min_chars: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lines, by number, whose key has at least ``min_chars`` code points, and
+    the pairs of hashes (n x 2) of their keys: white space stripped at both
+    ends, A-Z lower-cased."""
+    solid = np.flatnonzero(NOT_SPACE[data])
+    first, last = np.searchsorted(solid, start), np.searchsorted(solid, end) - 1
+    some = np.flatnonzero(first <= last)
+    start, end = solid[first[some]], solid[last[some]] + 1
+    chars = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
+    long = chars[end] - chars[start] >= min_chars
+    some, start, end = some[long], start[long], end[long]
+    out = np.zeros((len(some), 2), U)
+    lo = 0
+    while lo < len(some):
+        hi = max(int(np.searchsorted(end, start[lo] + WINDOW, "right")), lo + 1)
+        base, size = start[lo], int(end[hi - 1] - start[lo])
+        folded, a, z = _FOLDED[data[base : base + size]], start[lo:hi] - base, end[lo:hi] - base
+        for i, (step, values) in enumerate(zip(_STEPS, _VALUES, strict=True)):
+            sums = np.zeros(size + 1, U)
+            np.cumsum(values[folded] * _power(step, size), out=sums[1:])
+            out[lo:hi, i] = mix64((sums[z] - sums[a]) * _power(pow(step, -1, 1 << 64), size)[a] + (z - a).astype(U))
+        lo = hi
+    return some, out
+
+
+def _held(min_chars: int):
+    """(doc_id, h1, h2), each line once a text."""
+
+    def run(batches):
+        for batch in batches:
+            for lo, hi, data, borders in slices(batch.column(1)):
+                row, start, end = text_lines(data, borders)
+                line, hashes = line_hashes(data, start, end, min_chars)
+                row, (h1, h2) = row[line], hashes.T
+                order = np.lexsort((h2, h1, row))
+                row, h1, h2 = row[order], h1[order], h2[order]
+                new = np.ones(len(row), bool)
+                new[1:] = (row[1:] != row[:-1]) | (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
+                columns = [batch.column(0).slice(lo, hi - lo).take(pa.array(row[new])), *(pa.array(h[new].view(np.int64)) for h in (h1, h2))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "h1", "h2"])
 
-def text_lines(text: Column | str) -> Column:
-    """The lines of a text, cut at line feeds; null or empty: one empty line."""
-    return F.split(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")), "\n")
-
-
-def line_hashes(lines: Column, min_chars: int) -> Column:
-    """(h1, h2) of every line's key: white space stripped at both ends, A-Z
-    lower-cased; null for keys of fewer than ``min_chars`` code points."""
-
-    def hashes(line: Column) -> Column:
-        key = F.translate(F.btrim(line, F.lit(WHITE)), UPPER, LOWER)
-        pair = F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(1), key).alias("h2"))
-        return F.when(F.length(key) >= min_chars, pair)
-
-    return F.transform(lines, hashes)
+    return run
 
 
 def repeated_lines(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
     """(h1, h2, n_docs, keeper) of lines that at least ``min_docs`` documents hold."""
-    own = F.array_distinct(F.filter(line_hashes(text_lines("text"), min_chars), lambda h: h.isNotNull()))
-    held = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(own).alias("h"))
-    counted = held.groupBy("h.h1", "h.h2").agg(F.count_distinct("doc_id").alias("n_docs"), F.max("doc_id").alias("keeper"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    held = rows.mapInArrow(_held(min_chars), "doc_id long, h1 long, h2 long")
+    counted = held.groupBy("h1", "h2").agg(F.count_distinct("doc_id").alias("n_docs"), F.max("doc_id").alias("keeper"))
     return counted.where(F.col("n_docs") >= min_docs)
 
 
@@ -124,23 +174,28 @@ def probe(folder: str, shards: int, doc: np.ndarray, no_doc: np.ndarray, h1: np.
     return drop
 
 
-def _prober(folder: str, shards: int):
-    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for doc, hashes in batches:
-            size = hashes.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-            flat = hashes.flatten()
-            real = flat.is_valid().to_numpy(zero_copy_only=False)
-            row = np.repeat(np.arange(len(size)), size)[real]
-            used = flat.drop_null()
-            h1, h2 = (used.field(i).to_numpy(zero_copy_only=False).view(U) for i in range(2))
-            ids = doc.fill_null(0).to_numpy(zero_copy_only=False)
-            none = doc.is_null().to_numpy(zero_copy_only=False)
-            drop = np.zeros(len(flat), bool)
-            drop[real] = probe(folder, shards, ids[row], none[row], h1, h2)
-            ends = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(drop))
+def _without(folder: str, shards: int, min_chars: int):
+    def run(batches):
+        for batch in batches:
+            for lo, hi, data, borders in slices(batch.column(1)):
+                row, start, end = text_lines(data, borders)
+                line, hashes = line_hashes(data, start, end, min_chars)
+                doc = batch.column(0).slice(lo, hi - lo)
+                ids, none = (x.to_numpy(zero_copy_only=False) for x in (doc.fill_null(0), doc.is_null()))
+                at = row[line]
+                drop = np.zeros(len(row), bool)
+                drop[line] = probe(folder, shards, ids[at], none[at], hashes[:, 0].copy(), hashes[:, 1].copy())
+                whole, cuts = data.tobytes(), borders.tolist()
+                texts = [whole[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+                n_dropped = np.bincount(row[drop], minlength=hi - lo)
+                first = np.searchsorted(row, np.arange(hi - lo + 1))
+                for i in np.flatnonzero(n_dropped).tolist():
+                    stay = first[i] + np.flatnonzero(~drop[first[i] : first[i + 1]])
+                    texts[i] = b"\n".join([whole[a:z] for a, z in zip(start[stay].tolist(), end[stay].tolist(), strict=True)])
+                columns = [doc, pa.array(texts, pa.binary()).cast(pa.string()), pa.array(np.diff(first)), pa.array(n_dropped)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "n_lines", "n_dropped"])
 
-    return F.arrow_udf(run, "array<boolean>")
+    return run
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
@@ -156,12 +211,5 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
     lines.  Empty table: no rows.
     """
     folder, shards = write_index(repeated_lines(docs, min_chars, min_docs))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_lines("text").alias("lines"))
-    marked = rows.withColumn("drop", _prober(folder, shards)("doc_id", line_hashes(F.col("lines"), min_chars)))
-    kept = F.filter("lines", lambda line, i: ~F.get("drop", i))
-    return marked.select(
-        "doc_id",
-        F.array_join(kept, "\n").alias("text"),
-        F.size("lines").cast("long").alias("n_lines"),
-        F.size(F.filter("drop", lambda d: d)).cast("long").alias("n_dropped"),
-    )
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(_without(folder, shards, min_chars), "doc_id long, text string, n_lines long, n_dropped long")
