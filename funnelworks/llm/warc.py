@@ -215,9 +215,12 @@ def _members(rows: list[tuple]) -> pa.RecordBatch:
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
     """Every record of normalised archives, found by the index: page_id,
     payload_bytes, payload_digest, record_type, refers_to, url, payload (null
-    for a revisit, whose size and digest are of the payload it refers to)."""
+    for a revisit, whose size and digest are of the payload it refers to).
+    As many tasks read as there are archives, each a range of members."""
     index = spark.read.schema(_INDEX).json(f"{folder}/*.idx.json")
-    index = index.select("archive", "offset", "length").repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset")
+    archives = max(1, index.agg(F.count_distinct("archive")).first()[0])  # the index is small, what it tells to read isn't
+    index = index.select("archive", "offset", "length").repartitionByRange(archives, "archive", "offset")
+    index = index.sortWithinPartitions("archive", "offset")
     return index.mapInArrow(
         _read_members(),
         "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary",
