@@ -2,9 +2,11 @@
 
 A tokenizer that drops white space (its words never span any) gives a text
 the ids of its white-space separated chunks one after the other.  Each Python
-worker keeps the ids of chunks it has met, so the library is asked once per
-distinct chunk; special strings, normalisation and splitting inside a chunk
-stay the library's own, but for words with marks behind them.
+worker keeps the ids of chunks and their lower-case words that it has met, so
+the library is asked once per distinct word; special strings, normalisation and
+splitting inside a chunk stay the library's own, but for words with marks
+behind them.  A tokenizer with another normaliser or other splits than those
+this holds for gets whole texts.
 """
 
 from __future__ import annotations
@@ -18,17 +20,32 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Chunks a worker remembers; when full it goes on with those of the texts at hand, which costs time only.
-MEMO_CHUNKS, MEMO_BYTES = 500_000, 64
-_MARK = "\x01"
+#: Chunks that a worker remembers, and their bytes at most; when full it begins anew, which costs time only.
+MEMO_CHUNKS, MEMO_BYTES = 1_000_000, 64
 #: Latin letters up to U+00FF but for two signs and two ordinals, in UTF-8, and
 #: the ASCII marks behind them but for ' (of contractions), < and | (of special strings).
 _WORD = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:;=-@\[-`{}~]*)")
 #: Ids as bytes, by their number; a remembered chunk has no more ids than bytes.
 _PACK = [struct.Struct(f"<{n}I").pack for n in range(MEMO_BYTES + 1)]
+#: Parts of the normaliser and of the splits that chunks and words rely on.
+_NORMAL = ("NFC()", r'Replace(pattern=Regex("\s+"), content=" ")', "Lowercase()")
+_SPLITS = (r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+", "behavior=Removed, invert=True", "ByteLevel(add_prefix_space=False")
 _coders: dict[str, ChunkCoder] = {}
 
 
+class _Memo(dict):
+    """Ids of chunks; those not met yet are asked for."""
+
+    def __init__(self, ask):
+        self.ask = ask
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        ids = self.ask(chunk)
+        if len(chunk) <= MEMO_BYTES:
+            self[chunk] = ids
+        return ids
+
+
 class ChunkCoder:
     """Ids, as little-endian unsigned 32-bit integers, of whole texts."""
 
@@ -38,9 +55,9 @@ class ChunkCoder:
 
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
-        alone = self.library.encode(_MARK, add_special_tokens=False).ids
-        self.mark = alone[0] if len(alone) == 1 else None
-        self.memo: dict[bytes, bytes] = {}
+        normal, splits = str(self.library.normalizer), str(self.library.pre_tokenizer)
+        self.chunks = all(x in normal for x in _NORMAL) and all(x in splits for x in _SPLITS)
+        self.memo = _Memo(self._ask)
         self.marks: dict[bytes, bytes | None] = {b"": b""}
         # what the library's byte level makes of the letters below U+0100, in lower case
         spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
@@ -59,71 +76,31 @@ class ChunkCoder:
             self.marks[run] = struct.pack(f"<{len(both) - n}I", *both[n:]) if both[:n] == word else None
         return self.marks[run]
 
-    def _ask(self, chunks: list[bytes]) -> list[bytes]:
-        """Ids of chunks.  A chunk of letters below U+0100 and marks behind
+    def _ask(self, chunk: bytes) -> bytes:
+        """Ids of a chunk.  A chunk of letters below U+0100 and marks behind
         them is a word, which goes straight to the library's model, and the
-        marks.  Others: some hundred in one text, with a control character, a
-        word of one token, between neighbours; chunks with that character or
-        special strings and long ones go alone."""
-        out: list[bytes] = [b""] * len(chunks)
-        mark, other = _MARK.encode(), []
-        whole, tokenize, letters = _WORD.fullmatch, self.model.tokenize, self.letters
-        for i, c in enumerate(chunks):
-            found = whole(c) if len(c) <= MEMO_BYTES else None
-            tail = self._marks(found[2]) if found else None
-            if tail is None:
-                other.append(i)
-                continue
-            word = found[1]
-            ascii_ = word.isascii()
-            if ascii_:
-                word = word.lower()
-            coded = self.memo.get(word) if word != c else None
-            if coded is None:
-                ids = [t.id for t in tokenize(word.decode() if ascii_ else word.decode().translate(letters))]
-                coded = _PACK[len(ids)](*ids)
-            out[i] = coded + tail
-        plain = [i for i in other if b"<|" not in chunks[i] and mark not in chunks[i] and len(chunks[i]) <= 1000]
-        if self.mark is None:
-            plain = []
-        texts = []
-        for a in range(0, len(plain), 400):
-            texts.append(f" {_MARK} ".join([chunks[i].decode() for i in plain[a : a + 400]]))
-        for a, coded in zip(range(0, len(plain), 400), self.library.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            ids = np.array(coded.ids, "<u4")
-            cuts = np.flatnonzero(ids == self.mark)
-            data = ids.tobytes()
-            borders = [-4, *(cuts * 4).tolist(), len(data)]
-            for j, i in enumerate(plain[a : a + 400]):
-                out[i] = data[borders[j] + 4 : borders[j + 1]]
-        fast = set(plain)
-        for i in other:
-            c = chunks[i]
-            if i not in fast:
-                out[i] = np.array(self.library.encode(c.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-        return out
+        marks."""
+        if len(chunk) <= MEMO_BYTES and (found := _WORD.fullmatch(chunk)):
+            word, run = found.groups()
+            tail = self.marks[run] if run in self.marks else self._marks(run)
+            if tail is not None:
+                low = word.lower() if word.isascii() else word.decode().lower().encode()
+                if low != chunk:  # met before, as a chunk of its own or in another case
+                    return self.memo[low] + tail
+                plain = low.decode() if low.isascii() else low.decode().translate(self.letters)
+                own = [t.id for t in self.model.tokenize(plain)]
+                return _PACK[len(own)](*own)
+        return np.array(self.library.encode(chunk.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, texts: Iterable[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text, without special tokens."""
-        parts = [t.split() for t in texts]
-        memo = self.memo
-        if len(memo) > MEMO_CHUNKS:
-            met = set().union(*parts)
-            self.memo = memo = {c: memo[c] for c in met if c in memo}
-        new: set[bytes] = set()
-        for p in parts:
-            new |= set(p).difference(memo)
-        long: list[bytes] = []
-        if new:
-            ask = list(new)
-            for c, ids in zip(ask, self._ask(ask), strict=True):
-                memo[c] = ids
-                if len(c) > MEMO_BYTES:
-                    long.append(c)
-        out = [b"".join(map(memo.__getitem__, p)) for p in parts]
-        for c in long:
-            del memo[c]
-        return out
+        if not self.chunks:
+            coded = self.library.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+            return [np.array(x.ids, "<u4").tobytes() for x in coded]
+        if len(self.memo) > MEMO_CHUNKS:
+            self.memo = _Memo(self._ask)
+        ids = self.memo.__getitem__
+        return [b"".join(map(ids, t.split())) for t in texts]
 
 
 def coder(path: str) -> ChunkCoder:

@@ -410,3 +410,27 @@ def test_pipeline(ready):
         for r in (r for r in rows if r.doc_id == i):
             assert r.ids_crc32 == zlib.crc32(np.array(ids[r.start : r.start + r.length], "<u4").tobytes())
     assert sum(r.length for r in rows) == sum(len(want_ids(t)) for _, t in left)
+
+
+def test_archives_are_read_by_as_many_tasks(ready):
+    """The index fits one partition; reading must not."""
+    from funnelworks.llm.warc import normalise, read_records, write_monolithic
+
+    rows = [(i, f"http://a.org/{i}", "x" * (400_000 if i == 7 else 50) + str(i)) for i in range(60)]
+    pages = ready.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    folder = normalise(ready, write_monolithic(pages))
+    n = ready.read.json(f"{folder}/*.idx.json").select("archive").distinct().count()
+    found = read_records(ready, folder)
+    assert n > 1 and found.rdd.getNumPartitions() == n
+    assert {r.page_id: r.payload.decode() for r in found.collect()} == {i: t for i, _, t in rows}
+
+
+def test_other_tokenizers_get_whole_texts(ready):
+    """Chunks hold for the splits they were made for; others must not be cut."""
+    from funnelworks.llm.tokens import coder
+
+    texts = [t or "" for _, t in TEXTS]
+    library = Tokenizer.from_file(BYTES)
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert not coder(BYTES).chunks and coder(WORDS).chunks
+    assert coder(BYTES).encode([t.encode() for t in texts]) == want
