@@ -241,12 +241,12 @@ class Aligner:
         id_a, n_a, id_b, n_b, same = self._encode(new)
         n = len(new)
         end_a, end_b = np.cumsum(self.length_a[id_a]), np.cumsum(self.length_b[id_b])
-        owner_a, owner_b = np.repeat(np.arange(n), n_a), np.repeat(np.arange(n), n_b)
+        piece_a, piece_b = np.repeat(np.arange(n), n_a), np.repeat(np.arange(n), n_b)
         left, right = overlaps(end_a, end_b)
         links = id_a[left] * PAIR + id_b[right]
         # groups are labelled by their terminals, tokens of B, in order of place
         marks, number = np.unique(terminals(end_a, end_b), return_inverse=True)
-        n_groups = np.bincount(owner_b[marks - len(end_a)], minlength=n)
+        n_groups = np.bincount(piece_b[marks - len(end_a)], minlength=n)
         # A's ids of a group, then B's; a comma, or what ends the side
         side = 2 * number + (np.arange(len(number)) >= len(end_a))
         order = np.argsort(side, kind="stable")
@@ -256,7 +256,7 @@ class Aligner:
         stops = np.concatenate(([0], bounds))[np.concatenate(([0], np.cumsum(n_a + n_b)))].tolist()
         text = [said[i:j] for i, j in zip(stops[:-1], stops[1:], strict=True)]
         facts = np.column_stack((np.where(same, n_a, -1), n_b, n_groups))
-        self.pieces.add(facts, text, np.bincount(owner_a[left], minlength=n), links)
+        self.pieces.add(facts, text, np.bincount(piece_a[left], minlength=n), links)
 
     def _starts(self, data: np.ndarray, borders: np.ndarray) -> np.ndarray:
         space = white_space(data)
@@ -391,17 +391,17 @@ def _meet(hot):
         for batch in batches:
             n = len(batch)
             own, times = batch.column("pairs"), batch.column("times")
-            owner = np.repeat(np.arange(n), own.value_lengths().to_numpy(zero_copy_only=False))
+            place = np.repeat(np.arange(n), own.value_lengths().to_numpy(zero_copy_only=False))
             p, t = own.flatten().to_numpy(), times.flatten().to_numpy()
             at = np.minimum(np.searchsorted(pairs, p), max(len(pairs) - 1, 0))
             is_hot = pairs[at] == p if len(pairs) else np.zeros(len(p), bool)
-            place, t_hot, hit = owner[is_hot], t[is_hot], at[is_hot]
+            place, t_hot, hit = place[is_hot], t[is_hot], at[is_hot]
             n_best = np.bincount(place, t_hot * best[hit], n).astype(np.int64)
             total = np.zeros(n, np.int64)
             np.add.at(total, place, t_hot * counts[hit])
             cold = ~is_hot
             others = pa.StructArray.from_arrays([pa.array(p[cold]), pa.array(t[cold])], ["pair", "times"])
-            ends = np.searchsorted(owner[cold], np.arange(n + 1)).astype(np.int32)
+            ends = np.searchsorted(place[cold], np.arange(n + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(row, row + n)),

@@ -55,13 +55,13 @@ def fast_similarity_sketch(elements: np.ndarray, borders: np.ndarray, t: int) ->
     sizes = np.diff(borders)
     out = np.full(n * t, _EMPTY)
     empty = np.where(sizes > 0, t, 0)  # bins yet to fill
-    e, owner = elements, np.repeat(np.arange(n), sizes)
+    e, text_no = elements, np.repeat(np.arange(n), sizes)
     for i in range(2 * t):
         if not len(e):
             break
         h = mix64(e ^ _seed(i))
         place = ((h >> U(32)) * U(t) >> U(32)).astype(np.int64) if i < t else i - t
-        at = owner * t + place
+        at = text_no * t + place
         open_ = out[at] == _EMPTY
         at = at[open_]
         np.minimum.at(out, at, h[open_])
@@ -71,9 +71,9 @@ def fast_similarity_sketch(elements: np.ndarray, borders: np.ndarray, t: int) ->
             empty -= new.reshape(n, t).sum(1)
         else:
             empty -= np.bincount(np.unique(at) // t, minlength=n)
-        more = empty[owner] > 0
+        more = empty[text_no] > 0
         if not more.all():
-            e, owner = e[more], owner[more]
+            e, text_no = e[more], text_no[more]
     return out.reshape(n, t)
 
 

@@ -99,18 +99,18 @@ def _meet(hot):
             for lo, hi, data, borders in slices(batch.column(1)):
                 n = hi - lo
                 w = pre_tokens(data, borders)
-                h, owner = w.hashes(), w.owner
+                h, text_no = w.hashes(), w.text_no
                 at = np.minimum(np.searchsorted(hashes, h), max(len(hashes) - 1, 0))
                 is_hot = hashes[at] == h if len(hashes) else np.zeros(len(h), bool)
-                tokens = np.bincount(owner[is_hot], pieces[at[is_hot]], n).astype(np.int64)
+                tokens = np.bincount(text_no[is_hot], pieces[at[is_hot]], n).astype(np.int64)
                 cold = np.flatnonzero(~is_hot)
-                order = cold[np.lexsort((h[cold], owner[cold]))]
+                order = cold[np.lexsort((h[cold], text_no[cold]))]
                 new = np.ones(len(order), bool)
-                new[1:] = (h[order][1:] != h[order][:-1]) | (owner[order][1:] != owner[order][:-1])
+                new[1:] = (h[order][1:] != h[order][:-1]) | (text_no[order][1:] != text_no[order][:-1])
                 first = order[new]
                 times = np.diff(np.append(np.flatnonzero(new), len(order)))
                 others = pa.StructArray.from_arrays([texts_of(data, w.start[first], w.end[first]), pa.array(times)], ["piece", "times"])
-                ends = np.searchsorted(owner[first], np.arange(n + 1), "left").astype(np.int32)
+                ends = np.searchsorted(text_no[first], np.arange(n + 1), "left").astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.arange(row, row + n)),

@@ -138,9 +138,9 @@ def telling_features(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) ->
     ``found``: (buckets of a slice, documents of its words, their labels)."""
     in_toxic, in_all = np.zeros(BUCKETS), np.zeros(BUCKETS)
     docs = toxic = 0
-    for f, owner, y in found:
+    for f, text_no, y in found:
         docs, toxic = docs + len(y), toxic + int(y.sum())
-        key = np.unique((owner.astype(np.int64) * BUCKETS + f).ravel())
+        key = np.unique((text_no.astype(np.int64) * BUCKETS + f).ravel())
         doc, bucket = key // BUCKETS, key % BUCKETS
         in_all += np.bincount(bucket, minlength=BUCKETS)
         in_toxic += np.bincount(bucket[y[doc] == 1], minlength=BUCKETS)
@@ -185,9 +185,9 @@ def train(texts: pa.Array, toxic: np.ndarray) -> Model:
     parts, labels = [], toxic[~kept]
     for lo, hi, data, borders in slices(own, 1 << 18):
         w = find_words(data, borders, ALPHANUMERIC)
-        parts.append((features(w), w.owner, labels[lo:hi], segments(w)))
+        parts.append((features(w), w.text_no, labels[lo:hi], segments(w)))
     telling = telling_features([p[:3] for p in parts])
-    tags = [(telling[f].any(0) & (y[owner] == 1)).astype(float) for f, owner, y, _ in parts]
+    tags = [(telling[f].any(0) & (y[text_no] == 1)).astype(float) for f, text_no, y, _ in parts]
     weights, power = np.zeros(BUCKETS), np.full(BUCKETS, 1e-8)
     trans, trans_power = np.zeros((2, 2)), np.full((2, 2), 1e-8)
     bias, bias_power = -2.0, 1e-8
@@ -283,12 +283,12 @@ def _score(model):
                 p = m.words(w)
                 score = m.score(*_document_marginals(w, p))
                 at = np.flatnonzero(p >= 0.5)
-                owner = np.searchsorted(w.first, at, "right") - 1
-                base = borders[owner]
+                text_no = np.searchsorted(w.first, at, "right") - 1
+                base = borders[text_no]
                 spans = pa.StructArray.from_arrays(
                     [pa.array(w.start[at] - base), pa.array(w.end[at] - base), pa.array(p[at])], ["start", "end", "chance"]
                 )
-                ends = np.searchsorted(owner, np.arange(hi - lo + 1), "left").astype(np.int32)
+                ends = np.searchsorted(text_no, np.arange(hi - lo + 1), "left").astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array(score), pa.ListArray.from_arrays(pa.array(ends), spans)],
                     ["doc_id", "score", "spans"],

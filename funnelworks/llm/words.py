@@ -67,7 +67,7 @@ class Words:
     sums: np.ndarray  # prefix sums of the polynomial, with a leading 0
 
     @property
-    def owner(self) -> np.ndarray:
+    def text_no(self) -> np.ndarray:
         return np.repeat(np.arange(self.n), np.diff(self.first))
 
     def hashes(self) -> np.ndarray:
