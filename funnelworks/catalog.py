@@ -161,6 +161,39 @@ QUERIES["metric_query_metric_time"] = lambda spark, sf: run_metrics(
 QUERIES["metric_query_named_filter"] = lambda spark, sf: run_metrics(
     spark, sf, ["hot_lead_count", "avg_prospect_gmv"], ["channel"], where="inbound_active"
 )
+# bare measures without a metric of their own, also where two models share the name
+MEASURES = {
+    "demo_to_close_rate": "gtm_funnel", "demos_set": "gtm_funnel", "demos_held": "gtm_funnel", "closed_won": "gtm_funnel",
+    "closed_lost": "gtm_funnel", "avg_activity_density_score": "lead_universe",
+    "lead_universe.avg_speed_to_first_contact_hours": "lead_universe",
+}
+for _measure, _model in MEASURES.items():
+    QUERIES[f"measure_{_measure.replace('.', '_')}"] = (
+        lambda name, dims: lambda spark, sf: run_metrics(spark, sf, [name], dims)
+    )(_measure, _sem.DEFAULT_GROUP_BY[_model])
+
+FILTER_METRICS = {
+    "gtm_channel_month": ["total_gtm_spend", "cac_usd"],
+    "gtm_funnel": ["leads_created", "lead_to_demo_set_rate"],
+    "lead_universe": ["total_lead_count", "avg_prospect_gmv"],
+}
+for _model, _metrics in FILTER_METRICS.items():
+    QUERIES[f"metric_filters_{_model}"] = (
+        lambda model, metrics: lambda spark, sf: _sem.metrics_by_filter(
+            mart_tables(models(spark, sf)), model, metrics, ["channel"]
+        )
+    )(_model, _metrics)
+QUERIES["metric_query_combined_filters"] = lambda spark, sf: run_metrics(
+    spark, sf, ["cac_usd", "new_customers_won", "demo_to_close_rate"], ["month_date__month"],
+    where=["inbound_only", "jan_jun_2024", "month_date > '2024-01-01'"],
+)
+QUERIES["metric_query_filter_across_models"] = lambda spark, sf: run_metrics(
+    spark, sf, ["hot_lead_count", "cac_usd"], ["channel"], where="inbound_active"
+)
+QUERIES["metric_query_entity_dimensions"] = lambda spark, sf: run_metrics(
+    spark, sf, ["total_lead_count", "avg_prospect_gmv"],
+    ["lead__conversion_probability_tier", "lead__has_olo_tool", "lead__last_sales_activity_at__month"],
+)
 
 
 # ---- data tests -------------------------------------------------------------------

@@ -291,3 +291,86 @@ FULL OUTER JOIN
 ON a.m IS NOT DISTINCT FROM b.m
 """,
 )
+
+# ---- bare measures, filters, entities ------------------------------------------------
+for name, table, dims, expr in [
+    ("demo_to_close_rate", "mart_gtm_funnel", MONTH_DIMS, avg_exact("demo_to_close_rate", 4, 6, 18)),
+    ("demos_set", "mart_gtm_funnel", MONTH_DIMS, "CAST(sum(demos_set) AS BIGINT)"),
+    ("demos_held", "mart_gtm_funnel", MONTH_DIMS, "CAST(sum(demos_held) AS BIGINT)"),
+    ("closed_won", "mart_gtm_funnel", MONTH_DIMS, "CAST(sum(closed_won) AS BIGINT)"),
+    ("closed_lost", "mart_gtm_funnel", MONTH_DIMS, "CAST(sum(closed_lost) AS BIGINT)"),
+    ("avg_activity_density_score", "mart_leading_indicators", LEAD_DIMS, avg_exact("activity_density_score", 4, 6, 18)),
+]:
+    q(f"measure_{name}", metric_sql(table, dims, expr, name))
+q(
+    "measure_lead_universe_avg_speed_to_first_contact_hours",
+    metric_sql(
+        "mart_leading_indicators", LEAD_DIMS, avg_exact("speed_to_first_contact_hours", 2, 6, 18),
+        "lead_universe__avg_speed_to_first_contact_hours",
+    ),
+)
+
+IN_2024 = "month_date >= DATE '2024-01-01' AND month_date <= DATE '2024-06-01'"
+FILTERS = {
+    "gtm_channel_month": (
+        "mart_cac_ltv",
+        {"inbound_only": "channel = 'inbound'", "outbound_only": "channel = 'outbound'", "jan_jun_2024": IN_2024},
+        {"total_gtm_spend": ("total_cost_usd", None, "CAST(sum({}) AS DECIMAL(30,2))"), "cac_usd": ("cac_usd", 2, None)},
+    ),
+    "gtm_funnel": (
+        "mart_gtm_funnel",
+        {"outbound_2024": f"channel = 'outbound' AND {IN_2024}", "inbound_2024": f"channel = 'inbound' AND {IN_2024}"},
+        {"leads_created": ("leads_created", None, "CAST(sum({}) AS BIGINT)"), "lead_to_demo_set_rate": ("lead_to_demo_set_rate", 4, None)},
+    ),
+    "lead_universe": (
+        "mart_leading_indicators",
+        {
+            **{f"{t}_leads": f"conversion_probability_tier = '{t}'" for t in ("hot", "warm", "cold")},
+            "converted_customers": "conversion_probability_tier = 'converted'",
+            "active_unscored": "NOT is_disqualified AND conversion_probability_tier IS NOT NULL",
+            "inbound_active": "channel = 'inbound' AND NOT is_disqualified",
+            "outbound_active": "channel = 'outbound' AND NOT is_disqualified",
+        },
+        {"total_lead_count": ("lead_sk", None, "count({})"), "avg_prospect_gmv": ("predicted_monthly_gmv_usd", 2, None)},
+    ),
+}
+for model, (table, filters, columns) in FILTERS.items():
+    parts = []
+    for f, condition in filters.items():
+        for metric, (col, scale, agg) in columns.items():
+            chosen = f"(CASE WHEN {condition} THEN {col} END)"
+            value = agg.format(chosen) if agg else avg_exact(chosen, scale, 6, 18)
+            parts.append(f"{value} AS {f}__{metric}")
+    q(f"metric_filters_{model}", f"SELECT channel, {', '.join(parts)} FROM {table} GROUP BY channel")
+q(
+    "metric_query_combined_filters",
+    f"""
+SELECT coalesce(a.m, b.m) AS month_date__month, cac_usd, new_customers_won, demo_to_close_rate FROM
+ (SELECT month_date AS m, {avg_exact('cac_usd', 2, 6, 18)} AS cac_usd, CAST(sum(new_customers_won) AS BIGINT) AS new_customers_won
+  FROM mart_cac_ltv WHERE channel = 'inbound' AND {IN_2024} AND month_date > DATE '2024-01-01' GROUP BY 1) a
+FULL OUTER JOIN
+ (SELECT month_date AS m, {avg_exact('demo_to_close_rate', 4, 6, 18)} AS demo_to_close_rate
+  FROM mart_gtm_funnel WHERE channel = 'inbound' AND {IN_2024} AND month_date > DATE '2024-01-01' GROUP BY 1) b
+ON a.m = b.m
+""",
+)
+q(
+    "metric_query_filter_across_models",
+    f"""
+SELECT coalesce(a.channel, b.channel) AS channel, hot_lead_count, cac_usd FROM
+ (SELECT channel, count(*) FILTER (WHERE conversion_probability_tier = 'hot') AS hot_lead_count
+  FROM mart_leading_indicators WHERE channel = 'inbound' AND NOT is_disqualified GROUP BY 1) a
+FULL OUTER JOIN
+ (SELECT channel, {avg_exact('cac_usd', 2, 6, 18)} AS cac_usd FROM mart_cac_ltv WHERE channel = 'inbound' GROUP BY 1) b
+ON a.channel = b.channel
+""",
+)
+q(
+    "metric_query_entity_dimensions",
+    f"""
+SELECT conversion_probability_tier AS lead__conversion_probability_tier, has_olo_tool AS lead__has_olo_tool,
+  CAST(date_trunc('month', last_sales_activity_at) AS DATE) AS lead__last_sales_activity_at__month,
+  count(lead_sk) AS total_lead_count, {avg_exact('predicted_monthly_gmv_usd', 2, 6, 18)} AS avg_prospect_gmv
+FROM mart_leading_indicators GROUP BY ALL
+""",
+)
