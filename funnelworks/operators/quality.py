@@ -2,11 +2,12 @@
 
 Each generic test returns the violating rows (a passing test returns an
 empty frame), like a warehouse test query.  ``run_tests`` evaluates a list of
-declared tests and returns one summary row per test with its failure count:
-row-level checks (not_null, expression, range) on the same table are fused
-into ONE aggregate scan; uniqueness and accepted values need a group-by each,
-which aggregates partially before the shuffle (only failing rows travel for
-accepted values).
+declared tests and returns one summary row per test with its failure count.
+All tests of a table share ONE scan and one aggregate: every row gives a
+(test, key) entry for each test it says something about (the values of unique
+columns; values that aren't accepted; an empty key for a row that fails),
+counted by test and key with partial sums before the shuffle.  Foreign keys
+need one anti join each.
 """
 
 from __future__ import annotations
@@ -90,7 +91,7 @@ def not_null_proportion(df: DataFrame, col: str, at_least: float) -> DataFrame:
 @dataclass(frozen=True)
 class TestSpec:
     model: str
-    kind: str  # not_null | unique | accepted_values | expression_is_true | accepted_range | not_null_proportion
+    kind: str  # not_null | unique | accepted_values | expression_is_true | accepted_range | not_null_proportion | relationships
     column: str
     args: Mapping = field(default_factory=dict)
     where: str | None = None
@@ -126,29 +127,62 @@ def _summary_row(spec: TestSpec, failures: Column) -> list[Column]:
     ]
 
 
+def _entry(spec: TestSpec) -> Column:
+    """What a row adds to a test: a key, or null for nothing."""
+    value = F.col(spec.column).cast("string")
+    if spec.kind in ROW_LEVEL:
+        return F.when(_row_failure(spec), F.lit(""))
+    if spec.kind == "unique":
+        return value
+    if spec.kind == "not_null_proportion":
+        return F.when(value.isNull(), F.lit("null")).otherwise(F.lit("set"))
+    bad = _not_accepted(spec.column, spec.args["values"])
+    return F.when(F.expr(spec.where) & bad if spec.where else bad, value)
+
+
+def _failures(spec: TestSpec, test: Column, key: Column, n: Column) -> Column:
+    """Failures of a test from its counted keys."""
+    if spec.kind == "unique":
+        return F.count_if(test & (n > 1))
+    if spec.kind == "accepted_values":
+        return F.count_if(test)
+    total = F.coalesce(F.sum(F.when(test, n)), F.lit(0))
+    if spec.kind == "not_null_proportion":
+        from decimal import Decimal
+
+        found = F.coalesce(F.sum(F.when(test & (key == "set"), n)), F.lit(0))
+        return (found < F.lit(Decimal(str(spec.args["at_least"]))) * total).cast("int")
+    return total
+
+
+def _table_tests(df: DataFrame, specs: Sequence[TestSpec]) -> DataFrame:
+    entries = F.array(*[F.struct(F.lit(i).alias("test"), _entry(s).alias("key")) for i, s in enumerate(specs)])
+    told = df.select(F.explode(F.filter(entries, lambda e: e["key"].isNotNull())).alias("e")).select("e.test", "e.key")
+    counted = told.groupBy("test", "key").agg(F.count(F.lit(1)).alias("n"))
+    own = [_failures(s, F.col("test") == i, F.col("key"), F.col("n")).alias(f"f{i}") for i, s in enumerate(specs)]
+    summary = F.array(*[F.struct(*_summary_row(s, F.col(f"f{i}"))) for i, s in enumerate(specs)])
+    return counted.agg(*own).select(F.explode(summary).alias("t")).select("t.*")
+
+
 def run_tests(tables: Mapping[str, DataFrame], specs: Sequence[TestSpec]) -> DataFrame:
     """Summary (test_name, model, column_name, test_kind, failures) of the
-    declared tests; failures = rows the test query would return."""
+    declared tests; failures = rows the test query would return.  Each table
+    is read once, and once more on either side of a foreign key."""
     parts: list[DataFrame] = []
     by_model: dict[str, list[TestSpec]] = {}
     for spec in specs:
-        if spec.kind in ROW_LEVEL:
-            by_model.setdefault(spec.model, []).append(spec)
-    for model, group in by_model.items():
-        agg = tables[model].agg(*[F.count_if(_row_failure(s)).alias(f"f{i}") for i, s in enumerate(group)])
-        stacked = agg.select(
-            F.explode(F.array(*[F.struct(*_summary_row(s, F.col(f"f{i}"))) for i, s in enumerate(group)])).alias("t")
-        ).select("t.*")
-        parts.append(stacked)
-    for spec in specs:
-        df = tables[spec.model]
-        if spec.kind == "unique":
-            bad = unique(df, spec.column)
-        elif spec.kind == "accepted_values":
-            bad = accepted_values(df, spec.column, spec.args["values"], spec.where)
-        elif spec.kind == "not_null_proportion":
-            bad = not_null_proportion(df, spec.column, spec.args["at_least"])
+        if spec.kind == "relationships":
+            bad = relationships(tables[spec.model], spec.column, tables[spec.args["to"]], spec.args["field"])
+            parts.append(bad.agg(*_summary_row(spec, F.count(F.lit(1)))))
         else:
-            continue
-        parts.append(bad.agg(*_summary_row(spec, F.count(F.lit(1)))))
+            by_model.setdefault(spec.model, []).append(spec)
+    parts += [_table_tests(tables[model], own) for model, own in by_model.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def run_invariants(found: Mapping[str, tuple[str, DataFrame]]) -> DataFrame:
+    """The same summary for singular tests: name -> (model, violating rows)."""
+    parts = [
+        bad.agg(*_summary_row(TestSpec(model, "singular", name), F.count(F.lit(1)))) for name, (model, bad) in found.items()
+    ]
     return reduce(DataFrame.unionByName, parts)

@@ -60,9 +60,11 @@ def run_pipeline(
     run_tests: bool = True,
 ) -> dict[str, str]:
     """Build every mart (each with its refresh strategy), then run the
-    declared data tests over the stored tables and write their summary."""
+    declared data tests and the singular invariants over the stored tables
+    and write their summary."""
+    from funnelworks.operators.quality import run_invariants
     from funnelworks.operators.quality import run_tests as _run_tests
-    from funnelworks.plans.quality_suite import specs
+    from funnelworks.plans.quality_suite import invariants, specs
 
     m = materialized_models(spark, raw, os.path.join(target_dir, "_bases"))
     paths = {
@@ -92,5 +94,6 @@ def run_pipeline(
 
         tables = {name: getattr(m, name) for name in MODEL_KEYS}
         paths["dq_test_results"] = os.path.join(target_dir, "dq_test_results")
-        _run_tests(tables, specs()).write.mode("overwrite").parquet(paths["dq_test_results"])
+        results = _run_tests(tables, specs()).unionByName(run_invariants(invariants(tables)))
+        results.write.mode("overwrite").parquet(paths["dq_test_results"])
     return paths

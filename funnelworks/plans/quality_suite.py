@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from funnelworks.functions import exact_ratio
@@ -101,6 +103,7 @@ RANGES = [
     ("mart_leading_indicators", "predicted_monthly_gmv_usd", 0, 1000000, None),
     ("mart_data_quality_monitor", "overall_audit_density", 0, 1, "overall_audit_density is not null"),
 ]
+RELATIONSHIPS = [("mart_leading_indicators", "lead_id", "stg_leads", "lead_id")]
 NOT_NULL_PROPORTION = [("mart_leading_indicators", "speed_to_first_contact_hours", 0.20)]
 
 
@@ -117,6 +120,7 @@ def specs(kind: str | None = None) -> list[TestSpec]:
         for m, c, lo, hi, w in RANGES
     ]
     out += [TestSpec(m, "not_null_proportion", c, {"at_least": p}) for m, c, p in NOT_NULL_PROPORTION]
+    out += [TestSpec(m, "relationships", c, {"to": to, "field": f}) for m, c, to, f in RELATIONSHIPS]
     return [s for s in out if kind is None or s.kind == kind]
 
 
@@ -171,3 +175,44 @@ def lead_count_matches(stg_leads: DataFrame, mart_leads: DataFrame) -> DataFrame
         .filter(F.col("staging_leads") != F.col("mart_leads"))
         .select("staging_leads", "mart_leads", (F.col("mart_leads") - F.col("staging_leads")).alias("delta"))
     )
+
+
+def invariants(tables: Mapping[str, DataFrame]) -> dict[str, tuple[str, DataFrame]]:
+    """The singular tests over a set of models: name -> (model, violating rows)."""
+    cac, leads = tables["mart_cac_ltv"], tables["mart_leading_indicators"]
+    return {
+        "two_channels_per_month": ("mart_cac_ltv", two_channels_per_month(cac)),
+        "outbound_cac_not_extreme": ("mart_cac_ltv", outbound_cac_not_extreme(cac)),
+        "converted_not_cold": ("mart_leading_indicators", converted_not_cold(leads)),
+        "disqualified_tier_null": ("mart_leading_indicators", disqualified_tier_null(leads)),
+        "lead_count_matches_staging": ("mart_leading_indicators", lead_count_matches(tables["stg_leads"], leads)),
+    }
+
+
+def with_defects(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The models with defects planted by rule, so that every kind of test has
+    something to find: a test that never fails shows nothing."""
+    cac, leads = tables["mart_cac_ltv"], tables["mart_leading_indicators"]
+    month, outbound = F.month("month_date"), F.col("channel") == "outbound"
+    cac = cac.where(~(outbound & (month == 2))).withColumns(
+        {
+            "cac_usd": F.when(outbound, F.col("cac_usd") * 50).otherwise(F.col("cac_usd")).cast("decimal(14,2)"),
+            "total_cost_usd": F.when(month == 4, -F.col("total_cost_usd")).otherwise(F.col("total_cost_usd")),
+        }
+    )
+
+    def ends(digits: str) -> Column:
+        return F.col("lead_id").endswith(digits)
+
+    tier = F.col("conversion_probability_tier")
+    planted = {
+        "conversion_probability_tier": F.when(F.col("is_converted") & ends("2"), "cold").when(F.col("is_disqualified") & ends("3"), "warm").otherwise(tier),
+        "total_activity_count": F.when(ends("4"), -1).otherwise(F.col("total_activity_count")),
+        "channel": F.when(ends("5"), "partner").otherwise(F.col("channel")),
+        "lead_sk": F.when(ends("6"), "same").otherwise(F.col("lead_sk")),
+        "predicted_monthly_gmv_usd": F.when(ends("7"), F.lit(2000000)).otherwise(F.col("predicted_monthly_gmv_usd")).cast("decimal(12,2)"),
+        "speed_to_first_contact_hours": F.when(ends("8"), F.col("speed_to_first_contact_hours")),
+        "lead_id": F.when(ends("9"), F.concat(F.lit("X"), F.col("lead_id"))).otherwise(F.col("lead_id")),
+    }
+    leads = leads.where(~ends("00")).withColumns(planted)
+    return {**tables, "mart_cac_ltv": cac, "mart_leading_indicators": leads}

@@ -43,7 +43,7 @@ def test_pipeline_full_then_incremental(spark, tmp_dir):
     paths = run_pipeline(spark, raw, target, full_refresh=True)
     n_leads = spark.read.parquet(paths["mart_leading_indicators"] + "/version-00000001").count()
     results = spark.read.parquet(paths["dq_test_results"])
-    assert results.count() == 110 and results.filter("test_kind = 'unique' and failures > 0").count() == 0
+    assert results.count() == 111 + 5 and results.filter("test_kind = 'unique' and failures > 0").count() == 0
     assert n_leads == raw.leads.count()
     before = spark.read.parquet(paths["mart_cac_ltv"]).count()
     run_pipeline(spark, raw, target, full_refresh=False, as_of="2024-06-15")
