@@ -8,11 +8,11 @@ from funnelworks.plans import marts
 from funnelworks.plans.intermediate import cohort_stats
 from funnelworks.plans.models import GtmModels
 from funnelworks.streaming.incremental import (  # noqa: F401 (re-exported for the pipeline)
-    _table_exists,
     lookback_start,
     read_current,
     refresh_by_key,
     refresh_partitions,
+    table_exists,
     watermark_filter,
 )
 
@@ -21,7 +21,7 @@ DEFAULT_LOOKBACK_MONTHS = 2
 
 
 def _since(spark: SparkSession, path: str, as_of: str | None, months: int, full_refresh: bool):
-    incremental = not full_refresh and _table_exists(spark, path)
+    incremental = not full_refresh and table_exists(spark, path)
     if incremental and as_of is None:
         raise ValueError("an incremental run needs as_of (the run date)")
     return lookback_start(as_of, months) if incremental else None

@@ -74,7 +74,7 @@ def run_pipeline(
     # Both month marts share one lookback and one cohort aggregate: compute it
     # once (month × channel grain, tiny) instead of scanning the enriched
     # leads once per mart.
-    incremental = {k: not full_refresh and inc._table_exists(spark, paths[k]) for k in ("mart_cac_ltv", "mart_gtm_funnel")}
+    incremental = {k: not full_refresh and inc.table_exists(spark, paths[k]) for k in ("mart_cac_ltv", "mart_gtm_funnel")}
     stats = None
     if len(set(incremental.values())) == 1:  # both marts take the same batch
         since = inc.lookback_start(as_of, lookback_months) if incremental["mart_cac_ltv"] else None

@@ -3,14 +3,15 @@
 Two delete+insert strategies, both safe to re-run after a failure:
 
 * ``refresh_partitions`` — unique key = the partition columns (month_date,
-  channel).  The batch is written with dynamic partition overwrite: exactly
-  the key values present in the batch are replaced, all other keys are kept.
-* ``refresh_by_key`` — unique key = one column (lead_sk).  The new table is
-  old ⟕anti batch-keys ∪ batch, written to a NEW version directory (a path
-  is never overwritten while it is being read).  Only after that write
-  succeeds is the version appended to the table's ``_commits`` log (a tiny
-  Parquet table); readers take the newest committed version, so a job killed
-  half-way leaves the previous version current.
+  channel): exactly the key values present in the batch are replaced.
+* ``refresh_by_key`` — unique key = one column (lead_sk): the table is split
+  into buckets by a hash of the key, and the buckets that the batch touches
+  become old ⟕anti batch-keys ∪ batch.
+
+Both write into a NEW version folder (a path is never overwritten while it is
+being read) and then commit it: readers take the newest commit, so a job
+killed half-way, also in a full refresh, leaves the table as it was.
+``expire_versions`` deletes what no recent commit lists.
 
 Batch selection: ``lookback_filter`` (trailing N months from an explicit
 ``as_of`` date — never the wall clock) and ``high_watermark`` (rows at or
@@ -23,13 +24,17 @@ applied.  A batch whose schema differs from the stored table fails.
 from __future__ import annotations
 
 import os
+import re
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from funnelworks.operators.contracts import check_schema_unchanged
+from funnelworks.session import scratch_path
 
 
 # ---- batch selection ------------------------------------------------------------
@@ -56,42 +61,95 @@ def watermark_filter(df: DataFrame, target: DataFrame, col: str, include_nulls:
     return df.filter(cond)
 
 
-# ---- storage helpers (public DataFrame API only) --------------------------------
-def _table_exists(spark: SparkSession, path: str) -> bool:
+# ---- versioned folders ------------------------------------------------------------
+# A table is a folder of versions and of commits.  A version holds the parts
+# (partition folders) that one run wrote; a commit lists, for its version, the
+# folder of every part of the table, in one file written last.  A run that dies
+# before that leaves the table as it was; readers of an older commit keep it.
+_VERSION = re.compile(r"/(version-\d+)/(.+)/[^/]+$")
+
+
+def _commits(spark: SparkSession, base: str) -> DataFrame | None:
     try:
-        spark.read.parquet(path).schema  # noqa: B018 - resolves the file listing
-        return True
-    except AnalysisException:
-        return False
+        return spark.read.schema("version int, folder string").parquet(os.path.join(base, "_commits"))
+    except AnalysisException:  # no such path
+        return None
 
 
-def _list_versions(spark: SparkSession, base: str) -> list[int]:
-    commits = os.path.join(base, "_commits")
-    if not _table_exists(spark, commits):
-        return []
-    return sorted(r.version for r in spark.read.parquet(commits).select("version").distinct().collect())
+def _newest(spark: SparkSession, base: str) -> tuple[int, list[str]]:
+    """Newest version (0 if there is none) and the folders of its parts."""
+    commits = _commits(spark, base)
+    if commits is None:
+        return 0, []
+    newest = commits.agg(F.max("version")).first()[0]
+    if newest is None:
+        return 0, []
+    rows = commits.where((F.col("version") == newest) & F.col("folder").isNotNull()).orderBy("folder").collect()  # a row a part
+    return newest, [r.folder for r in rows]
 
 
-def _commit(spark: SparkSession, base: str, version: int) -> None:
-    spark.createDataFrame([(version,)], "version int").coalesce(1).write.mode("append").parquet(
-        os.path.join(base, "_commits")
-    )
+def table_exists(spark: SparkSession, base: str) -> bool:
+    return _newest(spark, base)[0] > 0
 
 
-def current_version_path(spark: SparkSession, base: str) -> str | None:
-    versions = _list_versions(spark, base)
-    return os.path.join(base, f"version-{versions[-1]:08d}") if versions else None
+def _read(spark: SparkSession, base: str, folders: list[str], schema: StructType | None) -> DataFrame | None:
+    by_version: dict[str, list[str]] = {}
+    for f in folders:
+        by_version.setdefault(f.split("/")[0], []).append(os.path.join(base, f))
+    frames = []
+    for version, paths in by_version.items():
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        frames.append(reader.option("basePath", os.path.join(base, version)).parquet(*paths))
+    if not frames:
+        return None if schema is None else spark.createDataFrame([], schema)
+    return reduce(DataFrame.unionByName, frames)
 
 
 def read_current(spark: SparkSession, base: str, schema: StructType | None = None) -> DataFrame | None:
-    path = current_version_path(spark, base)
-    if path is None:
+    """The newest committed state, without the bucket column of a keyed table."""
+    version, folders = _newest(spark, base)
+    if not version:
         return None
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(path)
+    found = _read(spark, base, folders, schema)
+    return found if found is None else found.drop(*[c for c in found.columns if c.startswith(_BUCKET)])
+
+
+def _write_version(spark: SparkSession, rows: DataFrame, base: str, parts: list[str], old: list[str], version: int) -> None:
+    """Write parts as a new version, then commit them and the other old parts."""
+    target = os.path.join(base, f"version-{version:08d}")
+    # what an uncommitted attempt left there is replaced; committed versions are never rewritten
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*parts).parquet(target)
+    try:
+        files = spark.read.parquet(target).select("_metadata.file_path").distinct().collect()  # some files a part
+    except AnalysisException:  # nothing was written
+        files = []
+    own = {unquote(m[2]): f"{m[1]}/{unquote(m[2])}" for f in files if (m := _VERSION.search(f.file_path))}
+    folders = [*own.values(), *[f for f in old if f.partition("/")[2] not in own]]
+    rows = [(version, None), *[(version, f) for f in folders]]
+    commit = spark.createDataFrame(rows, "version int, folder string").coalesce(1)
+    commit.write.mode("append").parquet(os.path.join(base, "_commits"))
+
+
+def expire_versions(spark: SparkSession, base: str, keep: int = 2) -> list[str]:
+    """Delete the folders that none of the newest ``keep`` commits lists, and
+    return the names of those deleted.  Commits stay; reading an expired one fails."""
+    commits = _commits(spark, base)
+    if commits is None:
+        return []
+    newest = commits.select("version").distinct().orderBy(F.desc("version")).limit(max(keep, 1))
+    live = commits.join(F.broadcast(newest), "version", "left_semi").select("folder").distinct()  # ``keep`` rows
+    gone = [r.folder for r in commits.where(F.col("folder").isNotNull()).select("folder").distinct().join(live, "folder", "left_anti").collect()]
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = {folder: jvm.org.apache.hadoop.fs.Path(os.path.join(base, folder)) for folder in gone}
+    return sorted(folder for folder, path in paths.items() if path.getFileSystem(conf).delete(path, True))
 
 
 # ---- strategies -------------------------------------------------------------------
+_BUCKET = "bucket_of_"
+#: Buckets of a keyed table; a refresh rewrites those that the batch touches.
+BUCKETS = 64
+
+
 def refresh_partitions(
     spark: SparkSession,
     batch: DataFrame,
@@ -100,16 +158,18 @@ def refresh_partitions(
     full_refresh: bool = False,
 ) -> DataFrame:
     """delete+insert on the partition key columns; returns the stored table
-    re-read in the batch's column order and types."""
+    in the batch's column order and types.  Partitions that the batch doesn't
+    hold keep their files; a full refresh replaces all of them by one commit."""
     schema = batch.schema
-    exists = _table_exists(spark, path)
-    if exists and not full_refresh:
-        stored = spark.read.parquet(path)
-        stored = stored.select(*[c for c in batch.columns if c in stored.columns])
-        check_schema_unchanged(batch.schema, stored.schema)
-    mode = "static" if (full_refresh or not exists) else "dynamic"
-    batch.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*keys).parquet(path)
-    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+    version, old = _newest(spark, path)
+    if full_refresh or not version:
+        old = []
+    elif old:
+        stored = {f.name: f for f in _read(spark, path, old[:1], None).schema}
+        stored |= {k: schema[k] for k in keys if k in stored}  # folder names tell no types
+        check_schema_unchanged(schema, StructType([stored[c] for c in batch.columns if c in stored]))
+    _write_version(spark, batch, path, keys, old, version + 1)
+    return read_current(spark, path, schema).select(*schema.fieldNames())
 
 
 def refresh_by_key(
@@ -118,21 +178,26 @@ def refresh_by_key(
     base: str,
     key: str,
     full_refresh: bool = False,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
-    """delete+insert on one key column into a new version directory."""
-    versions = _list_versions(spark, base)
-    old = None if (full_refresh or not versions) else read_current(spark, base)
-    if old is not None:
-        check_schema_unchanged(batch.schema, old.schema)
-        keys = batch.select(F.col(key).alias("__k"))
-        kept = old.join(keys, old[key] == keys["__k"], "left_anti")
-        new = kept.unionByName(batch)
-    else:
-        new = batch
-    version = (versions[-1] + 1) if versions else 1
-    target = os.path.join(base, f"version-{version:08d}")
-    # A leftover folder of an uncommitted attempt is replaced; committed
-    # versions are never rewritten.
-    new.write.mode("overwrite").parquet(target)
-    _commit(spark, base, version)
-    return spark.read.schema(batch.schema).parquet(target)
+    """delete+insert on one key column.  The table is split by a hash of the
+    key; only buckets with a key of the batch are read and written again.  The
+    batch is stored first, so its source is read once."""
+    schema, name = batch.schema, f"{_BUCKET}{buckets}"
+    version, old = _newest(spark, base)
+    if full_refresh:
+        old = []
+    if old and not old[0].split("/")[1].startswith(f"{name}="):
+        raise ValueError(f"{base} is stored as {old[0].split('/')[1]}, not in {buckets} buckets")
+    path = scratch_path(spark, "refresh-batch")
+    batch.withColumn(name, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).write.parquet(path)
+    new = spark.read.schema(StructType([*schema.fields, StructField(name, IntegerType())])).parquet(path)
+    if old:
+        check_schema_unchanged(schema, _read(spark, base, old[:1], None).drop(name).schema)
+        touched = {f"{name}={r[0]}" for r in new.select(name).distinct().collect()}  # ``buckets`` rows at most
+        stored = _read(spark, base, [f for f in old if f.split("/")[1] in touched], new.schema)
+        keys = new.select(F.col(key).alias("__k")).distinct()
+        new = stored.join(keys, stored[key] == keys["__k"], "left_anti").unionByName(new)
+    # a bucket's rows lie together, so that it has few files; a batch's hot key is one row of the table
+    _write_version(spark, new.repartition(name, F.pmod(F.xxhash64(key, F.lit(1)), F.lit(4))), base, [name], old, version + 1)
+    return read_current(spark, base, schema)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from funnelworks.operators.contracts import ContractError
 from funnelworks.streaming.incremental import (
+    expire_versions,
     lookback_filter,
     read_current,
     refresh_by_key,
@@ -88,3 +89,66 @@ def test_first_run_applies_no_filter(spark, tmp_dir):
     first = build_mart_gtm_funnel(spark, m, f"{tmp_dir}/funnel", as_of="2024-06-15")
     assert first.count() == m.mart_gtm_funnel.count()
     assert first.filter(F.col("month_date") < D(2024, 4, 1)).count() > 0  # older months present
+
+
+def files(df):
+    return {r[0] for r in df.select("_metadata.file_path").distinct().collect()}
+
+
+def stored_files(spark, base):
+    """Files of the newest commit, by part."""
+    from funnelworks.streaming.incremental import _newest
+
+    return {f.partition("/")[2]: files(spark.read.parquet(f"{base}/{f}")) for f in _newest(spark, base)[1]}
+
+
+def test_only_touched_buckets_are_written_again(spark, tmp_dir):
+    base = f"{tmp_dir}/leads"
+    full = spark.range(400).select(F.format_string("k%03d", "id").alias("lead_sk"), F.lit("old").alias("status"))
+    refresh_by_key(spark, full, base, "lead_sk", full_refresh=True, buckets=16)
+    before = stored_files(spark, base)
+    batch = spark.createDataFrame([("k007", "new"), ("k007x", "new")], "lead_sk string, status string")
+    # the source is read once: what it gives a second time must not matter
+    out = refresh_by_key(spark, batch.withColumn("status", F.concat("status", F.lit("1"))), base, "lead_sk", buckets=16)
+    after = stored_files(spark, base)
+    changed = {part for part in after if after[part] != before.get(part)}
+    assert set(before) == set(after) and len(before) == 16 and 1 <= len(changed) <= 2
+    got = {r.lead_sk: r.status for r in out.collect()}
+    assert len(got) == 401 and {k for k, v in got.items() if v == "new1"} == {"k007", "k007x"}
+    with pytest.raises(ValueError, match="not in 8 buckets"):
+        refresh_by_key(spark, batch, base, "lead_sk", buckets=8)
+    gone = expire_versions(spark, base, keep=1)
+    assert {g.partition("/")[2] for g in gone} == changed and read_current(spark, base).count() == 401
+    assert expire_versions(spark, base, keep=1) == []  # what is gone is listed by old commits only
+
+
+def test_a_killed_full_refresh_leaves_the_old_mart(spark, tmp_dir, monkeypatch):
+    base = f"{tmp_dir}/mart"
+    schema = "month_date date, channel string, v int"
+    refresh_partitions(spark, spark.createDataFrame([(D(2024, 1, 1), "a", 1), (D(2024, 2, 1), "b", 2)], schema), base, ["month_date", "channel"])
+    new = spark.createDataFrame([(D(2024, 3, 1), "c", 3)], schema)
+    real = type(spark).createDataFrame
+
+    def dies(self, rows, schema=None, *args, **kwargs):
+        if schema == "version int, folder string":
+            raise KeyboardInterrupt  # after the data is written, before the commit
+        return real(self, rows, schema, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "createDataFrame", dies)
+    with pytest.raises(KeyboardInterrupt):
+        refresh_partitions(spark, new, base, ["month_date", "channel"], full_refresh=True)
+    monkeypatch.undo()
+    assert sorted(r.v for r in read_current(spark, base).collect()) == [1, 2]
+    out = refresh_partitions(spark, new, base, ["month_date", "channel"], full_refresh=True)
+    assert [tuple(r) for r in out.collect()] == [(D(2024, 3, 1), "c", 3)]
+
+
+def test_refresh_with_nothing(spark, tmp_dir):
+    schema = "month_date date, channel string, v int"
+    none, one = spark.createDataFrame([], schema), spark.createDataFrame([(None, "a b/c:d%", 1)], schema)
+    assert refresh_partitions(spark, none, f"{tmp_dir}/p", ["month_date", "channel"]).count() == 0
+    assert [tuple(r) for r in refresh_partitions(spark, one, f"{tmp_dir}/p", ["month_date", "channel"]).collect()] == [(None, "a b/c:d%", 1)]
+    assert refresh_partitions(spark, none, f"{tmp_dir}/p", ["month_date", "channel"]).count() == 1
+    assert refresh_by_key(spark, none, f"{tmp_dir}/k", "channel").count() == 0
+    assert refresh_by_key(spark, one, f"{tmp_dir}/k", "channel").count() == 1
+    assert refresh_by_key(spark, none, f"{tmp_dir}/k", "channel").count() == 1
