@@ -391,17 +391,17 @@ def _meet(hot):
         for batch in batches:
             n = len(batch)
             own, times = batch.column("pairs"), batch.column("times")
-            place = np.repeat(np.arange(n), own.value_lengths().to_numpy(zero_copy_only=False))
+            holder = np.repeat(np.arange(n), own.value_lengths().to_numpy(zero_copy_only=False))
             p, t = own.flatten().to_numpy(), times.flatten().to_numpy()
             at = np.minimum(np.searchsorted(pairs, p), max(len(pairs) - 1, 0))
             is_hot = pairs[at] == p if len(pairs) else np.zeros(len(p), bool)
-            place, t_hot, hit = place[is_hot], t[is_hot], at[is_hot]
+            place, t_hot, hit = holder[is_hot], t[is_hot], at[is_hot]
             n_best = np.bincount(place, t_hot * best[hit], n).astype(np.int64)
             total = np.zeros(n, np.int64)
             np.add.at(total, place, t_hot * counts[hit])
             cold = ~is_hot
             others = pa.StructArray.from_arrays([pa.array(p[cold]), pa.array(t[cold])], ["pair", "times"])
-            ends = np.searchsorted(place[cold], np.arange(n + 1)).astype(np.int32)
+            ends = np.searchsorted(holder[cold], np.arange(n + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(row, row + n)),
