@@ -39,22 +39,22 @@ q(
     "SELECT s.n AS staging_leads, m.n AS mart_leads, m.n - s.n AS delta FROM (SELECT count(*) AS n FROM stg_leads) s "
     "CROSS JOIN (SELECT count(*) AS n FROM mart_leading_indicators) m",
 )
-q("agg_monthly_volume", "SELECT * FROM leads_volume")
+q("agg_monthly_volume", "SELECT month_date, in_scope AS monthly_record_count FROM leads_in_month")
 q(
     "agg_revenue_month",
     "SELECT month_date, CAST(sum(new_customers_won) AS BIGINT) AS new_customers_won, "
     "CAST(sum(new_customers_won * avg_estimated_ltv_usd) AS DECIMAL(20,2)) AS estimated_monthly_ltv_usd, "
     "CAST(sum(total_cost_usd) AS DECIMAL(20,2)) AS total_cost_usd FROM mart_cac_ltv GROUP BY month_date",
 )
-q("agg_weighted_avg", "SELECT month_date, blended_cac_usd FROM dq_revenue")
+q("agg_weighted_avg", "SELECT month_date, blended_cac_usd FROM money_of_month")
 q(
     "agg_filtered_sum",
-    "SELECT t.month_date, CAST(total_findings AS BIGINT) AS total_findings, "
+    "SELECT month_date, CAST(total_findings AS BIGINT) AS total_findings, "
     "CAST(total_affected_records AS BIGINT) AS total_affected_records, "
     "CAST(total_records_in_scope AS BIGINT) AS total_records_in_scope, "
     "CAST(leads_findings AS BIGINT) AS leads_findings, CAST(opps_findings AS BIGINT) AS opps_findings, "
     "CAST(leads_affected AS BIGINT) AS leads_affected, CAST(opps_affected AS BIGINT) AS opps_affected "
-    "FROM dq_audit_totals t JOIN dq_audit_by_source s ON t.month_date = s.month_date",
+    "FROM findings_of_month",
 )
 q(
     "agg_engagement_month",

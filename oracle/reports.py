@@ -18,144 +18,149 @@ def q(key: str, final: str) -> None:
 
 
 # ---- analyses ---------------------------------------------------------------
+# Waiting times are cut by tables of bands: (name, above, up to) in hours.
+# Names and bounds of the bands, July 2024, January to June 2024.
+SPEED_BANDS = """(VALUES ('1_le_24h', 0, 24), ('2_24_to_72h', 24, 72), ('3_72_to_168h', 72, 168),
+  ('4_gt_168h', 168, NULL)) AS band(name, above, up_to)"""
+RECENCY_BANDS = """(VALUES ('1_contacted_le_1_week', 0, 168), ('2_contacted_1w_to_1mo', 168, 720),
+  ('3_contacted_1mo_to_1yr', 720, 8760), ('4_stale_gt_1yr', 8760, NULL)) AS band(name, above, up_to)"""
+JULY = ("TIMESTAMP '2024-07-01'", "TIMESTAMP '2024-08-01'")
+HALF_YEAR = "[DATE '2024-01-01' + to_months(i) FOR i IN range(6)]"
+
+
+def in_band(bands: str) -> str:
+    """Inbound leads that waited, each with its band."""
+    return f"""(SELECT band.name, e.speed_to_first_contact_hours AS hours, e.is_converted, e.is_won
+  FROM int_leads_enriched e JOIN {bands}
+    ON e.speed_to_first_contact_hours > band.above
+   AND e.speed_to_first_contact_hours <= coalesce(band.up_to, e.speed_to_first_contact_hours)
+  WHERE e.channel = 'inbound')"""
+
+
 q(
     "analysis_speed_buckets",
     f"""
-SELECT CASE WHEN speed_to_first_contact_hours <= 24 THEN '1_le_24h'
-            WHEN speed_to_first_contact_hours <= 72 THEN '2_24_to_72h'
-            WHEN speed_to_first_contact_hours <= 168 THEN '3_72_to_168h'
-            WHEN speed_to_first_contact_hours > 168 THEN '4_gt_168h' END AS speed_bucket,
-  count(*) AS leads,
-  count(CASE WHEN is_converted = true THEN 1 END) AS converted,
-  count(CASE WHEN is_won = true THEN 1 END) AS won,
-  {rdiv('count(CASE WHEN is_converted = true THEN 1 END)', 'count(*)', 3, 7)} AS conversion_rate,
-  {rdiv('count(CASE WHEN is_won = true THEN 1 END)', 'count(*)', 3, 7)} AS won_rate,
-  {avg_exact('speed_to_first_contact_hours', 2, 1, 12)} AS avg_speed_hours
-FROM int_leads_enriched
-WHERE channel = 'inbound' AND speed_to_first_contact_hours IS NOT NULL AND speed_to_first_contact_hours > 0
-GROUP BY 1
+SELECT name AS speed_bucket, leads, converted, won, {rdiv('converted', 'leads', 3, 7)} AS conversion_rate,
+  {rdiv('won', 'leads', 3, 7)} AS won_rate, {rdiv('waited', '100 * leads', 1, 12)} AS avg_speed_hours
+FROM (SELECT name, count(*) AS leads, count(*) FILTER (is_converted) AS converted,
+             count(*) FILTER (is_won) AS won, sum({scaled('hours', 2)}) AS waited
+      FROM {in_band(SPEED_BANDS)} GROUP BY name)
 """,
 )
 
 q(
     "analysis_recency_buckets",
     f"""
-SELECT CASE WHEN speed_to_first_contact_hours <= 168 THEN '1_contacted_le_1_week'
-            WHEN speed_to_first_contact_hours <= 720 THEN '2_contacted_1w_to_1mo'
-            WHEN speed_to_first_contact_hours <= 8760 THEN '3_contacted_1mo_to_1yr'
-            WHEN speed_to_first_contact_hours > 8760 THEN '4_stale_gt_1yr' END AS recency_bucket,
-  count(*) AS leads,
-  count(CASE WHEN is_converted = true THEN 1 END) AS converted,
-  {rdiv('count(CASE WHEN is_converted = true THEN 1 END)', 'count(*)', 3, 7)} AS conversion_rate,
-  CAST(round(min(speed_to_first_contact_hours), 0) AS DECIMAL(12,0)) AS min_hours,
-  CAST(round(max(speed_to_first_contact_hours), 0) AS DECIMAL(12,0)) AS max_hours
-FROM int_leads_enriched
-WHERE channel = 'inbound' AND speed_to_first_contact_hours > 0
-GROUP BY 1
+SELECT name AS recency_bucket, leads, converted, {rdiv('converted', 'leads', 3, 7)} AS conversion_rate,
+  CAST(shortest AS DECIMAL(12,0)) AS min_hours, CAST(longest AS DECIMAL(12,0)) AS max_hours
+FROM (SELECT name, count(*) AS leads, count(*) FILTER (is_converted) AS converted, min(hours) AS shortest,
+             max(hours) AS longest FROM {in_band(RECENCY_BANDS)} GROUP BY name)
 """,
 )
 
 q(
     "analysis_month_completeness",
     f"""
-SELECT channel, count(*) AS leads_created,
-  count(CASE WHEN is_won = true THEN 1 END) AS closed_won,
-  {rdiv('count(CASE WHEN is_won = true THEN 1 END)', 'count(*)', 4, 8)} AS conversion_rate,
-  min(CASE WHEN channel = 'inbound' THEN form_submission_date ELSE CAST(first_sales_call_at AS DATE) END)
-    AS earliest_entry,
-  max(CASE WHEN channel = 'inbound' THEN form_submission_date ELSE CAST(first_sales_call_at AS DATE) END)
-    AS latest_entry,
-  max(CAST(last_sales_activity_at AS DATE)) AS latest_activity
-FROM int_leads_enriched
-WHERE (channel = 'inbound' AND date_trunc('month', CAST(form_submission_date AS TIMESTAMP)) = DATE '2024-07-01')
-   OR (channel = 'outbound' AND date_trunc('month', first_sales_call_at) = DATE '2024-07-01')
-GROUP BY 1
+SELECT channel, leads_created, closed_won, {rdiv('closed_won', 'leads_created', 4, 8)} AS conversion_rate,
+  CAST(first_in AS DATE) AS earliest_entry, CAST(last_in AS DATE) AS latest_entry,
+  CAST(last_active AS DATE) AS latest_activity
+FROM (SELECT channel, count(*) AS leads_created, count(*) FILTER (is_won) AS closed_won, min(entered) AS first_in,
+             max(entered) AS last_in, max(last_sales_activity_at) AS last_active
+      FROM (SELECT *, coalesce(CAST(form_submission_date AS TIMESTAMP), first_sales_call_at) AS entered
+            FROM int_leads_enriched)
+      WHERE entered >= {JULY[0]} AND entered < {JULY[1]} GROUP BY channel)
 """,
 )
 
+# The enriched row already carries its opportunity.
 q(
     "analysis_won_detail",
-    """
-SELECT l.lead_id, CAST(l.first_sales_call_at AS DATE) AS entry_date, o.close_date, o.stage_name,
-  o.demo_set_date, o.demo_held, l.total_activity_count, l.days_in_funnel
-FROM int_leads_enriched l JOIN stg_opportunities o ON l.converted_opportunity_id = o.opportunity_id
-WHERE date_trunc('month', l.first_sales_call_at) = DATE '2024-07-01' AND l.channel = 'outbound'
-  AND o.is_won = true
+    f"""
+SELECT lead_id, CAST(first_sales_call_at AS DATE) AS entry_date, close_date, stage_name, demo_set_date, demo_held,
+  total_activity_count, days_in_funnel
+FROM int_leads_enriched
+WHERE is_won AND form_submission_date IS NULL AND first_sales_call_at >= {JULY[0]} AND first_sales_call_at < {JULY[1]}
 """,
 )
 
 q(
     "analysis_funnel_stage_rates",
-    """
-SELECT month_date, channel, leads_created, demos_set, demos_held, closed_won, lead_to_demo_set_rate,
+    f"""
+SELECT month_date, f.channel, leads_created, demos_set, demos_held, closed_won, lead_to_demo_set_rate,
   demo_set_to_held_rate, demo_to_close_rate, overall_conversion_rate
-FROM mart_gtm_funnel
-WHERE channel = 'outbound' AND month_date BETWEEN DATE '2024-01-01' AND DATE '2024-06-01'
+FROM (SELECT CAST(unnest({HALF_YEAR}) AS DATE) AS month_date, 'outbound' AS channel) wanted
+JOIN mart_gtm_funnel f USING (month_date, channel)
 """,
 )
 
+# Growth is against the salaries of the earliest month that has both tables.
 q(
     "analysis_headcount_trend",
     f"""
-SELECT e.month_date, e.salary_and_commissions_usd AS headcount_cost_usd, e.total_cost_usd,
-  c.new_customers_won, c.cac_usd, c.cac_ltv_ratio,
-  {rdiv("100 * (CAST(e.salary_and_commissions_usd * 100 AS HUGEINT) - CAST(first_value(e.salary_and_commissions_usd) OVER (ORDER BY e.month_date) * 100 AS HUGEINT))",
-        "CAST(first_value(e.salary_and_commissions_usd) OVER (ORDER BY e.month_date) * 100 AS HUGEINT)", 1, 8)}
-    AS headcount_cost_growth_pct
-FROM (SELECT * FROM int_expenses_channel_month WHERE channel = 'outbound') e
-JOIN (SELECT * FROM mart_cac_ltv WHERE channel = 'outbound') c ON e.month_date = c.month_date
+SELECT t.month_date, headcount_cost_usd, total_cost_usd, new_customers_won, cac_usd, cac_ltv_ratio,
+  {rdiv('100 * (now_cents - start_cents)', 'start_cents', 1, 8)} AS headcount_cost_growth_pct
+FROM (SELECT month_date, e.salary_and_commissions_usd AS headcount_cost_usd, e.total_cost_usd,
+             c.new_customers_won, c.cac_usd, c.cac_ltv_ratio, {scaled('e.salary_and_commissions_usd', 2)} AS now_cents
+      FROM mart_cac_ltv c JOIN int_expenses_channel_month e USING (month_date, channel)
+      WHERE channel = 'outbound') t,
+     (SELECT arg_min({scaled('e.salary_and_commissions_usd', 2)}, month_date) AS start_cents
+      FROM mart_cac_ltv c JOIN int_expenses_channel_month e USING (month_date, channel)
+      WHERE channel = 'outbound') s
 """,
 )
 
 # ---- verified queries -------------------------------------------------------------
-q(
-    "vq_outbound_cac",
-    """
-SELECT month_date, cac_usd, new_customers_won, cac_ltv_ratio FROM mart_cac_ltv
-WHERE channel = 'outbound' AND month_date BETWEEN DATE '2024-01-01' AND DATE '2024-06-01'
-""",
-)
-q(
+# Month reports start from the wanted months and look the marts up.
+def half_year(key: str, mart: str, columns: str, channel: str | None = None) -> None:
+    only = f" AND channel = '{channel}'" if channel else ""
+    q(
+        key,
+        f"SELECT {columns} FROM (SELECT CAST(unnest({HALF_YEAR}) AS DATE) AS month_date) wanted "
+        f"JOIN {mart} USING (month_date) WHERE true{only}",
+    )
+
+
+half_year("vq_outbound_cac", "mart_cac_ltv", "month_date, cac_usd, new_customers_won, cac_ltv_ratio", "outbound")
+half_year(
     "vq_funnel_rates",
-    """
-SELECT channel, month_date, leads_created, lead_to_demo_set_rate, demo_to_close_rate, overall_conversion_rate
-FROM mart_gtm_funnel WHERE month_date BETWEEN DATE '2024-01-01' AND DATE '2024-06-01'
-""",
+    "mart_gtm_funnel",
+    "channel, month_date, leads_created, lead_to_demo_set_rate, demo_to_close_rate, overall_conversion_rate",
+)
+half_year(
+    "vq_speed_impact",
+    "mart_gtm_funnel",
+    "month_date, channel, avg_speed_to_first_contact_hours, overall_conversion_rate, lead_to_demo_set_rate",
+    "inbound",
 )
+
+# Sums of channel and tier in one table; both lead reports divide them.
+TIER_SUMS = f"""(SELECT channel, conversion_probability_tier, is_disqualified IS TRUE AS out_of_scope,
+    count(*) AS leads, sum({scaled('predicted_monthly_gmv_usd', 2)}) AS gmv, count(predicted_monthly_gmv_usd) AS gmv_n,
+    sum({scaled('estimated_annual_ltv_usd', 2)}) AS ltv, count(estimated_annual_ltv_usd) AS ltv_n
+  FROM mart_leading_indicators GROUP BY ALL)"""
 q(
     "vq_lead_tier_counts",
     f"""
-SELECT channel, conversion_probability_tier, count(*) AS lead_count,
-  {avg_exact('predicted_monthly_gmv_usd', 2, 0, 14)} AS avg_gmv_usd
-FROM mart_leading_indicators WHERE is_disqualified = false OR is_disqualified IS NULL
-GROUP BY channel, conversion_probability_tier
-""",
-)
-q(
-    "vq_cac_ltv_trend",
-    """
-SELECT channel, month_date, cac_usd, avg_estimated_ltv_usd, cac_ltv_ratio,
-  lag(cac_ltv_ratio) OVER (PARTITION BY channel ORDER BY month_date) AS prev_month_ratio,
-  CAST(cac_ltv_ratio - lag(cac_ltv_ratio) OVER (PARTITION BY channel ORDER BY month_date) AS DECIMAL(15,4))
-    AS mom_change
-FROM mart_cac_ltv
+SELECT channel, conversion_probability_tier, leads AS lead_count, {rdiv('gmv', '100 * gmv_n', 0, 14)} AS avg_gmv_usd
+FROM {TIER_SUMS} WHERE NOT out_of_scope
 """,
 )
 q(
     "vq_hot_pipeline",
     f"""
-SELECT channel, count(*) AS hot_lead_count,
-  {avg_exact('predicted_monthly_gmv_usd', 2, 0, 14)} AS avg_gmv_usd,
-  {avg_exact('estimated_annual_ltv_usd', 2, 0, 14)} AS avg_ltv_usd,
-  CAST(round(sum(estimated_annual_ltv_usd), 0) AS DECIMAL(20,0)) AS total_pipeline_ltv_usd
-FROM mart_leading_indicators WHERE conversion_probability_tier = 'hot' GROUP BY channel
+SELECT channel, CAST(leads AS BIGINT) AS hot_lead_count, {rdiv('gmv', '100 * gmv_n', 0, 14)} AS avg_gmv_usd,
+  {rdiv('ltv', '100 * ltv_n', 0, 14)} AS avg_ltv_usd, {rdiv('ltv', '100', 0, 20)} AS total_pipeline_ltv_usd
+FROM (SELECT channel, sum(leads) AS leads, sum(gmv) AS gmv, sum(gmv_n) AS gmv_n, sum(ltv) AS ltv, sum(ltv_n) AS ltv_n
+      FROM {TIER_SUMS} WHERE conversion_probability_tier = 'hot' GROUP BY channel)
 """,
 )
+# The ratio before is that of the channel's latest earlier month.
 q(
-    "vq_speed_impact",
+    "vq_cac_ltv_trend",
     """
-SELECT month_date, channel, avg_speed_to_first_contact_hours, overall_conversion_rate, lead_to_demo_set_rate
-FROM mart_gtm_funnel WHERE channel = 'inbound' AND month_date BETWEEN DATE '2024-01-01' AND DATE '2024-06-01'
+SELECT n.channel, n.month_date, n.cac_usd, n.avg_estimated_ltv_usd, n.cac_ltv_ratio,
+  b.cac_ltv_ratio AS prev_month_ratio, CAST(n.cac_ltv_ratio - b.cac_ltv_ratio AS DECIMAL(15,4)) AS mom_change
+FROM mart_cac_ltv n ASOF LEFT JOIN mart_cac_ltv b ON n.channel = b.channel AND n.month_date > b.month_date
 """,
 )
 
