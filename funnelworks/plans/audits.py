@@ -6,14 +6,13 @@ record, the broken rule and the raw values needed to triage it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from funnelworks.functions import clean_timestamp, fix_millennium_date, hours_between, is_blank, month_trunc, surrogate_key
-from funnelworks.operators.audit import AuditRule, audit
+from funnelworks.operators.audit import AuditRule, audit, findings_array
 from funnelworks.operators.contracts import enforce_contract
 from funnelworks.plans import contracts_catalog as C
-from funnelworks.operators.reshape import dedup_exact
 
 # Audit categories and their detail texts.
 MILLENNIUM_DATE_DEFECT = "millennium_date_defect"
@@ -147,35 +146,69 @@ def opp_rules() -> list[AuditRule]:
     ]
 
 
-def _duplicate_ids(raw_opps: DataFrame) -> DataFrame:
-    """opportunity_id with more than one raw row (partial aggregation first,
-    so a hot id is pre-counted map-side)."""
-    return raw_opps.groupBy("opportunity_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+def counted_rows(df: DataFrame) -> DataFrame:
+    """Distinct rows with the number of their copies, from one hash aggregate
+    over all columns (copies collapse before the shuffle)."""
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
 
 
 def audit_opportunities(raw_opps: DataFrame) -> DataFrame:
-    dups = _duplicate_ids(raw_opps).select(
-        surrogate_key("opportunity_id", F.lit(DUPLICATE_ROW)).alias("audit_sk"),
-        F.lit("opportunities").alias("source_table"),
-        F.col("opportunity_id").alias("record_key"),
+    """Findings of the opportunities, from one scan: each distinct row emits
+    its findings and one marker with its number of copies; the markers of an id
+    add up to the number of its raw rows, and those of one row go.  Both
+    aggregates combine before their shuffle, so a hot id is one small group."""
+    # Findings that are equal in all columns (of unequal rows under one id) are counted and repeated.
+    marker = F.struct(
         F.lit(DUPLICATE_ROW).alias("audit_category"),
         F.lit(OPP_DETAILS[DUPLICATE_ROW]).alias("audit_detail"),
-        F.concat(F.col("n").cast("string"), F.lit(" total rows for this opportunity_id")).alias("diagnostic_info"),
+        F.lit(None).cast("string").alias("diagnostic_info"),
+    )
+    found = (
+        counted_rows(raw_opps)
+        .select(
+            F.col("opportunity_id").alias("record_key"),
+            "copies",
+            F.explode(F.concat(findings_array(opp_rules()), F.array(marker))).alias("f"),
+        )
+        .groupBy("record_key", "f.audit_category", "f.audit_detail", "f.diagnostic_info")
+        .agg(F.sum("copies").alias("raw_rows"), F.count(F.lit(1)).alias("n"))
     )
-    rest = audit(dedup_exact(raw_opps), "opportunity_id", opp_rules(), "opportunities")
-    return enforce_contract(dups.unionByName(rest), C.AUDIT)
+    is_marker = F.col("audit_category") == DUPLICATE_ROW
+    kept = found.filter(~is_marker | (F.col("raw_rows") > 1)).select(
+        surrogate_key("record_key", "audit_category").alias("audit_sk"),
+        F.lit("opportunities").alias("source_table"),
+        "record_key",
+        "audit_category",
+        "audit_detail",
+        F.when(is_marker, F.concat(F.col("raw_rows").cast("string"), F.lit(" total rows for this opportunity_id")))
+        .otherwise(F.col("diagnostic_info"))
+        .alias("diagnostic_info"),
+        F.explode(F.sequence(F.lit(1).cast("bigint"), F.when(is_marker, F.lit(1).cast("bigint")).otherwise(F.col("n")))).alias("_copy"),
+    )
+    return enforce_contract(kept.drop("_copy"), C.AUDIT)
 
 
 def opp_rows_dated(raw_opps: DataFrame) -> DataFrame:
-    """Deduplicated opportunities, each with its findings (duplicate_row when
-    its id has more than one raw row) and a volume marker, dated by creation
-    month.  The duplicate-id set is a partially aggregated group-by of the raw
-    rows; AQE broadcasts it when small (the normal case), else sort-merges."""
-    deduped = dedup_exact(raw_opps)
-    dup_ids = _duplicate_ids(raw_opps).select(F.col("opportunity_id").alias("__dup_id"))
-    flagged = deduped.join(dup_ids, deduped["opportunity_id"] == dup_ids["__dup_id"], "left")
-    cats = F.concat(
-        F.array(F.when(F.col("__dup_id").isNotNull(), F.lit(DUPLICATE_ROW))), _category_names(opp_rules())
-    )
+    """One row per (creation month, opportunity): its distinct rows
+    (``in_scope``) and, for each category, how many of them have the finding
+    (duplicate_row: all, if the id has more than one raw row in any month).
+    One scan; the window over an id holds at most a row a month, however many
+    rows the id has."""
     month = month_trunc(F.col("created_date").cast("timestamp_ntz"))
-    return dated_rows(flagged, month, F.col("opportunity_id"), F.array_compact(cats))
+    per_month = (
+        counted_rows(raw_opps)
+        .groupBy(month.alias("month_date"), F.col("opportunity_id").alias("record_key"))
+        .agg(
+            F.count(F.lit(1)).alias("in_scope"),
+            F.sum("copies").alias("raw_rows"),
+            *[F.count_if(r.predicate).alias(r.category) for r in opp_rules()],
+        )
+    )
+    repeated = F.sum("raw_rows").over(Window.partitionBy("record_key")) > 1
+    return (
+        per_month.withColumn(
+            DUPLICATE_ROW, F.when(repeated & F.col("record_key").isNotNull(), F.col("in_scope")).otherwise(F.lit(0))
+        )
+        .filter(F.col("month_date").isNotNull())
+        .select("month_date", "record_key", "in_scope", *OPP_DETAILS)
+    )

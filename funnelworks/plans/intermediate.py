@@ -7,13 +7,14 @@ Scale notes
   partition; AQE chooses broadcast vs sort-merge from runtime sizes and splits
   hot keys.
 * Everything month-grain is produced by partially aggregated group-bys, so a
-  shuffle carries at most (#map tasks × #months × 2) rows.  Month-grain frames
-  are the only ones given a broadcast hint: their size is bounded by the
-  calendar, not by the data volume.
+  shuffle carries at most (#map tasks × #months × 2) rows.  How month-grain
+  frames are joined is left to the runtime sizes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +33,7 @@ from funnelworks.functions import (
 from funnelworks.operators.contracts import enforce_contract
 from funnelworks.operators.joins import left_join_spread_nulls
 from funnelworks.plans import contracts_catalog as C
+from funnelworks.plans.audits import OPP_DETAILS
 
 INBOUND = "inbound"
 
@@ -208,6 +210,35 @@ def _monthly_findings(rows: DataFrame, source_table: str) -> DataFrame:
     )
 
 
+def _monthly_counts(rows: DataFrame, source_table: str, categories: Sequence[str]) -> DataFrame:
+    """rows(month_date, record_key, in_scope, <count per category>), one row
+    per month and record → one row per month × category.  A record is one row of
+    its month, so affected records need no distinct count."""
+    known = F.col("record_key").isNotNull()
+    per_month = rows.groupBy("month_date").agg(
+        F.sum("in_scope").alias("monthly_record_count"),
+        *[F.sum(c).alias(c) for c in categories],
+        *[F.count_if((F.col(c) > 0) & known).alias(f"{c}_records") for c in categories],
+    )
+    found = F.explode(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(c).alias("audit_category"),
+                    F.col(c).alias("finding_count"),
+                    F.col(f"{c}_records").alias("affected_records"),
+                )
+                for c in categories
+            ]
+        )
+    )
+    return (
+        per_month.select("month_date", F.lit(source_table).alias("source_table"), "monthly_record_count", found.alias("f"))
+        .select("month_date", "source_table", "f.*", "monthly_record_count")
+        .filter(F.col("finding_count") > 0)
+    )
+
+
 def int_audit_by_month(lead_rows: DataFrame, opp_rows: DataFrame) -> DataFrame:
     """Audit findings per month × source × category, with the source's
     monthly record volume and the affected share.  Each finding carries the
@@ -215,7 +246,9 @@ def int_audit_by_month(lead_rows: DataFrame, opp_rows: DataFrame) -> DataFrame:
     date for opportunities); findings without an anchor are dropped.  Inputs
     are ``audits.lead_rows_dated`` / ``audits.opp_rows_dated``: one pass per
     source yields both findings and volumes."""
-    unioned = _monthly_findings(lead_rows, "leads").unionByName(_monthly_findings(opp_rows, "opportunities"))
+    unioned = _monthly_findings(lead_rows, "leads").unionByName(
+        _monthly_counts(opp_rows, "opportunities", list(OPP_DETAILS))
+    )
     df = unioned.select(
         surrogate_key("month_date", "source_table", "audit_category").alias("audit_month_sk"),
         "month_date",

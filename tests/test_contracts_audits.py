@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from funnelworks.operators import quality as dq
 from funnelworks.operators.contracts import ContractError, check_schema_unchanged, contract, enforce_contract
-from funnelworks.plans.audits import audit_leads, audit_opportunities
+from funnelworks.plans.audits import audit_leads, audit_opportunities, lead_rows_dated, opp_rows_dated
+from funnelworks.plans.intermediate import int_audit_by_month
 from funnelworks.sources.schemas import RAW_LEADS, RAW_OPPORTUNITIES
 
 
@@ -78,6 +79,56 @@ def test_opportunity_duplicate_audit(spark):
     assert got == [("o1", "duplicate_row"), ("o1", "millennium_date_defect"), ("o1", "missing_lost_reason")]
 
 
+def _opportunities(spark):
+    f = RAW_OPPORTUNITIES.fieldNames()
+
+    def opp(**kw):
+        r = dict.fromkeys(f) | {"how_did_you_hear_about_us_c": "Ads"} | kw
+        return tuple(r[x] for x in f)
+
+    jan, feb = "2024-01-05 00:00:00", "2024-02-05 00:00:00"
+    dirty = opp(opportunity_id="o1", stage_name="Closed Lost", lost_reason_c=" ", created_date=jan)
+    changed = opp(opportunity_id="o1", stage_name="Closed Lost", account_id="a", created_date=feb)
+    nulls = [opp(account_id="a", created_date=jan), opp(account_id="b", created_date=jan, how_did_you_hear_about_us_c="")]
+    rows = [dirty, dirty, changed, opp(opportunity_id="o2", created_date=feb), opp(opportunity_id="o3", stage_name="Closed Lost")]
+    return spark.createDataFrame(rows + nulls, RAW_OPPORTUNITIES)
+
+
+def test_audit_of_copies_changed_rows_and_null_ids(spark):
+    got = [(r.record_key or "", r.audit_category, r.diagnostic_info) for r in audit_opportunities(_opportunities(spark)).collect()]
+    lost = ("missing_lost_reason", "stage_name: Closed Lost | business_issue: null")
+    assert sorted(got) == [
+        ("", "duplicate_row", "2 total rows for this opportunity_id"),
+        ("", "missing_attribution", "stage_name: null"),
+        ("o1", "duplicate_row", "3 total rows for this opportunity_id"),
+        ("o1", *lost),
+        ("o1", *lost),  # two unlike rows with equal findings
+        ("o3", *lost),
+    ]
+    assert audit_opportunities(spark.createDataFrame([], RAW_OPPORTUNITIES)).count() == 0
+
+
+def test_month_counts_of_opportunity_findings(spark):
+    no_leads = lead_rows_dated(spark.createDataFrame([], RAW_LEADS))
+    rows = int_audit_by_month(no_leads, opp_rows_dated(_opportunities(spark))).collect()
+    got = sorted((str(r.month_date)[:7], r.audit_category, r.finding_count, r.affected_records, r.monthly_record_count) for r in rows)
+    assert got == [
+        ("2024-01", "duplicate_row", 1, 1, 3),  # of o1; null ids aren't joined
+        ("2024-01", "missing_attribution", 1, 0, 3),
+        ("2024-01", "missing_lost_reason", 1, 1, 3),
+        ("2024-02", "duplicate_row", 1, 1, 2),
+        ("2024-02", "missing_lost_reason", 1, 1, 2),
+    ]
+
+
+def test_audits_read_opportunities_once(spark, tmp_dir):
+    _opportunities(spark).write.parquet(f"{tmp_dir}/opps")
+    raw = spark.read.schema(RAW_OPPORTUNITIES).parquet(f"{tmp_dir}/opps")
+    no_leads = lead_rows_dated(spark.createDataFrame([], RAW_LEADS))
+    for df in (audit_opportunities(raw), int_audit_by_month(no_leads, opp_rows_dated(raw))):
+        assert df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+
+
 def test_generic_data_tests(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "zz"), (3, None)], "k int, v string")
     assert dq.not_null(df, "k").count() == 1
