@@ -601,6 +601,33 @@ def _q_inc_leads(spark, sf):
     return _inc.build_mart_leading_indicators(spark, models(spark, sf), base)
 
 
+@register("inc_audit_month_refresh")
+def _q_inc_audit(spark, sf):
+    """Findings of the lookback's months counted again, older months kept."""
+    path = scratch_path(spark, "int_audit_by_month")
+    _inc.build_int_audit_by_month(spark, snapshot_models(spark, sf), path, full_refresh=True)
+    return _inc.build_int_audit_by_month(spark, models(spark, sf), path, as_of=RUN_AS_OF)
+
+
+@register("inc_monitor_refresh")
+def _q_inc_monitor(spark, sf):
+    """The monitor after a refresh of its two inputs: only months that differ
+    and those compared with them are computed again."""
+    cac, audit, path = (scratch_path(spark, t) for t in ("mart_cac_ltv", "int_audit_by_month", "mart_data_quality_monitor"))
+    old, new = snapshot_models(spark, sf), models(spark, sf)
+    before = (
+        _inc.build_mart_cac_ltv(spark, old, cac, full_refresh=True),
+        _inc.build_int_audit_by_month(spark, old, audit, full_refresh=True),
+    )
+    _inc.build_mart_data_quality_monitor(spark, *before, path, full_refresh=True)
+    after = (
+        _inc.build_mart_cac_ltv(spark, new, cac, as_of=RUN_AS_OF),
+        _inc.build_int_audit_by_month(spark, new, audit, as_of=RUN_AS_OF),
+    )
+    changed = _inc.changed_months(before[0], after[0]).union(_inc.changed_months(before[1], after[1])).distinct()
+    return _inc.build_mart_data_quality_monitor(spark, *after, path, changed)
+
+
 @register("inc_lookback_filter")
 def _q_inc_lookback(spark, sf):
     """The batch an incremental funnel run recomputes (months in lookback)."""

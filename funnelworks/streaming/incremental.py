@@ -25,11 +25,12 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Callable
 from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -61,6 +62,30 @@ def watermark_filter(df: DataFrame, target: DataFrame, col: str, include_nulls:
     return df.filter(cond)
 
 
+# ---- months that a refresh has to compute again -------------------------------------
+def changed_months(before: DataFrame, after: DataFrame, month: str = "month_date") -> DataFrame:
+    """Months whose rows differ between two states of one month-grain table."""
+    return before.exceptAll(after).union(after.exceptAll(before)).select(month).distinct()
+
+
+def with_dependents(months: DataFrame, changed: DataFrame, month: str = "month_date") -> DataFrame:
+    """Of ``months`` (those that exist now) the changed ones and each one whose
+    predecessor changed or vanished, so whose ``lag`` differs.  Both frames hold
+    months only, so the windows run over a calendar's worth of rows."""
+    marked = (
+        months.select(month, F.lit(1).alias("now"), F.lit(0).alias("hit"))
+        .unionByName(changed.select(month, F.lit(0).alias("now"), F.lit(1).alias("hit")))
+        .groupBy(month)
+        .agg(F.max("now").alias("now"), F.max("hit").alias("hit"))
+    )
+    # a month that exists now closes the run of those that vanished before it
+    earlier = Window.orderBy(month).rowsBetween(Window.unboundedPreceding, -1)
+    runs = marked.withColumn("run", F.coalesce(F.sum("now").over(earlier), F.lit(0)))
+    in_run = runs.withColumn("run_hit", F.max("hit").over(Window.partitionBy("run"))).filter(F.col("now") == 1)
+    before = F.lag("hit").over(Window.orderBy(month))
+    return in_run.withColumn("before", before).filter((F.col("run_hit") == 1) | (F.col("before") == 1)).select(month)
+
+
 # ---- versioned folders ------------------------------------------------------------
 # A table is a folder of versions and of commits.  A version holds the parts
 # (partition folders) that one run wrote; a commit lists, for its version, the
@@ -156,10 +181,13 @@ def refresh_partitions(
     path: str,
     keys: list[str],
     full_refresh: bool = False,
+    covers: Callable[[str], bool] | None = None,
 ) -> DataFrame:
     """delete+insert on the partition key columns; returns the stored table
     in the batch's column order and types.  Partitions that the batch doesn't
-    hold keep their files; a full refresh replaces all of them by one commit."""
+    hold keep their files; a full refresh replaces all of them by one commit.
+    ``covers`` tells for which values of the first key (as text) the batch is
+    the whole truth: stored partitions of those that it doesn't hold go."""
     schema = batch.schema
     version, old = _newest(spark, path)
     if full_refresh or not version:
@@ -168,6 +196,8 @@ def refresh_partitions(
         stored = {f.name: f for f in _read(spark, path, old[:1], None).schema}
         stored |= {k: schema[k] for k in keys if k in stored}  # folder names tell no types
         check_schema_unchanged(schema, StructType([stored[c] for c in batch.columns if c in stored]))
+    if covers is not None:
+        old = [f for f in old if not covers(f.split("/")[1].partition("=")[2])]
     _write_version(spark, batch, path, keys, old, version + 1)
     return read_current(spark, path, schema).select(*schema.fieldNames())
 

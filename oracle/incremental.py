@@ -2,7 +2,9 @@
 (snapshot = orders placed before 1998 built in full, then all orders
 refreshed as of 2024-06-15 with a two-month lookback)."""
 
-from oracle.cte import snapshot_ctes, sql, sql_with
+import re
+
+from oracle.cte import CTES, snapshot_ctes, sql, sql_with
 
 INC: dict[str, str] = {}
 SNAP = [("orders_s", "SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'")]
@@ -46,3 +48,29 @@ SELECT lead_id, last_sales_activity_at FROM int_leads_enriched WHERE last_sales_
 """,
     "int_leads_enriched",
 )
+
+# Findings by month: the lookback's months as of now, older ones as of the snapshot.
+AUDIT_NOW = f"""
+SELECT * FROM int_audit_by_month WHERE month_date >= {CUTOFF}
+UNION ALL SELECT * FROM int_audit_by_month_s WHERE month_date < {CUTOFF}
+"""
+INC["inc_audit_month_refresh"] = sql_with(_snap("int_audit_by_month"), AUDIT_NOW, "int_audit_by_month")
+
+# The monitor of the refreshed tables, computed in full.
+_tail = [
+    ("cac_now", f"SELECT * FROM mart_cac_ltv WHERE month_date >= {CUTOFF} UNION ALL "
+                f"SELECT * FROM mart_cac_ltv_s WHERE month_date < {CUTOFF}"),
+    ("audit_now", AUDIT_NOW),
+]
+_monitor = ["findings_of_month", "money_of_month", "monitored_month", "mart_data_quality_monitor"]
+for _name in _monitor:
+    _body = CTES[_name]
+    for _old, _new in [(n, f"{n}_now") for n in _monitor] + [("mart_cac_ltv", "cac_now"), ("int_audit_by_month", "audit_now")]:
+        _body = re.sub(rf"\b{_old}\b", _new, _body)
+    _tail.append((f"{_name}_now", _body))
+INC["inc_monitor_refresh"] = sql_with(
+    list(dict(_snap("mart_cac_ltv") + _snap("int_audit_by_month")).items()),
+    "SELECT * FROM (WITH " + ", ".join(f"{n} AS ({b})" for n, b in _tail) + " SELECT * FROM mart_data_quality_monitor_now)",
+    "mart_cac_ltv",
+    "int_audit_by_month",
+)

@@ -1,18 +1,23 @@
 """Keyed refresh semantics (FIXTURES §4 incremental rows)."""
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from funnelworks.operators.contracts import ContractError
+from funnelworks.plans.incremental_marts import build_mart_data_quality_monitor
+from funnelworks.plans.marts import mart_data_quality_monitor
 from funnelworks.streaming.incremental import (
+    changed_months,
     expire_versions,
     lookback_filter,
     read_current,
     refresh_by_key,
     refresh_partitions,
     watermark_filter,
+    with_dependents,
 )
 
 D = dt.date
@@ -91,6 +96,65 @@ def test_first_run_applies_no_filter(spark, tmp_dir):
     assert first.filter(F.col("month_date") < D(2024, 4, 1)).count() > 0  # older months present
 
 
+def _months(spark, *rows):
+    return spark.createDataFrame([(D(2024, m, 1),) for m in rows], "month_date date")
+
+
+@pytest.mark.parametrize(
+    "now, changed, again",
+    [
+        ([1, 2, 3, 5], [2], [2, 3]),
+        ([1, 2, 3, 5], [5], [5]),
+        ([1, 2, 5], [3], [5]),  # a month that is gone
+        ([3, 5], [1, 2], [3]),
+        ([1, 5], [2, 3, 5], [5]),
+        ([1, 2, 3], [], []),
+        ([], [1], []),
+    ],
+)
+def test_months_that_depend_on_changed_ones(spark, now, changed, again):
+    got = with_dependents(_months(spark, *now), _months(spark, *changed)).collect()
+    assert sorted(r[0].month for r in got) == again
+
+
+def _monitor_inputs(spark, rows, findings):
+    from funnelworks.plans import contracts_catalog as C
+
+    cac = spark.createDataFrame(
+        [(f"k{m}", D(2024, m, 1), "inbound", Decimal(100), won, Decimal(50), None, Decimal(ltv), None) for m, won, ltv in rows],
+        C.MART_CAC_LTV,
+    )
+    audit = spark.createDataFrame(
+        [(f"a{m}", D(2024, m, 1), "leads", "stale_lead", n, n, 100, Decimal("0.01")) for m, n in findings], C.INT_AUDIT_BY_MONTH
+    )
+    return cac, audit
+
+
+def test_monitor_after_a_late_correction(spark, tmp_dir):
+    base = f"{tmp_dir}/monitor"
+    before = _monitor_inputs(spark, [(1, 1, 10), (2, 1, 20), (3, 2, 30), (5, 1, 40), (6, 1, 1)], [(1, 4), (2, 5), (3, 6), (5, 7)])
+    # February is corrected, May is gone
+    after = _monitor_inputs(spark, [(1, 1, 10), (2, 3, 25), (3, 2, 30), (6, 1, 1)], [(1, 4), (2, 9), (3, 6)])
+    build_mart_data_quality_monitor(spark, *before, base, full_refresh=True)
+    old = stored_files(spark, base)
+    changed = changed_months(before[0], after[0]).union(changed_months(before[1], after[1])).distinct()
+    got = build_mart_data_quality_monitor(spark, *after, base, changed)
+    full = mart_data_quality_monitor(*after)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, full.collect()))
+    new = stored_files(spark, base)
+    assert {p[-5:-3] for p in new if new[p] == old.get(p)} == {"01"} and {p[-5:-3] for p in new} == {"01", "02", "03", "06"}
+
+
+def test_audit_months_without_findings_go(spark, tmp_dir):
+    base, schema = f"{tmp_dir}/audit", "month_date date, source_table string, n int"
+    first = [(D(2024, m, 1), "leads", m) for m in (1, 4, 5)] + [(None, "leads", 0)]
+    keys = ["month_date", "source_table"]
+    refresh_partitions(spark, spark.createDataFrame(first, schema), base, keys)
+    batch = spark.createDataFrame([(D(2024, 4, 1), "leads", 40)], schema)
+    out = refresh_partitions(spark, batch, base, keys, covers=lambda m: "2024-04-01" <= m <= "2024-12-01")
+    assert sorted(r.n for r in out.collect()) == [0, 1, 40]
+
+
 def files(df):
     return {r[0] for r in df.select("_metadata.file_path").distinct().collect()}
 
