@@ -440,6 +440,15 @@ def _q_join_left(spark, sf):
     )
 
 
+@register("join_left_stored")
+def _q_join_left_stored(spark, sf):
+    """The enriched leads of a build: over the stored exports only leads with
+    an opportunity id are shuffled."""
+    from funnelworks.plans.pipeline import materialized_models
+
+    return materialized_models(spark, load_raw_sources(spark, sf)).int_leads_enriched
+
+
 @register("join_inner_month")
 def _q_join_inner(spark, sf):
     m = models(spark, sf)

@@ -31,7 +31,7 @@ from funnelworks.functions import (
     surrogate_key,
 )
 from funnelworks.operators.contracts import enforce_contract
-from funnelworks.operators.joins import left_join_spread_nulls
+from funnelworks.operators.joins import left_join_keyed, left_join_spread_nulls
 from funnelworks.plans import contracts_catalog as C
 from funnelworks.plans.audits import OPP_DETAILS
 
@@ -58,7 +58,9 @@ def int_expenses_channel_month(salary: DataFrame, advertising: DataFrame) -> Dat
     return enforce_contract(df, C.INT_EXPENSES_CHANNEL_MONTH)
 
 
-def int_leads_enriched(leads: DataFrame, opportunities: DataFrame) -> DataFrame:
+def int_leads_enriched(leads: DataFrame, opportunities: DataFrame, stored: bool = False) -> DataFrame:
+    """``stored``: leads are narrow maps over a stored table, so reading it twice
+    is cheaper than shuffling the leads without an opportunity."""
     opp = opportunities.select(
         "opportunity_sk",
         F.col("opportunity_id").alias("o_opportunity_id"),
@@ -76,7 +78,8 @@ def int_leads_enriched(leads: DataFrame, opportunities: DataFrame) -> DataFrame:
         "demo_scheduled_at",
         F.col("last_sales_call_at").alias("opp_last_sales_call_at"),
     )
-    j = left_join_spread_nulls(leads, opp, "converted_opportunity_id", "o_opportunity_id", ["lead_id"])
+    on = ("converted_opportunity_id", "o_opportunity_id")
+    j = left_join_keyed(leads, opp, *on) if stored else left_join_spread_nulls(leads, opp, *on, ["lead_id"])
     form = F.col("form_submission_date")
     form_ts = form.cast("timestamp_ntz")
     speed = F.when(form.isNotNull(), hours_between(form_ts, "first_sales_call_at").cast("decimal(10,2)"))

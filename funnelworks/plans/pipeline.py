@@ -14,7 +14,7 @@ import os
 from pyspark.sql import SparkSession
 
 from funnelworks.plans import incremental_marts as inc
-from funnelworks.plans.intermediate import cohort_stats
+from funnelworks.plans.intermediate import cohort_stats, int_leads_enriched
 from funnelworks.plans.models import GtmModels
 from funnelworks.session import scratch_path
 from funnelworks.sources.gtm_raw import RawSources
@@ -44,9 +44,8 @@ def materialized_models(spark: SparkSession, raw: RawSources, folder: str | None
         expenses_salary=raw.expenses_salary,
     )
     m = GtmModels(stored)
-    m.__dict__["int_leads_enriched"] = materialize(
-        spark, m.int_leads_enriched, "int_leads_enriched", where("int_leads_enriched")
-    )
+    enriched = int_leads_enriched(m.stg_leads, m.stg_opportunities, stored=True)
+    m.__dict__["int_leads_enriched"] = materialize(spark, enriched, "int_leads_enriched", where("int_leads_enriched"))
     return m
 
 

@@ -29,6 +29,7 @@ q(
     "SELECT f.month_date, f.channel, f.leads_created, f.closed_won, e.total_cost_usd FROM int_funnel f "
     "JOIN int_expenses_channel_month e ON f.month_date = e.month_date AND f.channel = e.channel",
 )
+q("join_left_stored", "SELECT * FROM int_leads_enriched")
 q(
     "join_anti_fk",
     "SELECT o_orderkey, o_orderdate FROM orders o WHERE o_orderkey IS NOT NULL "

@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from funnelworks.operators.joins import left_join_spread_nulls
+from funnelworks.operators.joins import left_join_keyed, left_join_spread_nulls
 from funnelworks.plans.semantic import metric_query
 from funnelworks.plans.pipeline import run_pipeline
 from funnelworks.sources.gtm_raw import load_raw_sources
@@ -22,6 +22,26 @@ def test_left_join_spread_nulls(spark):
     assert out.columns == ["id", "k", "rk", "v"]
 
 
+def test_left_join_keyed_shuffles_rows_with_a_key_only(spark, tmp_dir):
+    spark.createDataFrame([("a", "k1"), ("b", None), ("c", None), ("d", "k9"), ("e", "k1")], "id string, k string").write.parquet(f"{tmp_dir}/l")
+    spark.createDataFrame([("k1", 1), ("k1", 2), (None, 3)], "rk string, v int").write.parquet(f"{tmp_dir}/r")
+    left, right = spark.read.parquet(f"{tmp_dir}/l"), spark.read.parquet(f"{tmp_dir}/r")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = left_join_keyed(left, right, "k", "rk")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        same = left_join_spread_nulls(left, right, "k", "rk", ["id"])
+        key = lambda r: str(tuple(r))
+        assert out.columns == same.columns
+        assert sorted(out.collect(), key=key) == sorted(same.collect(), key=key)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    joined, rest = plan.split("null AS rk")  # the second branch of the union comes last
+    assert joined.count("Exchange hashpartitioning") == 2 and "Exchange" not in rest and "isnotnull(k" in joined
+    assert left_join_keyed(left.limit(0), right, "k", "rk").count() == 0
+
+
 def test_metric_query_across_models(spark):
     cac = spark.createDataFrame(
         [("2024-01-01", "inbound", 2.0), ("2024-02-01", "inbound", 4.0)], "m string, channel string, r double"
