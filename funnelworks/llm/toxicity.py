@@ -32,6 +32,8 @@ from funnelworks.llm.words import ALPHANUMERIC, U, Words, find_words, mix64, shi
 #: Labelled rows learnt from at most (smallest hashes of the id), weights, chain length.
 SAMPLE, BUCKETS, CHAIN = 6000, 1 << 18, 64
 EPOCHS, RATE, DECAY = 12, 0.3, 1e-6
+#: Intercept and slopes of a document's score before any row that the field has not seen.
+PRIOR = np.array([-2.0, 4.0, 0.0])
 _PREFIXES, _SUFFIX = (3, 4, 5, 6), 4
 _ENDS = np.zeros(256, bool)
 _ENDS[[10, 13, 33, 46, 63]] = True  # line ends and . ! ?
@@ -176,9 +178,7 @@ def train(texts: pa.Array, toxic: np.ndarray) -> Model:
     keep = distinct_rows(texts)
     texts, toxic = texts.filter(pa.array(keep)), toxic[keep]
     kept = np.arange(len(toxic)) % 4 == 3
-    if len(toxic) < 8:
-        kept[:] = False
-    model = Model(np.zeros(BUCKETS, np.float32), -2.0, np.zeros((2, 2)), np.array([-2.0, 4.0, 0.0]))
+    model = Model(np.zeros(BUCKETS, np.float32), -2.0, np.zeros((2, 2)), PRIOR)
     if not len(toxic):
         return model
     own = texts.filter(pa.array(~kept))
@@ -216,8 +216,8 @@ def train(texts: pa.Array, toxic: np.ndarray) -> Model:
             trans_power += grad * grad
             trans -= RATE * grad / np.sqrt(trans_power)
     model = Model(weights.astype(np.float32), float(bias), trans, model.link)
-    rest, y = (texts.filter(pa.array(kept)), toxic[kept]) if kept.sum() >= 20 else (texts, toxic)
-    most, total = [], []
+    rest, y = texts.filter(pa.array(kept)), toxic[kept]
+    most, total = [np.zeros(0)], [np.zeros(0)]
     for _, _, data, borders in slices(rest):
         w = find_words(data, borders, ALPHANUMERIC)
         m, s = _document_marginals(w, model.words(w))
@@ -228,12 +228,13 @@ def train(texts: pa.Array, toxic: np.ndarray) -> Model:
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
-    """Logistic regression by Newton steps, with a small ridge."""
-    w = np.zeros(x.shape[1])
+    """Logistic regression by Newton steps, with a small ridge towards
+    ``PRIOR``, which few rows hardly move and none leave as it is."""
+    w = PRIOR.copy()
     for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         h = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
-        step = np.linalg.solve(h, x.T @ (p - y) + ridge * w)
+        step = np.linalg.solve(h, x.T @ (p - y) + ridge * (w - PRIOR))
         w -= step
         if np.abs(step).max() < 1e-8:
             break
