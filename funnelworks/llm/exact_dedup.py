@@ -1,18 +1,21 @@
-"""Exact deduplication by a tree merge of digest runs, as hash aggregates.
-
-DataFrame operations only.  Every document belongs to one of ``RUNS`` runs
-(by the hash of its id).  A run is the table of its distinct digests with the
-smallest id and the number of rows behind each.  In each round ``FAN_IN``
-neighbouring runs meet: rows of equal (run, digest) are merged, which Spark
-does as partial merges on the map side, an exchange of what is left, and a
-final merge; the runs are spread over the cluster by (run, digest), so no
-task ever holds a whole run.  After the last round one row a digest is left.
-
-A digest held by a third of all rows is one row a run after the first merge,
-so at most ``RUNS`` rows in the exchanges above it.  The answer goes back
-down the same way: the final rows are joined to the first-level runs, and
-those by (run, digest) to the documents, which deals copies of one text over
-all runs instead of one task.
+"""Exact deduplication by a tree merge of sorted digest runs.
+
+DataFrame operations only.  Every partition of the digest table gives one run:
+its distinct digests in order, each with the smallest id and the number of rows
+behind it.  In every round the runs whose numbers differ in the lowest
+remaining digit (to base ``FAN_IN``) meet: the others move to the one with the
+digit 0, as in a binomial tree with ``FAN_IN`` children a node, and are merged in
+order of digest; of equal neighbours the smallest id and the sum of the rows
+remain.  A merged run is written sorted, and the next round reads it.  The number
+of rounds follows from the number of runs present: one more for every factor of
+``FAN_IN``.
+
+A run is spread over the cluster by (run, digest), so no task holds a whole one,
+and each task holds its share in order.  A digest held by a third of all rows is
+one row a run after the first aggregate, and at most ``FAN_IN`` rows meet for one
+key in a round.  The answer goes back down the same way: the last run is joined
+to the first ones, and those by (run, digest) to the documents, which deals
+copies of one text over all runs instead of one task.
 
 Equality is verified at every level by the whole key: SHA-256, the byte
 length and an independent 64-bit hash of the normalised text.
@@ -20,13 +23,13 @@ length and an independent 64-bit hash of the normalised text.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from funnelworks.llm.storage import broadcast_if_small, stored
 
-#: Runs at the first level and runs merged into one in a round: 64 -> 8 -> 1.
-RUNS, FAN_IN = 64, 8
+#: Runs merged into one in a round.
+FAN_IN = 8
 KEY = ["digest", "n_bytes", "second"]
 
 
@@ -36,20 +39,38 @@ def normalised(text: Column) -> Column:
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """doc_id, run and the key of each row's normalised text."""
+    """doc_id, run (the partition) and the key of each row's normalised text."""
     t = normalised(F.col("text"))
     return docs.select(F.col("doc_id"), t.alias("t")).select(
         "doc_id",
-        F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(RUNS)).cast("int").alias("run"),
+        F.spark_partition_id().alias("run"),
         F.sha2(F.col("t").cast("binary"), 256).alias("digest"),
         F.octet_length("t").cast("long").alias("n_bytes"),
         F.xxhash64("t").alias("second"),
     )
 
 
-def merge_runs(level: DataFrame) -> DataFrame:
-    """One round: runs that now share a number become one."""
-    return level.groupBy("run", *KEY).agg(F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+def first_runs(rows: DataFrame) -> DataFrame:
+    """The distinct digests of each run, in order."""
+    found = rows.groupBy("run", *KEY).agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    return found.sortWithinPartitions("run", *KEY)
+
+
+def merge_runs(level: DataFrame, width: int) -> DataFrame:
+    """One round: the runs of each ``width * FAN_IN`` numbers become one, in
+    order.  Rows of equal (run, key) are neighbours there, at most ``FAN_IN`` of
+    them; the first has the smallest id."""
+    met = level.withColumn("run", F.col("run") - F.pmod("run", F.lit(width * FAN_IN)))
+    order = F.col("keep_id").asc_nulls_last()
+    equal = Window.partitionBy("run", *KEY).orderBy(order)
+    merged = met.select(
+        "run",
+        *KEY,
+        "keep_id",
+        F.sum("group_size").over(equal.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("group_size"),
+        F.row_number().over(equal).alias("place"),
+    )
+    return merged.where("place = 1").drop("place")
 
 
 def exact_groups(docs: DataFrame) -> DataFrame:
@@ -63,14 +84,12 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     no rows.
     """
     rows = stored(digests(docs), "exact-digests")
-    first = stored(
-        rows.groupBy("run", *KEY).agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")),
-        "exact-runs",
-    )
-    level, runs = first, RUNS
-    while runs > 1:
-        level = merge_runs(level.withColumn("run", F.floor(F.col("run") / FAN_IN).cast("int")))
-        runs = -(-runs // FAN_IN)
+    first = stored(first_runs(rows), "exact-runs")
+    last = rows.agg(F.max("run")).first()[0] or 0  # the runs present are at most those up to it
+    level, width = first, 1
+    while width <= last:
+        level = stored(merge_runs(level, width), "exact-merged")
+        width *= FAN_IN
     top = level.drop("run")
     down = first.select("run", *KEY).join(top, KEY)
     return (
