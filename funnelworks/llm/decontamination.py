@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from funnelworks.llm.words import ALPHANUMERIC, U, find_words, mix64, shingles, slices
+from funnelworks.llm.words import U, find_letters, folded, mix64, shingles, slices
 
 SPREAD, MISS = 4, 1e-6
 #: A block of items.
@@ -105,8 +105,8 @@ def _search(block, shingle: int, percent: int):
     def run(batches):
         index = ItemIndex(*block.value, percent)
         for batch in batches:
-            for lo, _, data, borders in slices(batch.column(1)):
-                sets, at = shingles(find_words(data, borders, ALPHANUMERIC), shingle)
+            for lo, _, data, borders in slices(folded(batch.column(1))):
+                sets, at = shingles(find_letters(data, borders), shingle)
                 out: list[tuple] = []
                 for d in range(len(at) - 1):
                     own = sets[at[d] : at[d + 1]]
@@ -130,8 +130,8 @@ def item_blocks(benchmark: DataFrame, shingle: int) -> Iterator[tuple[list, list
     def block():
         texts = pa.array([r["text"] or "" for r in rows], pa.string())
         ids, sets = [], []
-        for lo, hi, data, borders in slices(texts):
-            flat, at = shingles(find_words(data, borders, ALPHANUMERIC), shingle)
+        for lo, hi, data, borders in slices(folded(texts)):
+            flat, at = shingles(find_letters(data, borders), shingle)
             for d in range(hi - lo):
                 if at[d] < at[d + 1]:
                     ids.append(rows[lo + d]["item_id"])
@@ -153,9 +153,10 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, per
     that hold at least ``percent`` of the n_item distinct shingles of a
     benchmark item (item_id, text); other columns are not read.
 
-    Words are runs of ASCII letters and digits and of other than ASCII
-    characters, A-Z lower-cased, so case, punctuation and spacing don't hide
-    a passage.  A text of fewer than ``shingle`` words is one shingle, its
+    Words are runs of Unicode letters, marks and digits of the composed,
+    lower-cased text, so case, accents put together from marks, punctuation,
+    typographic marks and any kind of space don't hide a passage; in scripts
+    without spaces each character is a word.  A text of fewer than ``shingle`` words is one shingle, its
     whole sequence.  Texts without words, null texts included, match
     nothing.  Null ids are carried as null; repeated rows give one row.
     Without documents or items: no rows.
@@ -176,8 +177,8 @@ def _clean(block, shingle: int, percent: int, column: int):
         index = ItemIndex(*block.value, percent)
         for batch in batches:
             clean = []
-            for _, _, data, borders in slices(batch.column(column)):
-                sets, at = shingles(find_words(data, borders, ALPHANUMERIC), shingle)
+            for _, _, data, borders in slices(folded(batch.column(column))):
+                sets, at = shingles(find_letters(data, borders), shingle)
                 clean += [next(index.found(sets[at[d] : at[d + 1]]), None) is None for d in range(len(at) - 1)]
             yield batch.filter(pa.array(clean, pa.bool_()))
 

@@ -68,8 +68,9 @@ FROM s LEFT JOIN c ON c.doc_id = s.doc_id
 
 
 def _words(table: str, key: str) -> str:
-    text = _FOLD.format("coalesce(text, '')")
-    return rf"SELECT {key}, regexp_extract_all({text}, '[a-z0-9\x{{80}}-\x{{10FFFF}}]+') AS w FROM {table}"
+    scripts = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}"
+    spaced = f"regexp_replace(lower(nfc_normalize(coalesce(text, ''))), '([{scripts}])', ' \\1 ', 'g')"
+    return rf"SELECT {key}, regexp_extract_all({spaced}, '[\p{{L}}\p{{M}}\p{{N}}]+') AS w FROM {table}"
 
 
 def _five(source: str, key: str) -> str:

@@ -10,11 +10,15 @@ different words differ but for 64-bit collisions.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 
 U = np.uint64
 #: Text bytes worked on at once (one longer text forms a slice of its own).
@@ -32,6 +36,8 @@ NOT_SPACE = np.ones(256, bool)
 NOT_SPACE[[32, 9, 10, 11, 12, 13]] = False
 ALPHANUMERIC = np.zeros(256, bool)
 ALPHANUMERIC[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+ASCII_LETTERS = ALPHANUMERIC.copy()
+ASCII_LETTERS[128:] = False
 
 _powers: dict[int, np.ndarray] = {}
 
@@ -110,20 +116,22 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
 def find_words(data: np.ndarray, borders: np.ndarray, kind: np.ndarray = NOT_SPACE) -> Words:
     """Words of the texts: longest runs of bytes of ``kind``, A-Z lower-cased."""
     data = _FOLD[data]
-    inside = kind[data]
-    size = len(data)
-    n = len(borders) - 1
+    return _cut(data, borders, kind[data], np.zeros(0, np.int64))
+
+
+def _cut(data: np.ndarray, borders: np.ndarray, inside: np.ndarray, cuts: np.ndarray) -> Words:
+    """Words: longest runs of bytes ``inside`` that no border and no place in ``cuts`` divides."""
+    size, n = len(data), len(borders) - 1
     if not size:
         none = np.zeros(0, np.int64)
         return Words(n, data, none, none, np.zeros(n + 1, np.int64), np.zeros(1, U))
     opens = inside.copy()
     opens[1:] &= ~inside[:-1]
-    cuts = borders[:-1][borders[:-1] < borders[1:]]  # first bytes of texts that aren't empty
-    opens[cuts] = inside[cuts]
+    for at in (borders[:-1], cuts):
+        at = at[at < size]
+        opens[at] = inside[at]
     shuts = inside.copy()
-    shuts[:-1] &= ~inside[1:]
-    last = borders[1:][borders[:-1] < borders[1:]] - 1
-    shuts[last] = inside[last]
+    shuts[:-1] &= ~inside[1:] | opens[1:]
     start, end = np.flatnonzero(opens), np.flatnonzero(shuts) + 1
     sums = np.empty(size + 1, U)
     sums[0] = 0
@@ -131,6 +139,48 @@ def find_words(data: np.ndarray, borders: np.ndarray, kind: np.ndarray = NOT_SPA
     return Words(n, data, start, end, np.searchsorted(start, borders), sums)
 
 
+def folded(column: pa.Array) -> pa.Array:
+    """Texts in composed form (NFC) and lower case; null counts as empty."""
+    composed = [unicodedata.normalize("NFC", t or "") for t in column.to_pylist()]
+    return pc.utf8_lower(pa.array(composed, column.type))
+
+
+#: Scripts written without spaces: each of their characters is a word.
+SPACELESS = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")
+
+
+@cache
+def _character_kinds() -> np.ndarray:
+    """For each code point: 0 no part of a word, 1 part of one, 2 a word by itself."""
+    kinds = np.zeros(0x110000, np.uint8)
+    every = "".join(map(chr, range(0x110000)))
+    scripts = "".join(rf"\p{{Script={s}}}" for s in SPACELESS)
+    for kind, pattern in ((1, r"[\p{L}\p{M}\p{N}]+"), (2, rf"[[{scripts}]&&[\p{{L}}\p{{M}}\p{{N}}]]+")):
+        for found in regex.finditer(pattern, every, regex.V1):
+            kinds[found.start() : found.end()] = kind
+    return kinds
+
+
+def find_letters(data: np.ndarray, borders: np.ndarray) -> Words:
+    """Words of ``folded`` texts by Unicode: longest runs of letters, marks and
+    digits, and each character of a script without spaces by itself."""
+    inside, cuts = ASCII_LETTERS[data], np.zeros(0, np.int64)
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        first = data[lead].astype(np.int64)
+        size = 2 + (first >= 0xE0) + (first >= 0xF0)
+        code = np.where(size == 2, first & 0x1F, np.where(size == 3, first & 0x0F, first & 0x07))
+        for j in (1, 2, 3):
+            long = size > j
+            code[long] = code[long] << 6 | (data[lead[long] + j] & 0x3F)
+        kind = _character_kinds()[code]
+        for j in range(4):
+            inside[lead[(kind > 0) & (size > j)] + j] = True
+        alone = kind == 2
+        cuts = np.concatenate((lead[alone], (lead + size)[alone]))
+    return _cut(data, borders, inside, cuts)
+
+
 def white_space(data: np.ndarray) -> np.ndarray:
     """Bytes of characters that Unicode calls white space."""
     space = ~NOT_SPACE[data]

@@ -4,11 +4,13 @@ long texts, ties, repeated rows, an empty table and clashing extra columns."""
 import collections
 import hashlib
 import re
+import unicodedata
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -22,6 +24,7 @@ from funnelworks.llm.packing import fill, make_plan, pack
 from funnelworks.llm.rans import decode_block, encode_block, scaled
 from funnelworks.llm.url_rules import Rule, judge_urls
 from funnelworks.llm.warc import archive_pages
+from funnelworks.llm.words import find_letters, folded, slices
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -156,8 +159,14 @@ def test_sketch_fills_and_estimates():
     assert abs((s[0] == s[1]).mean() - 0.8) < 0.1
 
 
+def letters(text):
+    t = "".join(c.lower()[:1] for c in unicodedata.normalize("NFC", text or ""))
+    t = regex.sub(r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])", r" \1 ", t)
+    return regex.findall(r"[\p{L}\p{M}\p{N}]+", t)
+
+
 def five(text):
-    w = re.findall("[a-z0-9\x80-\U0010ffff]+", re.sub("[A-Z]+", lambda m: m[0].lower(), text or ""))
+    w = letters(text)
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({("whole", *w)} if w else set())
 
 
@@ -177,6 +186,29 @@ def test_contained_items(ready, docs, nothing):
     assert contained_items(nothing, bench).count() == 0 and contained_items(docs, bench.limit(0)).count() == 0
 
 
+def test_passages_are_found_in_any_dress(ready):
+    """Case, composition, typographic marks, other spaces; scripts without spaces."""
+    item = "l'été passé, le garçon naïf a dû élever très haut sa voix à côté de la forêt où l'œuvre fut créée"
+    dresses = [item, item.upper(), unicodedata.normalize("NFD", item), item.replace("'", "\u2019").replace(",", "\u2014"), item.replace(" ", "\u00a0")]
+    chinese = "一只敏捷的棕色狐狸跳过了那条懒惰的大狗"
+    rows = [(i, f"avant, {t}; après tout") for i, t in enumerate(dresses)]
+    rows += [(10, f"前面还有一些别的话{chinese}后面也有"), (11, "un autre texte sans rien de ce passage à côté de la forêt"), (12, "前面还有一些别的话")]
+    bench = ready.createDataFrame([(1, item), (2, chinese)], "item_id long, text string")
+    found = sorted((r.doc_id, r.item_id) for r in contained_items(table(ready, rows), bench).collect())
+    assert found == [(i, 1) for i in range(len(dresses))] + [(10, 2)]
+    assert sorted(r.doc_id for r in drop_contaminated(table(ready, rows), bench).collect()) == [11, 12]
+
+
+@pytest.mark.parametrize("text", [*(t for _, t in TEXTS if t and t is not LONG), "中文字abc中d 1٣x", "ΣΑΣ İa ŒUVRE e\u0301 ﬁn", "ไทยab か゛カー", "a_b-c’d\u00adé\u200b"])
+def test_letters(text):
+    import pyarrow as pa
+
+    (_, _, data, borders), = slices(folded(pa.array([None, text, "é", text])))
+    w, flat = find_letters(data, borders), data.tobytes()
+    got = [[flat[a:b].decode() for a, b in zip(w.start[lo:hi], w.end[lo:hi], strict=True)] for lo, hi in zip(w.first[:-1], w.first[1:], strict=True)]
+    assert got == [[], letters(text), ["é"], letters(text)]
+
+
 @pytest.mark.parametrize("n", [1, 63, 1000, 70_000])
 def test_rans_round_trip(n):
     rng = np.random.default_rng(n)
