@@ -6,11 +6,16 @@ through a linear softmax.  Embeddings and softmax are trained together by
 stochastic gradient descent in numpy on at most ``SAMPLE`` labelled rows, dealt
 language by language, the smallest hashes of their ids first.  Two fifths of
 all ids are kept from training; at most ``HELD`` of those, dealt alike, are scored on
-the executors and set the temperature, which makes the score a probability, and
-the rejection threshold: a score that a text of the learnt languages misses with
-a chance of at most one in ``RARE``.  Fewer than RARE - 1 held-out rows can't
-tell such a score, and none is rejected then.  Prediction needs only the product
-of embeddings and softmax, one row of a small table for each byte run.
+the executors and calibrate the answer: a temperature makes the score a
+probability, and two bounds tell texts of no learnt language.  One is on the
+score; the other on familiarity, the average over the same byte runs of the log
+of their frequency in the predicted language, less its mean there, so that it
+is near 0 for texts of that language.  The bound on the score lies ``REACH`` times
+as far below the median as the lowest twentieth; that on familiarity ``WAY`` of
+the way from the median in the texts' own language to the median in the best
+of the others.  Both hold for any number of rows, and odd texts among them
+hardly move them.  Prediction needs one column of a small table for each byte
+run.
 """
 
 from __future__ import annotations
@@ -28,8 +33,10 @@ from funnelworks.llm.storage import stored
 from funnelworks.llm.words import slices
 
 BUCKETS, WIDTH = 1 << 15, 16
-#: Rows to learn from, rows to calibrate on, and one in how many may be rejected.
-SAMPLE, HELD, RARE = 4000, 10_000, 1000
+#: Rows to learn from, rows to calibrate on, and how far off the bounds are.
+SAMPLE, HELD, REACH, WAY = 4000, 10_000, 3.0, 0.65
+#: Share of a text that a byte run not met in a language counts for there.
+UNMET = 1e-5
 EPOCHS, RATE, SEED = 12, 0.5, 7
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
@@ -74,22 +81,30 @@ def _features(batches):
 @dataclass
 class Model:
     languages: list[str]
-    table: np.ndarray  # a row of logits a bucket
+    table: np.ndarray  # a row of logits for each language, then a row of log frequencies for each; a column a bucket
     bias: np.ndarray
     temperature: float = 1.0
-    threshold: float = 0.0
+    threshold: float = 0.0  # lowest score
+    floor: float = -np.inf  # lowest familiarity
 
     def scores(self, logits: np.ndarray) -> np.ndarray:
         z = logits / self.temperature
         z = np.exp(z - z.max(1, keepdims=True))
         return z / z.sum(1, keepdims=True)
 
+    def answers(self, means: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Best language, its score and its familiarity, from averages of the table."""
+        n, every = len(self.languages), np.arange(len(means))
+        p = self.scores(means[:, :n])
+        best = p.argmax(1)
+        return best, p[every, best], means[every, n + best]
+
 
 def train(rows: list[tuple[str, np.ndarray, np.ndarray]]) -> Model:
     """A model from (language, buckets, weights) rows, in the order given."""
     languages = sorted({r[0] for r in rows})
     if not languages:
-        return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
+        return Model([], np.zeros((0, BUCKETS), np.float32), np.zeros(0))
     rng = np.random.default_rng(SEED)
     e = rng.normal(0, 0.1, (BUCKETS, WIDTH)).astype(np.float32)
     w = rng.normal(0, 0.1, (WIDTH, len(languages))).astype(np.float32)
@@ -108,23 +123,50 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]]) -> Model:
             w -= rate * np.outer(x, p)
             bias -= rate * p
             e[buckets] -= weights[:, None] * step * 20  # averages shrink the gradient of each embedding
-    return Model(languages, (e @ w).astype(np.float32), bias)
-
-
-def calibrate(model: Model, labels: np.ndarray, logits: np.ndarray) -> None:
-    """Set temperature and threshold from rows kept from training.  Of n such
-    scores and one more, each is as likely to be among the smallest, so the
-    k-th smallest of the n is missed with a chance of k / (n + 1)."""
-    best = np.inf
-    for t in np.geomspace(0.25, 16, 49) if len(labels) >= 20 else ():
-        model.temperature = t
+    often = np.full((len(languages), BUCKETS), UNMET)
+    for label, (_, buckets, weights) in zip(labels, rows, strict=True):
+        often[label, buckets] += weights
+    often /= often.sum(1, keepdims=True)
+    familiar = np.log(often) - (often * np.log(often)).sum(1, keepdims=True)
+    return Model(languages, np.vstack(((e @ w).T, familiar)).astype(np.float32), bias)
+
+
+def lowest(values: np.ndarray) -> float:
+    """A bound ``REACH`` times as far below the median as the lowest twentieth
+    of the values; without any, nothing is below."""
+    if not len(values):
+        return -np.inf
+    twentieth, middle = np.quantile(values, (0.05, 0.5))
+    return float(middle - REACH * (middle - twentieth))
+
+
+def halfway(labels: np.ndarray, familiar: np.ndarray) -> float:
+    """A bound ``WAY`` of the way from the median familiarity of texts in their
+    own language to that in the best of the others, which stands for texts of no
+    learnt language; without texts or other languages, nothing is below."""
+    if not len(labels) or familiar.shape[1] < 2:
+        return -np.inf
+    every = np.arange(len(labels))
+    own, others = familiar[every, labels], familiar.copy()
+    others[every, labels] = -np.inf
+    return float((1 - WAY) * np.median(own) + WAY * np.median(others.max(1)))
+
+
+def calibrate(model: Model, labels: np.ndarray, means: np.ndarray) -> None:
+    """Set temperature and bounds from rows kept from training.  The log of the
+    temperature has a standard normal prior, so that few rows hardly move it."""
+    logits, best = means[:, : len(model.languages)], np.inf
+    for t in np.geomspace(1 / 16, 16, 65):
+        model.temperature = float(t)
         p = model.scores(logits)[np.arange(len(labels)), labels]
-        if (loss := -np.log(np.maximum(p, 1e-12)).mean()) < best:
+        loss = np.log(t) ** 2 / 2 - np.log(np.maximum(p, 1e-12)).sum()
+        if loss < best:
             best, chosen = loss, float(t)
-    if len(labels) >= 20:
-        model.temperature = chosen
-    k = (len(labels) + 1) // RARE
-    model.threshold = float(np.sort(model.scores(logits).max(1))[k - 1]) if k else 0.0
+    model.temperature = chosen
+    _, score, _ = model.answers(means)
+    odds = lowest(np.log(score) - np.log(np.maximum(1 - score, 1e-15)))
+    model.threshold = float(1 / (1 + np.exp(-odds)))
+    model.floor = halfway(labels, means[:, len(model.languages) :])
 
 
 def _dealt(rows: DataFrame, sample: int, held: int) -> DataFrame:
@@ -157,8 +199,8 @@ def fit(docs: DataFrame, learn: Column, sample: int = SAMPLE, held: int = HELD)
     """Learn from text and lang of at most ``sample`` rows of ``docs``, dealt by
     language, where ``learn`` holds and both are set, one a doc_id; calibrate
     on at most ``held`` others.  Texts stay on the executors; the driver gets
-    sparse counts of at most ``sample`` rows of at most BUCKETS entries, and a
-    score a language for each row to calibrate on."""
+    sparse counts of at most ``sample`` rows of at most BUCKETS entries, and two
+    numbers a language for each row to calibrate on."""
     rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
     rows = rows.select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
     chosen = F.broadcast(stored(_dealt(rows, sample, held), "language-chosen"))  # at most ``sample`` + ``held`` ids
@@ -175,14 +217,14 @@ def fit(docs: DataFrame, learn: Column, sample: int = SAMPLE, held: int = HELD)
     )
     if model.languages:
         sent = docs.sparkSession.sparkContext.broadcast(model)
-        table = texts.where("held").select("lang", "text").mapInArrow(_logits(sent), "label int, logits binary").toArrow()
-        logits = np.frombuffer(b"".join(table.column(1).to_pylist()), np.float64).reshape(-1, len(model.languages))
-        calibrate(model, table.column(0).to_numpy().astype(np.int64), logits)
+        table = texts.where("held").select("lang", "text").mapInArrow(_means(sent), "label int, means binary").toArrow()
+        means = np.frombuffer(b"".join(table.column(1).to_pylist()), np.float64).reshape(-1, len(model.table))
+        calibrate(model, table.column(0).to_numpy().astype(np.int64), means)
     return model
 
 
-def _logits(model):
-    """Number of the language, and logits, of texts that ``identify`` would score."""
+def _means(model):
+    """Number of the language, and averages of the table, of texts that ``identify`` would score."""
 
     def run(batches):
         m = model.value
@@ -190,18 +232,18 @@ def _logits(model):
         for batch in batches:
             for lo, hi, data, borders in slices(batch.column(1)):
                 langs, texts = (batch.column(i).slice(lo, hi - lo).to_pylist() for i in (0, 1))
-                logits = _logits_slice(m, data, borders)
-                out = [(number[lang], row.tobytes()) for lang, text, row in zip(langs, texts, logits, strict=True) if lang in number and _LETTER.search(text)]
+                means = _means_slice(m, data, borders)
+                out = [(number[lang], row.tobytes()) for lang, text, row in zip(langs, texts, means, strict=True) if lang in number and _LETTER.search(text)]
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary())], ["label", "logits"])
+                    yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary())], ["label", "means"])
 
     return run
 
 
-def _logits_slice(model: Model, data: np.ndarray, borders: np.ndarray) -> np.ndarray:
-    """Logits of every language for each text of a slice."""
+def _means_slice(model: Model, data: np.ndarray, borders: np.ndarray) -> np.ndarray:
+    """Averages of the table's rows, the logits with their bias, for each text of a slice."""
     n = len(borders) - 1
-    total = np.zeros((n, len(model.languages)), np.float64)
+    total = np.zeros((n, len(model.table)), np.float64)
     count = np.zeros(n)
     for extra, h in zip((1, 2, 3), subwords(data), strict=True):
         lo, hi = borders[:-1], np.maximum(borders[1:] - extra, borders[:-1])
@@ -210,19 +252,13 @@ def _logits_slice(model: Model, data: np.ndarray, borders: np.ndarray) -> np.nda
             continue
         # sums over [lo, hi) by sums between all borders, every other one dropped
         cuts = np.column_stack((lo[some], hi[some])).ravel()
-        for j in range(len(model.languages)):
-            values = model.table[:, j][h]
-            values = np.append(values, np.float32(0))
+        for j, row in enumerate(model.table):
+            values = np.append(row[h], np.float32(0))
             total[some, j] += np.add.reduceat(values, cuts, dtype=np.float64)[::2]
         count[some] += hi[some] - lo[some]
-    return total / np.maximum(count, 1)[:, None] + model.bias
-
-
-def _predict_slice(model: Model, data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Best language and its score for each text of a slice."""
-    p = model.scores(_logits_slice(model, data, borders))
-    best = p.argmax(1)
-    return best, p[np.arange(len(p)), best]
+    total /= np.maximum(count, 1)[:, None]
+    total[:, : len(model.languages)] += model.bias
+    return total
 
 
 def _predict(model):
@@ -232,13 +268,14 @@ def _predict(model):
             for lo, hi, data, borders in slices(batch.column(1)):
                 texts = batch.column(1).slice(lo, hi - lo)
                 letters = [x is not None and bool(_LETTER.search(x)) for x in texts.to_pylist()]
+                familiar = np.zeros(hi - lo)
                 if m.languages:
-                    best, score = _predict_slice(m, data, borders)
+                    best, score, familiar = m.answers(_means_slice(m, data, borders))
                     langs = [m.languages[b] if ok else UNKNOWN for b, ok in zip(best, letters, strict=True)]
                     score = np.where(letters, score, 0.0)
                 else:
                     langs, score = [UNKNOWN] * (hi - lo), np.zeros(hi - lo)
-                rejected = (score < m.threshold) | (np.array(langs, object) == UNKNOWN)
+                rejected = (score < m.threshold) | (familiar < m.floor) | (np.array(langs, object) == UNKNOWN)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array(langs, pa.string()), pa.array(score, pa.float64()), pa.array(rejected.astype(bool))],
                     ["doc_id", "lang_pred", "score", "rejected"],
@@ -253,7 +290,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     Null texts and texts without a letter, also empty ones: ``und``, score 0,
     rejected.  Others get a learned language and are rejected if their score
-    is below the model's threshold.  A model without languages answers
+    or familiarity is below the model's bounds (texts of one byte have no runs:
+    familiarity 0).  A model without languages answers
     ``und`` throughout.  Null doc_ids are carried; repeated rows are judged
     each.  Empty table: no rows.
     """

@@ -55,7 +55,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The learnt language of highest score wherever the text has a letter;
-    ``rejected`` marks scores below the calibrated threshold."""
+    ``rejected`` marks texts below a calibrated bound of score or familiarity."""
     prepared(spark)
     docs = read_table(spark, sf_dir, "documents")
     own = fold(F.col("doc_id"), 3)
