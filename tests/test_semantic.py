@@ -14,6 +14,7 @@ from funnelworks.plans.semantic import (
     Metric,
     MetricRegistry,
     SemanticModel,
+    default_group_by,
     metric_query,
 )
 from funnelworks.plans.semantic_spec import SPEC, SpecTable
@@ -102,6 +103,30 @@ def test_specification_is_merged_and_checked(spark, marts):
         MetricRegistry(own, [], [replace(spec[0], dimensions={"channel": "boolean"})]).check(marts)
 
 
+def test_declared_metrics_have_one_measure():
+    reg = MetricRegistry()
+    for name in reg.metrics:
+        assert [reg.model_of_measure(base.measure).name for base in reg.base_metrics(name)]
+        assert default_group_by(name)
+
+
+def test_speed_metric_is_that_of_the_funnel(spark, marts):
+    funnel = [("inbound", MONTH, "10.00"), ("inbound", MONTH, "25.01"), ("inbound", MONTH, None), ("outbound", MONTH, None)]
+    tables = {
+        **marts,
+        "mart_gtm_funnel": spark.createDataFrame(funnel, "channel string, month_date date, hours string").selectExpr(
+            "channel", "month_date", "cast(hours as decimal(10,2)) as avg_speed_to_first_contact_hours"
+        ),
+        "mart_leading_indicators": marts["mart_leading_indicators"].selectExpr("*", "cast(lead_sk as decimal(10,2)) as speed_to_first_contact_hours"),
+    }
+    name = "avg_speed_to_first_contact"
+    got = rows(metric_query(tables, [name], default_group_by(name)))
+    assert got == [("inbound", MONTH, Decimal("17.505000")), ("outbound", MONTH, None)]
+    # beside the measure of the same name of the leads
+    got = rows(metric_query(tables, [name, "lead_universe.avg_speed_to_first_contact_hours"], ["channel"]))
+    assert got == [("inbound", Decimal("17.505000"), Decimal("2.000000")), ("outbound", None, Decimal("4.000000"))]
+
+
 def test_marts_meet_the_specification(spark):
     from funnelworks.catalog import mart_tables, models
 
